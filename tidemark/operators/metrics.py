@@ -67,7 +67,7 @@ def _running(df: DataFrame, config: QueryConfig, position: str, next_position: s
     return running(rows, DIMENSION, position, {p.name: p.across for p in parts}, next_position)
 
 
-def _unpivot(rows: DataFrame, config: QueryConfig) -> DataFrame:
+def unpivoted(rows: DataFrame, config: QueryConfig) -> DataFrame:
     """One row per aggregate from rows that hold the merged parts of all of them."""
     items = [
         F.struct(
@@ -91,7 +91,7 @@ def metric_history(
     """
     parts = metric_parts(df, config)
     if all_due:
-        return _unpivot(_running(parts, config, TICK), config).drop("helper_count")
+        return unpivoted(_running(parts, config, TICK), config).drop("helper_count")
     ticks = numbered(due)
     at_due = with_ordinal(parts, ticks).drop("ord")
     # empty due ticks, numbered among themselves and compared to all due ticks
@@ -111,7 +111,7 @@ def metric_history(
     ).drop("n", "__next")
     dumped = repeat_over(ranged, "__first", "__stop", empty)
     present = changed.drop("n", "__next")
-    return _unpivot(present.unionByName(dumped), config).drop("helper_count")
+    return unpivoted(present.unionByName(dumped), config).drop("helper_count")
 
 
 def metric_summary(df: DataFrame, config: QueryConfig) -> DataFrame:
@@ -124,7 +124,7 @@ def metric_summary(df: DataFrame, config: QueryConfig) -> DataFrame:
         *(merge_column(p.across, p.name).alias(p.name) for p in parts),
         F.max(TICK).cast("int").alias("last_updated_tick"),
     )
-    return _unpivot(merged, config).select(
+    return unpivoted(merged, config).select(
         F.lit(config.source).alias("stream_name"),
         F.col("metric").alias("metric_field"),
         F.col("aggregate").alias("aggregate_name"),

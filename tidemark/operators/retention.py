@@ -29,10 +29,10 @@ def retained(df: DataFrame, window: WindowSpec, key: str) -> DataFrame:
         return df
     if window.size <= TOP_N_ROWS:
         return df.orderBy(F.col(TICK).desc(), F.col(key).desc()).limit(window.size)
-    return _newest_rows(df, window.size, key)
+    return newest_rows(df, window.size, key)
 
 
-def _newest_rows(df: DataFrame, size: int, key: str) -> DataFrame:
+def newest_rows(df: DataFrame, size: int, key: str) -> DataFrame:
     """Whole ticks above the cut-off, and the newest rows of the one tick that is split."""
     counts = df.where(F.col(TICK).isNotNull()).groupBy(TICK).agg(F.count("*").alias("own"))
     from_newest = counts.select(TICK, "own", F.col("own").alias("n"), (-F.col(TICK).cast("long")).alias("age"))
@@ -81,7 +81,8 @@ def aligned(df: DataFrame, config: QueryConfig, window: WindowSpec, key: str | N
         last = F.floor(F.col(TICK) / F.lit(slide))
         out = (
             per_tick.where(first <= last)
-            .withColumn("window_start", F.explode(F.sequence(first, last)) * F.lit(slide))
+            .withColumn("__window", F.explode(F.sequence(first, last)))
+            .withColumn("window_start", F.col("__window") * F.lit(slide))
             .groupBy("window_start", *keys)
             .agg(*merged)
         )

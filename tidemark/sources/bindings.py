@@ -43,9 +43,9 @@ def _road():
     return F.concat(_crossing(), F.lit("_R"), (F.col("user_id") % 4 + 1).cast("string"))
 
 
-def sensor_stream(spark: SparkSession, folder: str, minutes: bool = False) -> DataFrame:
+def sensor_rows(events: DataFrame, minutes: bool = False) -> DataFrame:
     """One sensor packet per row of ``events``; ticks are hours, or minutes on request."""
-    return table(spark, folder, "events").select(
+    return events.select(
         _padded("PKT_").alias("pkt_id"),
         _crossing().alias("intersection_id"),
         _road().alias("road_id"),
@@ -57,8 +57,8 @@ def sensor_stream(spark: SparkSession, folder: str, minutes: bool = False) -> Da
     )
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(
+def event_rows(events: DataFrame) -> DataFrame:
+    return events.select(
         _padded("EVT_").alias("event_id"),
         "event_type",
         _crossing().alias("intersection_id"),
@@ -68,9 +68,9 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def command_stream(spark: SparkSession, folder: str) -> DataFrame:
+def command_rows(orders: DataFrame) -> DataFrame:
     """One command per row of ``orders``; ticks are days since 1995-01-01."""
-    return table(spark, folder, "orders").select(
+    return orders.select(
         F.col("o_orderkey").cast("string").alias("cmd_id"),
         F.concat(F.lit("S"), (F.col("o_custkey") % 10).cast("string")).alias("signal_id"),
         F.col("o_orderstatus").alias("action"),
@@ -80,11 +80,56 @@ def command_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def shipments(spark: SparkSession, folder: str) -> DataFrame:
+def shipment_rows(lineitem: DataFrame) -> DataFrame:
     """The scale stream: one row per ``lineitem`` row; ticks are days since 1995-01-01."""
-    return table(spark, folder, "lineitem").select(
+    return lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
         F.col("l_quantity").cast(EXACT).alias("l_quantity"),
         F.col("l_extendedprice").cast(EXACT).alias("l_extendedprice"),
         _days("l_shipdate", "1995-01-01").alias("ts"),
     )
+
+
+def sensor_stream(spark: SparkSession, folder: str, minutes: bool = False) -> DataFrame:
+    return sensor_rows(table(spark, folder, "events"), minutes)
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return event_rows(table(spark, folder, "events"))
+
+
+def command_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return command_rows(table(spark, folder, "orders"))
+
+
+def shipments(spark: SparkSession, folder: str) -> DataFrame:
+    return shipment_rows(table(spark, folder, "lineitem"))
+
+
+def arriving(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table's files as a stream."""
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
+def dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The four dimension tables, as the sensor stream names them.
+
+    Only roads with at least the average number of packets are listed, so that the foreign keys
+    have something to miss.
+    """
+    rows = sensor_stream(spark, folder)
+    roads = rows.groupBy("road_id", "intersection_id").agg(F.count("*").alias("n"))
+    typical = rows.agg(F.count("*") / F.count_distinct("road_id")).scalar()
+    crossing = rows.groupBy("intersection_id").agg(F.count_distinct("road_id").cast("int").alias("num_roads"))
+    signals = rows.select("signal_id", "intersection_id", "road_id").distinct()
+    return {
+        "intersection": crossing.select("intersection_id", F.lit(None).cast("string").alias("location"), "num_roads"),
+        "road": roads.where(F.col("n") >= typical).select(
+            "road_id", "intersection_id", F.lit("N").alias("direction"), F.lit(1).alias("num_lanes")
+        ),
+        "traffic_signal": signals.withColumns(
+            {"current_state": F.lit("RED"), "last_updated": F.lit(None).cast("timestamp")}
+        ),
+        "signal_group": signals.select(F.lit(1).alias("group_id"), "signal_id"),
+    }

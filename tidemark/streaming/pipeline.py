@@ -1,0 +1,161 @@
+"""Live form: record files in, per-tick parts out, histories read from the parts.
+
+Two stages per source.  The first validates and rejects whole files, so a rejected file never
+claims a key.  The second drops keys seen in earlier batches and stores mergeable parts per tick.
+A late row only adds to the parts of its own tick, so the history read from the parts equals the
+batch result, however files were grouped into batches.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tidemark.config import TICK, QueryConfig
+from tidemark.functions.aggregates import merge_column, parts_of
+from tidemark.operators.evaluate import per_tick
+from tidemark.plans.run import history_from_parts
+from tidemark.sources.schemas import Stream
+from tidemark.sources.xml import arrived_first, split_files, stream_records
+
+# the folder column of a stage's batches
+ARRIVAL = "b"
+
+
+def event_time():
+    return F.timestamp_seconds(F.col(TICK))
+
+
+def start_cleaning(
+    spark: SparkSession, stream: Stream, inbox: str, out: str, checkpoint: str, max_files: int | None = None
+) -> StreamingQuery:
+    """Stage 1: accepted records to ``out/clean``, rejected files' records to ``out/quarantine``.
+
+    Each batch owns one folder, so a batch that is run again after a failure replaces its output.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            accepted, rejected = split_files(batch)
+            rejected.write.mode("overwrite").parquet(f"{out}/quarantine/b={batch_id}")
+            arrived_first(accepted, stream).select(*stream.schema.fieldNames()).write.mode(
+                "overwrite"
+            ).parquet(f"{out}/clean/b={batch_id}")
+        finally:
+            batch.unpersist()
+
+    records = stream_records(spark, stream, inbox, max_files)
+    return _start(records, store, checkpoint)
+
+
+def first_seen(rows: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
+    """The first row of each key of a stream, for output mode ``update``.
+
+    ``current_timestamp`` is one value per micro-batch and is kept across retries.  A key all of
+    whose rows carry the same value is new in this batch; its first row along ``arrival`` wins.
+    """
+    row = F.struct(*rows.columns)
+    return (
+        rows.withColumn("__seen", F.current_timestamp())
+        .groupBy(F.col(key).alias("__key"))
+        .agg(
+            F.min_by(row, F.struct(*arrival)).alias("__row"),
+            F.min("__seen").alias("__since"),
+            F.max("__seen").alias("__now"),
+        )
+        .where(F.col("__since") == F.col("__now"))
+        .select("__row.*")
+    )
+
+
+def start_parts(
+    spark: SparkSession,
+    rows: DataFrame,
+    key: str,
+    configs: Sequence[QueryConfig],
+    out: str,
+    checkpoint: str,
+    horizon: str | None = None,
+    keep_rows: bool = False,
+) -> StreamingQuery:
+    """Stage 2: drop repeated keys, then store each query's per-tick parts per batch.
+
+    Without ``horizon`` every key is remembered and the earliest arrival wins.  With one, state is
+    bounded: keys are remembered that long in event time, rows older than that are dropped (see
+    :func:`dropped_late`), and which of two copies within one batch wins is left open.
+    """
+    if horizon:
+        unique = (
+            rows.withColumn("__et", event_time())
+            .withWatermark("__et", horizon)
+            .dropDuplicatesWithinWatermark([key])
+            .drop("__et")
+        )
+    else:
+        order = [ARRIVAL] if ARRIVAL in rows.columns else []
+        unique = first_seen(rows, key, order + [c for c in rows.columns if c not in (key, ARRIVAL)])
+    unique = unique.drop(ARRIVAL)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for config in configs:
+                per_tick(batch, config).write.mode("overwrite").parquet(
+                    f"{out}/parts/{config.query_id}/b={batch_id}"
+                )
+            if keep_rows:
+                batch.write.mode("overwrite").parquet(f"{out}/rows/b={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return _start(unique, store, checkpoint, "append" if horizon else "update")
+
+
+def read_clean(spark: SparkSession, stream: Stream, out: str, max_files: int | None = None) -> DataFrame:
+    """Stage 1's accepted rows as a stream; the batch that accepted a row tells when it arrived."""
+    reader = spark.readStream.schema(StructType([*stream.schema.fields, StructField(ARRIVAL, LongType())]))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{out}/clean")
+
+
+def read_parts(spark: SparkSession, out: str, config: QueryConfig) -> DataFrame:
+    return spark.read.parquet(f"{out}/parts/{config.query_id}").drop("b")
+
+
+def live_history(spark: SparkSession, out: str, config: QueryConfig, mode: str = "history") -> DataFrame:
+    """The history so far, from all stored parts."""
+    return history_from_parts(read_parts(spark, out, config), config, mode)
+
+
+def compact_parts(spark: SparkSession, out: str, config: QueryConfig, target: str) -> None:
+    """Merge the parts of all batches into one table with a row per tick and group."""
+    parts = read_parts(spark, out, config)
+    parts.groupBy(*config.group_by, TICK).agg(
+        *(merge_column(p.within, p.name).alias(p.name) for p in parts_of(config))
+    ).write.mode("overwrite").parquet(f"{target}/parts/{config.query_id}/b=0")
+
+
+def dropped_late(query: StreamingQuery) -> int:
+    """How many rows the query dropped for being older than its horizon."""
+    return sum(
+        int(op["numRowsDroppedByWatermark"])
+        for progress in query.recentProgress
+        for op in progress["stateOperators"]
+    )
+
+
+def _start(rows: DataFrame, store, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    return (
+        rows.writeStream.outputMode(mode)
+        .foreachBatch(store)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
