@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.config import TICK, QueryConfig, WindowSpec
 from tidemark.functions.aggregates import merge_column, parts_of
 from tidemark.functions.predicates import row_condition, validity
-from tidemark.operators.clock import due_up_to, numbered
+from tidemark.operators.clock import due_up_to
 from tidemark.operators.intervals import aggregate_over, repeat_over
 from tidemark.operators.positions import positioned
 from tidemark.operators.scan import join_on, running
@@ -66,41 +66,60 @@ def _holds_at_own_tick(f):
     }.get(f.operator, field != F.col(TICK))
 
 
+def moves_with_tick(config: QueryConfig) -> bool:
+    """Whether all rows of a tick pass the comparisons with the current tick together."""
+    return all(f.field == TICK for f in config.filters if f.on_tick)
+
+
+def parts_by_own_tick(df: DataFrame, config: QueryConfig) -> DataFrame:
+    """Parts per group and the rows' own tick, whichever ticks they are visible at; settled."""
+    rows = selected(df, config).where(F.col(TICK).isNotNull())
+    return settled(
+        rows.groupBy(*config.group_by, F.col(TICK).cast("long").alias(TICK)).agg(
+            *(p.of_rows() for p in parts_of(config))
+        ),
+        "parts",
+    )
+
+
 def over_retained(
-    df: DataFrame, config: QueryConfig, window: WindowSpec, due: DataFrame, key: str
+    rows: DataFrame, config: QueryConfig, window: WindowSpec, ticks: DataFrame, key: str | None
 ) -> DataFrame:
     """Parts per due tick and group over the rows retained at that tick.
 
-    ``key`` is the stream's primary key; it orders rows of one tick in a row-count window.
+    ``ticks`` are the numbered due ticks.  ``rows`` are stream rows, or for time windows and
+    everything-kept may be :func:`parts_by_own_tick`.  ``key`` is the stream's primary key; it
+    orders rows of one tick in a row-count window.
     """
     parts = parts_of(config)
     keys = list(config.group_by)
     merges = {p.name: p.within for p in parts}
-    ticks = numbered(due)
     n_due = ticks.agg(F.max("ord")).scalar()
+    merged_rows = all(p.name in rows.columns for p in parts)
 
+    last = F.lit(FOREVER)
+    held = []
     if window.by_rows:
         wanted = {*keys, *(p.field for p in parts if p.field != "*"), *(f.field for f in config.filters)}
-        rows = df.where(F.col(TICK).isNotNull()).select(*sorted(wanted | {TICK, key}))
+        rows = rows.where(F.col(TICK).isNotNull()).select(*sorted(wanted | {TICK, key}))
         rows = selected(_last_due_by_rows(rows, window.size, ticks, key), config)
-        last = None
+        held = ["__last"]
     else:
-        rows = selected(df, config).where(F.col(TICK).isNotNull())
-        last = F.col(TICK).cast("long") + F.lit(window.size) if window.by_time else F.lit(FOREVER)
+        if window.by_time:
+            last = F.col(TICK).cast("long") + F.lit(window.size)
+        if not merged_rows:
+            rows = selected(rows, config).where(F.col(TICK).isNotNull())
     first = F.col(TICK).cast("long")
-    rows = rows.withColumn(
-        "__range",
-        F.explode(validity(config.filters, first, F.lit(FOREVER) if last is None else last)),
-    )
-    held = [] if last is not None else ["__last"]
-    ranged = (
-        rows.withColumns({"__lo": F.col("__range.lo"), "__hi": F.col("__range.hi")})
-        .where(F.col("__lo") <= F.col("__hi"))
-        .groupBy(*keys, "__lo", "__hi", *held)
-        .agg(*(p.of_rows() for p in parts))
+    ranges = rows.withColumn("__range", F.explode(validity(config.filters, first, last)))
+    ranged = ranges.withColumns({"__lo": F.col("__range.lo"), "__hi": F.col("__range.hi")}).where(
+        F.col("__lo") <= F.col("__hi")
     )
-
-    ranged = settled(ranged, "ranged")
+    if merged_rows:
+        ranged = ranged.select(*keys, "__lo", "__hi", *merges)
+    else:
+        ranged = settled(
+            ranged.groupBy(*keys, "__lo", "__hi", *held).agg(*(p.of_rows() for p in parts)), "ranged"
+        )
     ends = ranged.where(F.col("__hi") < FOREVER).select(F.col("__hi").alias("point"))
     starts = ranged.select((F.col("__lo") - 1).alias("point"))
     upto = settled(due_up_to(starts.unionByName(ends).distinct(), ticks), "upto")
@@ -120,7 +139,7 @@ def over_retained(
         }
     ).where(F.col("__first") <= F.col("__stop"))
 
-    open_ended = last is not None and not window.by_time and all(
+    open_ended = not window.by_rows and not window.by_time and all(
         f.operator in ("<", "<=") for f in config.filters if f.on_tick
     )
     if open_ended:

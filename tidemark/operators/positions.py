@@ -24,6 +24,7 @@ def positioned(df: DataFrame, order: list[str], name: str) -> DataFrame:
     counts = rows.groupBy("__file").agg(F.count("*").alias("__n"))
     earlier = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__file", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
-    return rows.join(starts, "__file").withColumn(
+    # one row per file, of which there are at most as many as shuffle partitions
+    return rows.join(F.broadcast(starts), "__file").withColumn(
         name, F.col("__start") + F.col("__index") + 1
     ).drop("__file", "__index", "__start")

@@ -12,7 +12,14 @@ from tidemark.config import CURRENT_TICK, TICK, ConfigError, QueryConfig, Window
 from tidemark.functions.aggregates import merge_column, parts_of
 from tidemark.operators import landmark
 from tidemark.operators.clock import due_ticks, numbered, ticks_of
-from tidemark.operators.evaluate import at_one_tick, over_retained, per_tick, pinned_rows
+from tidemark.operators.evaluate import (
+    at_one_tick,
+    moves_with_tick,
+    over_retained,
+    parts_by_own_tick,
+    per_tick,
+    pinned_rows,
+)
 from tidemark.operators.metrics import metric_history, metric_summary, with_storage_fields
 from tidemark.session import settled
 
@@ -53,19 +60,28 @@ def run_query(
     window = window or WindowSpec()
     trimmed_tick = pinned and window.by_rows
     every_tick = frequency <= 1 and clock is None and not skip_tick_zero
+    ticks = None
 
     if pinned and not trimmed_tick:
         if mode == "snapshot" and merge and every_tick and not landmark.needs_ticks(wide):
             return _shaped(_one_pass(df, wide), wide, config)
         parts = per_tick(df, wide)
-        due = None if every_tick else _due(df, clock, frequency, skip_tick_zero)
-        if due is not None:
+        if not every_tick:
+            due = _due(df, clock, frequency, skip_tick_zero)
+            if mode == "history" and merge:
+                ticks = numbered(due)
+                due = ticks.select(TICK)
             parts = parts.join(due, TICK, "left_semi")
     else:
         if window.by_rows and key is None:
             raise ConfigError("a row-count window needs the stream's key")
-        due = _due(df, clock, frequency, skip_tick_zero)
-        parts = over_retained(df, wide, window, due, key)
+        rows, clocked = df, df
+        if not window.by_rows and moves_with_tick(wide):
+            rows = parts_by_own_tick(df, wide)
+            # without filters every tick of the stream has parts, so the stream is scanned once
+            clocked = df if wide.has_row_filters else rows
+        ticks = numbered(_due(clocked, clock, frequency, skip_tick_zero))
+        parts = over_retained(rows, wide, window, ticks, key)
 
     if not merge:
         return _shaped(parts, wide, config, latest_as_struct=False)
@@ -74,10 +90,9 @@ def run_query(
     if mode == "changed":
         return _shaped(landmark.sparse_history(parts, wide), wide, config)
     parts = settled(parts, "parts")
-    if due is None:
-        # without filters every tick of the stream has parts, so the rows need no second scan
-        due = ticks_of(df if wide.has_row_filters else parts)
-    return _shaped(landmark.dense_history(parts, wide, numbered(due)), wide, config)
+    if ticks is None:
+        ticks = numbered(ticks_of(df if wide.has_row_filters else parts))
+    return _shaped(landmark.dense_history(parts, wide, ticks), wide, config)
 
 
 def history_from_parts(parts: DataFrame, config: QueryConfig, mode: str = "history") -> DataFrame:

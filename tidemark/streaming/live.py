@@ -15,7 +15,7 @@ from tidemark.operators.metrics import DIMENSION, unpivoted, dimensions_of, with
 from tidemark.operators.tables import upsert
 from tidemark.sources.history import write_summary
 from tidemark.sources.schemas import SUMMARY_KEY
-from tidemark.streaming.pipeline import event_time
+from tidemark.streaming.stages import event_time
 
 
 def _over_all_ticks(part: Part):

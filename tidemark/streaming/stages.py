@@ -31,6 +31,11 @@ def event_time():
     return F.timestamp_seconds(F.col(TICK))
 
 
+def _after_epoch():
+    """The tick as a time later than the epoch, where watermarks start, for any 32-bit tick."""
+    return F.timestamp_seconds(F.col(TICK).cast("long") + F.lit((1 << 31) + 1))
+
+
 def start_cleaning(
     spark: SparkSession, stream: Stream, inbox: str, out: str, checkpoint: str, max_files: int | None = None
 ) -> StreamingQuery:
@@ -92,7 +97,7 @@ def start_parts(
     """
     if horizon:
         unique = (
-            rows.withColumn("__et", event_time())
+            rows.withColumn("__et", _after_epoch())
             .withWatermark("__et", horizon)
             .dropDuplicatesWithinWatermark([key])
             .drop("__et")

@@ -10,7 +10,7 @@ from tidemark.plans.seeds import METRICS, SEEDS
 from tidemark.session import scratch_path
 from tidemark.sources import bindings, history, xml
 from tidemark.sources.schemas import COMMAND, EVENT, SENSOR, Stream
-from tidemark.streaming import live, pipeline
+from tidemark.streaming import live, stages
 from tidemark.workload import batch
 
 QUERIES = {}
@@ -84,12 +84,12 @@ def _(spark, folder):
     """Record files through both live stages; the history then comes from the stored parts."""
     inbox = _written(bindings.event_stream(spark, folder), EVENT)
     out = scratch_path(spark, "live")
-    pipeline.start_cleaning(spark, EVENT, inbox, out, f"{out}/checkpoint-1").awaitTermination()
-    rows = pipeline.read_clean(spark, EVENT, out)
-    pipeline.start_parts(
+    stages.start_cleaning(spark, EVENT, inbox, out, f"{out}/checkpoint-1").awaitTermination()
+    rows = stages.read_clean(spark, EVENT, out)
+    stages.start_parts(
         spark, rows, EVENT.key, [SEEDS["RD-EVT-PKT"]], out, f"{out}/checkpoint-2"
     ).awaitTermination()
-    return pipeline.live_history(spark, out, SEEDS["RD-EVT-PKT"])
+    return stages.live_history(spark, out, SEEDS["RD-EVT-PKT"])
 
 
 @keep("stream_parts_history")
@@ -98,11 +98,11 @@ def _(spark, folder):
     out = scratch_path(spark, "live")
     rows = bindings.sensor_rows(bindings.arriving(spark, folder, "events"))
     config = SEEDS["RD-SPEED-PKT"]
-    pipeline.start_parts(
+    stages.start_parts(
         spark, rows, SENSOR.key, [config], out, f"{out}/checkpoint", horizon="100000 seconds"
     ).awaitTermination()
-    pipeline.compact_parts(spark, out, config, f"{out}/compact")
-    return pipeline.live_history(spark, f"{out}/compact", config, "changed")
+    stages.compact_parts(spark, out, config, f"{out}/compact")
+    return stages.live_history(spark, f"{out}/compact", config, "changed")
 
 
 def _last_batch(df: DataFrame, mode: str) -> DataFrame:
