@@ -9,7 +9,7 @@ from tidemark.config import (
     SummaryUpdate,
     WindowSpec,
 )
-from tidemark.plans.run import run_metrics, run_query, run_sql
+from tidemark.plans.run import run_metrics, run_query, run_sql, run_tick
 
 __all__ = [
     "Aggregation",
@@ -22,4 +22,5 @@ __all__ = [
     "run_metrics",
     "run_query",
     "run_sql",
+    "run_tick",
 ]

@@ -99,10 +99,20 @@ def finished(agg: Aggregation, latest_as_struct: bool = True) -> Column:
     return value.alias(agg.name)
 
 
+def count_name(agg: Aggregation) -> str:
+    """The column that holds an average's row count beside it."""
+    return agg.count_field or f"__count_{agg.name}"
+
+
+def row_count(agg: Aggregation) -> Column:
+    """An average's row count, from the merged parts."""
+    return F.coalesce(F.col(_part("count", agg.field).name), F.lit(0))
+
+
 def helper_count(agg: Aggregation) -> Column:
     """The row count that weights an average, one for a latest value, else zero."""
     if agg.operation == "avg":
-        return F.coalesce(F.col(_part("count", agg.field).name), F.lit(0)).cast("double")
+        return row_count(agg).cast("double")
     return F.lit(1.0 if agg.operation == "none" else 0.0)
 
 

@@ -100,6 +100,11 @@ def numbered(ticks: DataFrame) -> DataFrame:
     return settled(counted, "ticks")
 
 
+def last_ordinal(ticks: DataFrame) -> int:
+    """How many numbered ticks there are."""
+    return ticks.agg(F.max("ord")).first()[0] or 0
+
+
 def due_up_to(points: DataFrame, due: DataFrame) -> DataFrame:
     """For each distinct ``point``, how many numbered ticks lie at or before it (``upto``)."""
     marks = (

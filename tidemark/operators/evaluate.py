@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.config import TICK, QueryConfig, WindowSpec
 from tidemark.functions.aggregates import merge_column, parts_of
 from tidemark.functions.predicates import row_condition, validity
-from tidemark.operators.clock import due_up_to
+from tidemark.operators.clock import due_up_to, last_ordinal
 from tidemark.operators.intervals import aggregate_over, repeat_over
 from tidemark.operators.positions import positioned
 from tidemark.operators.scan import join_on, running
@@ -94,7 +94,8 @@ def over_retained(
     parts = parts_of(config)
     keys = list(config.group_by)
     merges = {p.name: p.within for p in parts}
-    n_due = ticks.agg(F.max("ord")).scalar()
+    due = last_ordinal(ticks)
+    n_due = F.lit(due).cast("long")
     merged_rows = all(p.name in rows.columns for p in parts)
 
     last = F.lit(FOREVER)
@@ -146,7 +147,7 @@ def over_retained(
         arrived = ranged.groupBy(*keys, "__first").agg(
             *(merge_column(kind, c).alias(c) for c, kind in merges.items())
         )
-        totals = running(arrived, keys, "__first", merges, next_position="__next")
+        totals = running(arrived, keys, "__first", merges, next_position="__next", positions=due)
         totals = totals.withColumn("__stop", F.coalesce(F.col("__next") - 1, n_due)).drop("__next")
         return repeat_over(totals, "__first", "__stop", ticks)
     longest = window.size + 1 if window.by_time or window.by_rows else 1 << 20

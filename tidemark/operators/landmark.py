@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark.config import TICK, QueryConfig, SummaryUpdate
 from tidemark.functions.aggregates import (
+    count_name,
     finished,
     merge_column,
     parts_of,
+    row_count,
     stamp_latest,
 )
-from tidemark.operators.clock import with_ordinal
+from tidemark.operators.clock import last_ordinal, with_ordinal
 from tidemark.operators.intervals import repeat_over
 from tidemark.operators.scan import running
 
@@ -83,18 +85,27 @@ def dense_history(tick_parts: DataFrame, config: QueryConfig, ticks: DataFrame)
             .groupBy("ord")
             .agg(*(merge_column(kind, c).alias(c) for c, kind in merges.items()))
         )
-    changed = running(rows, keys, "ord", merges, next_position="__next")
-    newest = ticks.agg(F.max("ord")).scalar()
+    newest = last_ordinal(ticks)
+    changed = running(rows, keys, "ord", merges, next_position="__next", positions=newest)
     ranged = changed.withColumns(
-        {"__first": F.col("ord"), "__stop": F.coalesce(F.col("__next") - 1, newest)}
+        {"__first": F.col("ord"), "__stop": F.coalesce(F.col("__next") - 1, F.lit(newest))}
     ).drop("ord", "__next")
     return repeat_over(ranged, "__first", "__stop", ticks)
 
 
-def finish(merged: DataFrame, config: QueryConfig, latest_as_struct: bool = True) -> DataFrame:
-    """Turn merged parts into the query's columns: keys, tick if any, aggregates, targets, metrics."""
+def finish(
+    merged: DataFrame, config: QueryConfig, latest_as_struct: bool = True, helpers: bool = False
+) -> DataFrame:
+    """Turn merged parts into the query's columns: keys, tick if any, aggregates, targets, metrics.
+
+    With ``helpers`` each average is followed by its row count, which :func:`merge_snapshots` needs.
+    """
     lead = [c for c in (TICK,) if c in merged.columns] + list(config.group_by)
-    values = [finished(a, latest_as_struct) for a in config.aggregations]
+    values = []
+    for agg in config.aggregations:
+        values.append(finished(agg, latest_as_struct))
+        if helpers and agg.operation == "avg" and not agg.count_field:
+            values.append(row_count(agg).alias(count_name(agg)))
     own = {u.target for u in _own_updates(config)}
     for u in config.summary_updates:
         if u.target in own:
@@ -125,6 +136,59 @@ def derived(rows: DataFrame, config: QueryConfig, lead: list[str]) -> DataFrame:
     )
 
 
+def merge_snapshots(previous: DataFrame, current: DataFrame, config: QueryConfig) -> DataFrame:
+    """Fold a newer result into an older one, group by group, as one incremental step.
+
+    Both have the query's columns with helper counts.  Groups of either side stay.  Columns that
+    the query does not name pass through; where both sides have one, the older value stays.
+    """
+    keys = list(config.group_by)
+    extra = [
+        c for c in dict.fromkeys([*previous.columns, *current.columns])
+        if c not in keys and c not in _result_columns(config)
+    ]
+    old = previous.select(*(F.col(c).alias(f"__o_{c}") for c in previous.columns), F.lit(True).alias("__old"))
+    new = current.select(*(F.col(c).alias(f"__n_{c}") for c in current.columns), F.lit(True).alias("__new"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & old[f"__o_{k}"].cast("string").eqNullSafe(new[f"__n_{k}"].cast("string"))
+    both = old.join(new, same, "full_outer")
+
+    def side(prefix: str, name: str):
+        return F.col(f"__{prefix}_{name}") if f"__{prefix}_{name}" in both.columns else F.lit(None)
+
+    def total(name: str):
+        return F.coalesce(side("o", name), F.lit(0)) + F.coalesce(side("n", name), F.lit(0))
+
+    out = [F.when(F.col("__new"), side("n", k)).otherwise(side("o", k)).alias(k) for k in keys]
+    for agg in config.aggregations:
+        before, now = side("o", agg.name), side("n", agg.name)
+        if agg.operation in ("sum", "count"):
+            value = total(agg.name)
+        elif agg.operation == "min":
+            value = F.least(before, now)
+        elif agg.operation == "max":
+            value = F.greatest(before, now)
+        elif agg.operation == "avg":
+            counts = count_name(agg)
+            weighed = sum(
+                F.coalesce(side(p, agg.name) * side(p, counts), F.lit(0.0)) for p in ("o", "n")
+            )
+            value = F.coalesce(F.try_divide(weighed, total(counts)), F.lit(0.0))
+        else:
+            value = F.when(F.col("__new"), now).otherwise(before)
+        out.append(value.alias(agg.name))
+        if agg.operation == "avg" and not agg.count_field:
+            out.append(total(count_name(agg)).alias(count_name(agg)))
+    out += [F.coalesce(side("o", c), side("n", c)).alias(c) for c in extra]
+    return both.select(*out)
+
+
+def _result_columns(config: QueryConfig) -> set[str]:
+    names = {a.name for a in config.aggregations}
+    return names | {count_name(a) for a in config.aggregations if a.operation == "avg"}
+
+
 def stored(rows: DataFrame, config: QueryConfig) -> DataFrame:
     """Only the columns the config asks its history to keep."""
     if not config.store_fields:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.config import TICK, Filter, QueryConfig
 from tidemark.functions.aggregates import finished, helper_count, merge_column, parts_of, stamp_latest
 from tidemark.functions.values import dimension_key, display_name, number_or, storage_field
-from tidemark.operators.clock import numbered, with_ordinal
+from tidemark.operators.clock import last_ordinal, numbered, with_ordinal
 from tidemark.operators.evaluate import selected
 from tidemark.operators.intervals import repeat_over
 from tidemark.operators.scan import running
+from tidemark.session import settled
 
 DIMENSION = ["field", "field_value"]
 
@@ -60,11 +61,18 @@ def metric_parts(df: DataFrame, config: QueryConfig) -> DataFrame:
     return per_tick.withColumns(numbers) if numbers else per_tick
 
 
-def _running(df: DataFrame, config: QueryConfig, position: str, next_position: str | None = None) -> DataFrame:
+def _running(
+    df: DataFrame,
+    config: QueryConfig,
+    position: str,
+    next_position: str | None = None,
+    positions: int | None = None,
+) -> DataFrame:
     parts = parts_of(config)
     stamped = stamp_latest(parts, F.col(TICK))
     rows = df.withColumns(stamped) if stamped else df
-    return running(rows, DIMENSION, position, {p.name: p.across for p in parts}, next_position)
+    merges = {p.name: p.across for p in parts}
+    return running(rows, DIMENSION, position, merges, next_position, positions=positions)
 
 
 def unpivoted(rows: DataFrame, config: QueryConfig) -> DataFrame:
@@ -93,24 +101,31 @@ def metric_history(
     if all_due:
         return unpivoted(_running(parts, config, TICK), config).drop("helper_count")
     ticks = numbered(due)
-    at_due = with_ordinal(parts, ticks).drop("ord")
-    # empty due ticks, numbered among themselves and compared to all due ticks
+    at_due = settled(with_ordinal(parts, ticks), "parts")
     active = at_due.select(TICK).distinct()
-    empty = numbered(due.join(active, TICK, "left_anti"))
-    marks = (
-        active.select(TICK, F.lit(None).cast("long").alias("n"))
-        .unionByName(empty.select(TICK, F.col("ord").alias("n")))
+    empty = numbered(ticks.select(TICK).join(active, TICK, "left_anti"))
+    changed = _running(at_due, config, "ord", "__next", positions=last_ordinal(ticks)).drop("ord")
+    present = changed.drop("__next")
+    n_empty = last_ordinal(empty)
+    if n_empty == 0:
+        return unpivoted(present, config).drop("helper_count")
+
+    # a row stands for its key at the empty ticks up to the key's next change
+    marks = active.select(TICK, F.lit(None).cast("long").alias("n")).unionByName(
+        empty.select(TICK, F.col("ord").alias("n"))
+    )
+    passed = running(marks, [], TICK, {"n": "max"}).join(ticks, TICK)
+    passed = settled(passed.select(TICK, "ord", F.coalesce("n", F.lit(0)).alias("n")), "passed")
+    nexts = passed.select(F.col("ord").alias("__next"), F.col("n").alias("__stop"))
+    ranged = (
+        changed.join(passed.select(TICK, F.col("n").alias("__before")), TICK)
+        .join(nexts, "__next", "left")
+        .withColumns(
+            {"__first": F.col("__before") + 1, "__stop": F.coalesce("__stop", F.lit(n_empty).cast("long"))}
+        )
+        .drop("__before", "__next")
     )
-    before = running(marks, [], TICK, {"n": "max"}).select(TICK, F.coalesce("n", F.lit(0)).alias("n"))
-    placed = at_due.join(before, TICK).withColumn("n", F.col("n") + 1)
-    changed = _running(placed, config, TICK, "__next")
-    nexts = before.select(F.col(TICK).alias("__next"), F.col("n").alias("__stop"))
-    last_empty = empty.agg(F.coalesce(F.max("ord"), F.lit(0))).scalar()
-    ranged = changed.join(nexts, "__next", "left").withColumns(
-        {"__first": F.col("n"), "__stop": F.coalesce("__stop", last_empty)}
-    ).drop("n", "__next")
     dumped = repeat_over(ranged, "__first", "__stop", empty)
-    present = changed.drop("n", "__next")
     return unpivoted(present.unionByName(dumped), config).drop("helper_count")
 
 

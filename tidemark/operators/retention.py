@@ -50,7 +50,9 @@ def newest_rows(df: DataFrame, size: int, key: str) -> DataFrame:
 
 
 def evicted(df: DataFrame, window: WindowSpec, key: str) -> DataFrame:
-    """The rows trimming removes: those whose key is not among the retained ones."""
+    """The rows trimming removes: older ticks, or rows whose key is not among the retained ones."""
+    if window.by_time:
+        return df.where(F.col(TICK) < df.agg(F.max(TICK) - F.lit(window.size)).scalar())
     return df.join(retained(df, window, key).select(key), key, "left_anti")
 
 

@@ -34,12 +34,23 @@ def running(
     merges: dict[str, str],
     next_position: str | None = None,
     block: int = BLOCK,
+    positions: int | None = None,
 ) -> DataFrame:
     """Replace each column of ``merges`` by its running value along ``position`` per group.
 
     Two levels: within blocks of positions, and over one row per block.  Rows that share a
     position see each other.  ``next_position`` names a column for the group's next position.
+    ``positions`` is the number of positions where it is known and no group repeats one; up to
+    one block of them a single level does.
     """
+    if positions is not None and positions <= block:
+        whole = Window.partitionBy(*keys).orderBy(position)
+        so_far = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        columns = {c: merge_column(kind, c).over(so_far) for c, kind in merges.items()}
+        if next_position:
+            columns[next_position] = F.lead(position).over(whole)
+        return df.withColumns(columns)
+
     keyed = df.withColumn("__block", F.floor(F.col(position) / F.lit(block)))
     by_block = [*keys, "__block"]
 

@@ -19,8 +19,10 @@ from tidemark.operators.evaluate import (
     parts_by_own_tick,
     per_tick,
     pinned_rows,
+    selected,
 )
 from tidemark.operators.metrics import metric_history, metric_summary, with_storage_fields
+from tidemark.operators.retention import retained
 from tidemark.session import settled
 
 MODES = ("snapshot", "changed", "history")
@@ -95,6 +97,31 @@ def run_query(
     return _shaped(landmark.dense_history(parts, wide, ticks), wide, config)
 
 
+def run_tick(
+    df: DataFrame,
+    config: QueryConfig,
+    tick: int,
+    *,
+    window: WindowSpec | None = None,
+    key: str | None = None,
+) -> DataFrame:
+    """What the query returns at one tick, from the rows the stream then holds.
+
+    Averages come with their row counts, so that ``merge_snapshots`` can fold the result into an
+    earlier one.
+    """
+    config.check(df.schema)
+    bound = replace(
+        config, filters=tuple(replace(f, value=tick) if f.on_tick else f for f in config.filters)
+    )
+    rows = df.where(F.col(TICK) <= tick)
+    if window is not None and (window.by_rows or not at_one_tick(config)):
+        rows = retained(rows, window, key)
+    parts = selected(rows, bound).groupBy(*config.group_by).agg(*(p.of_rows() for p in parts_of(config)))
+    plain = replace(config, summary_updates=(), derived_metrics=())
+    return landmark.finish(parts, plain, latest_as_struct=False, helpers=True)
+
+
 def history_from_parts(parts: DataFrame, config: QueryConfig, mode: str = "history") -> DataFrame:
     """The same results from stored per-tick parts, of which several may share a tick and group."""
     merged = parts.groupBy(*config.group_by, TICK).agg(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.operators.tables import first_wins
+from tidemark.session import settled
 from tidemark.sources.schemas import Stream
 
 CORRUPT = "_corrupt"
@@ -91,13 +92,13 @@ def arrived_first(records: DataFrame, stream: Stream) -> DataFrame:
 
 def ingest(spark: SparkSession, stream: Stream, path: str) -> DataFrame:
     """The stream rows that a folder of record files holds."""
-    accepted, _ = split_files(read_records(spark, stream, path))
+    accepted, _ = split_files(settled(read_records(spark, stream, path), "records"))
     return arrived_first(accepted, stream).select(*stream.schema.fieldNames())
 
 
 def quarantine(spark: SparkSession, stream: Stream, path: str) -> DataFrame:
     """The records of rejected files, with the text of the bad ones."""
-    return split_files(read_records(spark, stream, path))[1]
+    return split_files(settled(read_records(spark, stream, path), "records"))[1]
 
 
 def write_records(df: DataFrame, stream: Stream, path: str, by: str | None = None) -> None:

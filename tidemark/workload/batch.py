@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType
 
-from tidemark import Aggregation, Filter, QueryConfig, SummaryUpdate, WindowSpec, run_metrics, run_query, run_sql
+from tidemark import Aggregation, Filter, QueryConfig, SummaryUpdate, WindowSpec, run_metrics, run_query, run_sql, run_tick
 from tidemark.config import CURRENT_TICK
 from tidemark.functions import values
 from tidemark.operators import clock, landmark, retention, series, tables
@@ -271,6 +271,36 @@ def _(spark, folder):
     return run_query(bindings.sensor_stream(spark, folder), config)
 
 
+# --- one tick at a time --------------------------------------------------------------------------
+
+@register("tick_result")
+def _(spark, folder):
+    rows = bindings.sensor_stream(spark, folder)
+    tick = rows.agg(F.max("ts")).first()[0]
+    return run_tick(rows, _sensor(*BY_ROAD, SPEED_AVG), tick)
+
+
+@register("tick_result_retained")
+def _(spark, folder):
+    rows = bindings.sensor_stream(spark, folder)
+    tick = rows.agg(F.max("ts")).first()[0] - 24
+    config = _sensor(SPEED_SUM, Aggregation("a_spd", "avg", "avg_speed"), by=("intersection_id",), filters=())
+    return run_tick(rows, config, tick, window=WindowSpec("Sliding", 77, "packets"), key="pkt_id")
+
+
+@register("merge_snapshots")
+def _(spark, folder):
+    """The first half's snapshot with the second half folded in."""
+    rows = bindings.sensor_stream(spark, folder)
+    half = rows.agg(F.floor(F.max("ts") / 2)).scalar()
+    config = _sensor(*BY_ROAD, SPEED_AVG, Aggregation("v_spd", "none", "avg_speed"))
+    older = run_query(rows.where(F.col("ts") <= half), config)
+    newer = run_query(rows.where(F.col("ts") > half), config).withColumn("note", F.lit("second half"))
+    merged = landmark.merge_snapshots(older, newer, config)
+    exact = F.col("s_spd").cast("double") / F.col("c_pkt")
+    return merged.withColumn("a_spd", F.abs(F.col("a_spd") - exact) < 1e-9).withColumnRenamed("a_spd", "mean_agrees")
+
+
 # --- long-format metrics ---------------------------------------------------------------------------
 
 MANY = QueryConfig(

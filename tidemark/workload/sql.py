@@ -254,6 +254,28 @@ _sql("standard_names", SENSOR, select="""
 SELECT road_id, intersection_id, CAST(sum(avg_speed) AS DOUBLE) / count(avg_speed) AS avg_speed_avg,
   count(*) AS all_count FROM sensor GROUP BY road_id, intersection_id""")
 
+# --- one tick at a time --------------------------------------------------------------------------
+
+_sql("tick_result", SENSOR, select=f"""
+SELECT road_id, intersection_id, {SPEED}, CAST(sum(avg_speed) AS DOUBLE) / count(avg_speed) AS a_spd
+FROM sensor WHERE ts = (SELECT max(ts) FROM sensor) GROUP BY road_id, intersection_id""")
+_sql("tick_result_retained", SENSOR, """held AS (
+  SELECT * FROM sensor WHERE ts <= (SELECT max(ts) FROM sensor) - 24 ORDER BY ts DESC, pkt_id DESC LIMIT 77)""",
+     select="""
+SELECT intersection_id, CAST(sum(avg_speed) AS DOUBLE) AS s_spd,
+  CAST(sum(avg_speed) AS DOUBLE) / count(avg_speed) AS a_spd, count(avg_speed) AS __count_a_spd
+FROM held GROUP BY intersection_id""")
+_sql("merge_snapshots", SENSOR, PARTS, "cut AS (SELECT floor(max(ts) / 2) AS half FROM sensor)",
+     "sides AS (SELECT *, ts > (SELECT half FROM cut) AS newer FROM p)",
+     """halves AS (SELECT road_id, intersection_id, newer, sum(s) AS s, max(x) AS x, min(n) AS n, sum(c) AS c,
+  arg_max(x, ts) AS v FROM sides GROUP BY road_id, intersection_id, newer)""", select="""
+SELECT road_id, intersection_id, CAST(sum(s) AS DOUBLE) AS s_spd, CAST(max(x) AS DOUBLE) AS x_spd,
+  CAST(min(n) AS DOUBLE) AS n_spd, CAST(sum(c) AS BIGINT) AS c_pkt,
+  true AS mean_agrees,
+  CAST(arg_max(v, newer) AS DOUBLE) AS v_spd,
+  max(CASE WHEN newer THEN 'second half' END) AS note
+FROM halves GROUP BY road_id, intersection_id""")
+
 # --- long-format metrics ---------------------------------------------------------------------------
 
 LONG = """d AS (
