@@ -266,3 +266,13 @@ def test_one_tick_sees_what_the_stream_holds(sensor):
     assert rows_of(run_tick(rows, query, 6, window=WindowSpec("Sliding", 2, "events"), key="pkt_id"), "s") == [(11.0,)]
     assert rows_of(run_tick(rows, config(ALL[0]), 6), "s") == [(6.0,)]
     assert rows_of(run_tick(rows, config(ALL[0], ALL[1], by=()), 99), "s", "c") == [(0.0, 0)]
+
+
+def test_a_row_window_outlasts_many_empty_ticks(spark, sensor):
+    rows = sensor(("A", 1, 1.0), ("A", 2, 2.0), ("A", 50, 4.0))
+    ticks = spark.createDataFrame([(t,) for t in range(1, 61)], "ts int")
+    query = config(Aggregation("s", "sum", "avg_speed"), filters=())
+    found = run_query(rows, query, "history", window=WindowSpec("Sliding", 2, "packets"), merge=False,
+                      key="pkt_id", clock=ticks)
+    want = {t: 1.0 if t == 1 else 3.0 if t < 50 else 6.0 for t in range(1, 61)}
+    assert {r["ts"]: r["s"] for r in found.collect()} == want

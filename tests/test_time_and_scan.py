@@ -82,7 +82,7 @@ def test_ranges_equal_brute_force(spark, longest):
     ranges = []
     for i in range(60):
         first = rng.randint(1, 90)
-        ranges.append((rng.choice("ab"), first, min(90, first + rng.randint(0, max(longest - 1, 1))), i))
+        ranges.append((rng.choice("ab"), first, min(90, first + rng.randint(0, longest - 1)), i))
     df = spark.createDataFrame(ranges, "k string, first long, last long, v long").withColumns(
         {"lo": F.col("v"), "n": F.lit(1)}
     )

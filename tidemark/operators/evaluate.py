@@ -150,7 +150,8 @@ def over_retained(
         totals = running(arrived, keys, "__first", merges, next_position="__next", positions=due)
         totals = totals.withColumn("__stop", F.coalesce(F.col("__next") - 1, n_due)).drop("__next")
         return repeat_over(totals, "__first", "__stop", ticks)
-    longest = window.size + 1 if window.by_time or window.by_rows else 1 << 20
+    # a time window cannot span more due ticks than ticks
+    longest = min(window.size + 1, due) if window.by_time else due
     return aggregate_over(ranged, keys, "__first", "__stop", merges, ticks, longest)
 
 

@@ -5,7 +5,7 @@ Positions here are ordinals of due ticks, so every integer in a range is an outp
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import TICK
@@ -46,48 +46,33 @@ def aggregate_over(
     A range splits into at most two aligned power-of-two pieces per size, and a tick lies in one
     piece of each size.  Rows are merged per piece first; then every tick reads the pieces above
     it.  Work is rows x log(longest range) plus groups present x log(longest range), and min and
-    max are as exact as sums.
+    max are as exact as sums.  No range may hold more than ``longest`` ordinals.
     """
     levels = max(longest, 1).bit_length()
-    n, end = F.col(first), F.col(last) + F.lit(1)
-
     pieces = []
     for k in range(levels):
-        left = F.ceil(n / F.lit(1 << k)).cast("long")
-        right = F.floor(end / F.lit(1 << k)).cast("long")
-        open_ = left < right
-        pieces.append(F.when(open_ & (left % 2 != 0), F.struct(F.lit(k).alias("level"), left.alias("node"))))
-        pieces.append(
-            F.when(open_ & (right % 2 != 0), F.struct(F.lit(k).alias("level"), (right - 1).alias("node")))
-        )
-    # what is left above the top size is covered by whole pieces of that size
-    top = levels
-    left = F.ceil(n / F.lit(1 << top)).cast("long")
-    right = F.floor(end / F.lit(1 << top)).cast("long")
-    whole = F.when(
-        left < right,
-        F.transform(
-            F.sequence(left, right - 1),
-            lambda node: F.struct(F.lit(top).alias("level"), node.alias("node")),
-        ),
-    )
-    parts = F.filter(F.array(*pieces), lambda p: p.isNotNull())
-    cover = F.concat(parts, F.coalesce(whole, F.slice(parts, 1, 0)))
+        left = F.shiftright(F.col(first) + F.lit((1 << k) - 1), k)
+        right = F.shiftright(F.col(last) + F.lit(1), k)
+        odd = left < right
+        pieces.append(F.when(odd & (left.bitwiseAND(1) == 1), _piece(k, left)))
+        pieces.append(F.when(odd & (right.bitwiseAND(1) == 1), _piece(k, right - 1)))
 
     nodes = (
         df.where(F.col(first) <= F.col(last))
-        .withColumn("__piece", F.explode(cover))
-        .withColumns({"__level": F.col("__piece.level"), "__node": F.col("__piece.node")})
-        .groupBy(*keys, "__level", "__node")
+        .select(*keys, *merges, F.explode(F.array(*pieces)).alias("__piece"))
+        .where(F.col("__piece").isNotNull())
+        .groupBy(*keys, "__piece")
         .agg(*(merge_column(kind, c).alias(c) for c, kind in merges.items()))
     )
-    readers = ticks.select(
-        TICK,
-        F.explode(F.sequence(F.lit(0), F.lit(top))).alias("__level"),
-        "ord",
-    ).select(TICK, "__level", F.expr("shiftright(ord, __level)").alias("__node"))
+    above = F.array(*(_piece(k, F.shiftright("ord", k)) for k in range(levels)))
+    readers = ticks.select(TICK, F.explode(above).alias("__piece"))
     return (
-        readers.join(nodes, ["__level", "__node"])
+        readers.join(nodes, "__piece")
         .groupBy(TICK, *keys)
         .agg(*(merge_column(kind, c).alias(c) for c, kind in merges.items()))
     )
+
+
+def _piece(level: int, node: Column) -> Column:
+    """One number for an aligned piece of ``2**level`` ordinals; ordinals stay far below 2**40."""
+    return node + F.lit(level << 40)
