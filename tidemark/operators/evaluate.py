@@ -103,7 +103,7 @@ def over_retained(
     if window.by_rows:
         wanted = {*keys, *(p.field for p in parts if p.field != "*"), *(f.field for f in config.filters)}
         rows = rows.where(F.col(TICK).isNotNull()).select(*sorted(wanted | {TICK, key}))
-        rows = selected(_last_due_by_rows(rows, window.size, ticks, key), config)
+        rows = selected(_last_due_by_rows(rows, window.size, ticks, due, key), config)
         held = ["__last"]
     else:
         if window.by_time:
@@ -155,31 +155,56 @@ def over_retained(
     return aggregate_over(ranged, keys, "__first", "__stop", merges, ticks, longest)
 
 
-def _last_due_by_rows(rows: DataFrame, size: int, ticks: DataFrame, key: str) -> DataFrame:
-    """Attach to each row the ordinal (``__last``) of the last due tick whose newest ``size`` rows hold it."""
-    placed = positioned(rows, [TICK, key], "__pos")
-    held = placed.groupBy(F.col(TICK).cast("long").alias(TICK)).agg(F.max("__pos").alias("__held"))
+def _last_due_by_rows(rows: DataFrame, size: int, ticks: DataFrame, due: int, key: str) -> DataFrame:
+    """Attach to each row the ordinal (``__last``) of the last due tick whose newest ``size`` rows hold it.
+
+    A due tick evicts all positions up to some threshold.  A row needs the last threshold below its
+    position: the last one of all earlier blocks of positions, or one of the few in its own block.
+    Blocks are so long that rows x thresholds within blocks stay below four per row in total.
+    """
+    counts = settled(
+        rows.groupBy(F.col(TICK).cast("long").alias(TICK)).agg(F.count("*").alias("__held")), "counts"
+    )
+    n_rows = counts.agg(F.sum("__held")).first()[0] or 0
+    block = max(1, -(-4 * n_rows // max(due, 1)))
     marks = (
-        held.withColumn("ord", F.lit(None).cast("long"))
+        counts.withColumn("ord", F.lit(None).cast("long"))
         .unionByName(ticks.select(TICK, F.lit(None).cast("long").alias("__held"), "ord"))
         .groupBy(TICK)
-        .agg(F.max("__held").alias("__held"), F.max("ord").alias("ord"))
+        .agg(F.sum("__held").alias("__held"), F.max("ord").alias("ord"))
     )
-    evicted = settled(
-        running(marks, [], TICK, {"__held": "max"})
+    thresholds = settled(
+        running(marks, [], TICK, {"__held": "sum"})
         .where(F.col("ord").isNotNull())
         .select(
             F.greatest(F.coalesce("__held", F.lit(0)) - F.lit(size), F.lit(0)).alias("__at"), "ord"
         )
         .groupBy("__at")
-        .agg(F.max("ord").alias("__last")),
-        "evicted",
+        .agg(F.max("ord").alias("ord")),
+        "thresholds",
+    )
+    own = F.floor(F.col("__at") / F.lit(block))
+    inside = thresholds.groupBy(own.alias("__span")).agg(
+        F.sort_array(F.collect_list(F.struct("__at", "ord"))).alias("__inside")
     )
-    # the row at position p is held at every due tick that has evicted fewer than p rows
-    events = placed.select(
-        "*", (F.col("__pos") - 1).alias("__at"), F.lit(None).cast("long").alias("__last")
-    ).unionByName(evicted, allowMissingColumns=True)
-    seen = running(events, [], "__at", {"__last": "max"}, block=1 << 20)
-    return seen.where(F.col("__pos").isNotNull()).withColumn(
-        "__last", F.coalesce("__last", F.lit(0).cast("long"))
+    earlier = (
+        rows.sparkSession.range(n_rows // block + 1)
+        .select(F.col("id").alias("__span"), F.lit(None).cast("long").alias("__earlier"))
+        .unionByName(thresholds.select((own + 1).alias("__span"), F.col("ord").alias("__earlier")))
+        .groupBy("__span")
+        .agg(F.max("__earlier").alias("__earlier"))
+    )
+    blocks = settled(
+        running(earlier, [], "__span", {"__earlier": "max"}).join(inside, "__span", "left"), "blocks"
+    )
+    placed = positioned(rows, [TICK, key], "__pos")
+    passed = F.filter("__inside", lambda t: t["__at"] < F.col("__pos"))
+    return (
+        placed.withColumn("__span", F.floor((F.col("__pos") - 1) / F.lit(block)))
+        .join(blocks, "__span")
+        .withColumn(
+            "__last",
+            F.coalesce(F.try_element_at(passed, F.lit(-1))["ord"], F.col("__earlier"), F.lit(0).cast("long")),
+        )
+        .drop("__span", "__inside", "__earlier", "__pos")
     )

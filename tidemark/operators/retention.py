@@ -12,8 +12,8 @@ from tidemark.operators.landmark import finish
 from tidemark.operators.positions import positioned
 from tidemark.operators.scan import running
 
-# up to this many rows a top-n in every task is cheaper than looking for the cut-off tick
-TOP_N_ROWS = 100_000
+# up to this many rows, a top-n in every task is cheaper than looking for the cut-off tick
+TOP_N_ROWS = 10_000
 
 
 def retained(df: DataFrame, window: WindowSpec, key: str) -> DataFrame:
