@@ -72,13 +72,10 @@ def moves_with_tick(config: QueryConfig) -> bool:
 
 
 def parts_by_own_tick(df: DataFrame, config: QueryConfig) -> DataFrame:
-    """Parts per group and the rows' own tick, whichever ticks they are visible at; settled."""
+    """Parts per group and the rows' own tick, whichever ticks they are visible at."""
     rows = selected(df, config).where(F.col(TICK).isNotNull())
-    return settled(
-        rows.groupBy(*config.group_by, F.col(TICK).cast("long").alias(TICK)).agg(
-            *(p.of_rows() for p in parts_of(config))
-        ),
-        "parts",
+    return rows.groupBy(*config.group_by, F.col(TICK).cast("long").alias(TICK)).agg(
+        *(p.of_rows() for p in parts_of(config))
     )
 
 

@@ -79,7 +79,7 @@ def run_query(
             raise ConfigError("a row-count window needs the stream's key")
         rows, clocked = df, df
         if not window.by_rows and moves_with_tick(wide):
-            rows = parts_by_own_tick(df, wide)
+            rows = settled(parts_by_own_tick(df, wide), "parts")
             # without filters every tick of the stream has parts, so the stream is scanned once
             clocked = df if wide.has_row_filters else rows
         ticks = numbered(_due(clocked, clock, frequency, skip_tick_zero))
@@ -122,17 +122,45 @@ def run_tick(
     return landmark.finish(parts, plain, latest_as_struct=False, helpers=True)
 
 
-def history_from_parts(parts: DataFrame, config: QueryConfig, mode: str = "history") -> DataFrame:
+def parts_to_store(df: DataFrame, config: QueryConfig) -> DataFrame:
+    """The parts per tick and group from which :func:`history_from_parts` reads every result."""
+    if at_one_tick(config):
+        return per_tick(df, config)
+    if not moves_with_tick(config):
+        raise ConfigError("a comparison of the current tick with another field needs the rows themselves")
+    return parts_by_own_tick(df, config)
+
+
+def history_from_parts(
+    parts: DataFrame,
+    config: QueryConfig,
+    mode: str = "history",
+    *,
+    window: WindowSpec | None = None,
+    merge: bool = True,
+) -> DataFrame:
     """The same results from stored per-tick parts, of which several may share a tick and group."""
+    window = window or WindowSpec()
     merged = parts.groupBy(*config.group_by, TICK).agg(
         *(merge_column(p.within, p.name).alias(p.name) for p in parts_of(config))
     )
+    ticks = None
+    if not at_one_tick(config):
+        if window.by_rows:
+            raise ConfigError("a row-count window needs the rows themselves")
+        merged = settled(merged, "parts")
+        ticks = numbered(ticks_of(merged))
+        merged = over_retained(merged, config, window, ticks, None)
+    if not merge:
+        return landmark.finish(merged, config, latest_as_struct=False)
     if mode == "snapshot":
         return landmark.finish(landmark.snapshot(merged, config), config)
     if mode == "changed":
         return landmark.finish(landmark.sparse_history(merged, config), config)
-    dense = landmark.dense_history(merged, config, numbered(ticks_of(parts)))
-    return landmark.finish(dense, config)
+    if ticks is None:
+        merged = settled(merged, "parts")
+        ticks = numbered(ticks_of(merged))
+    return landmark.finish(landmark.dense_history(merged, config, ticks), config)
 
 
 def run_metrics(

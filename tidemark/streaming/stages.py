@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.config import TICK, QueryConfig
+from tidemark.config import TICK, QueryConfig, WindowSpec
 from tidemark.functions.aggregates import merge_column, parts_of
-from tidemark.operators.evaluate import per_tick
-from tidemark.plans.run import history_from_parts
+from tidemark.plans.run import history_from_parts, parts_to_store
 from tidemark.sources.schemas import Stream
 from tidemark.sources.xml import arrived_first, split_files, stream_records
 
@@ -111,7 +110,7 @@ def start_parts(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for config in configs:
-                per_tick(batch, config).write.mode("overwrite").parquet(
+                parts_to_store(batch, config).write.mode("overwrite").parquet(
                     f"{out}/parts/{config.query_id}/b={batch_id}"
                 )
             if keep_rows:
@@ -134,9 +133,17 @@ def read_parts(spark: SparkSession, out: str, config: QueryConfig) -> DataFrame:
     return spark.read.parquet(f"{out}/parts/{config.query_id}").drop("b")
 
 
-def live_history(spark: SparkSession, out: str, config: QueryConfig, mode: str = "history") -> DataFrame:
+def live_history(
+    spark: SparkSession,
+    out: str,
+    config: QueryConfig,
+    mode: str = "history",
+    *,
+    window: WindowSpec | None = None,
+    merge: bool = True,
+) -> DataFrame:
     """The history so far, from all stored parts."""
-    return history_from_parts(read_parts(spark, out, config), config, mode)
+    return history_from_parts(read_parts(spark, out, config), config, mode, window=window, merge=merge)
 
 
 def compact_parts(spark: SparkSession, out: str, config: QueryConfig, target: str) -> None:
