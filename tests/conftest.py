@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
-            "spark.sql.maxMetadataStringLength": "1000",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
