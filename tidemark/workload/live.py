@@ -27,7 +27,10 @@ def keep(name: str):
 
 
 def _written(rows: DataFrame, stream: Stream, by: str | None = None) -> str:
-    path = scratch_path(rows.sparkSession, "records")
+    """Write the rows as record files: one per core, or one per value of ``by``."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, "records")
+    rows = rows.repartition(by) if by else rows.repartition(spark.sparkContext.defaultParallelism)
     xml.write_records(rows, stream, path, by)
     return path
 
@@ -55,7 +58,7 @@ def _daily_files(spark, folder) -> str:
     rows = bindings.sensor_stream(spark, folder).withColumns(
         {"day": day, "vehicle_count": F.when(spoiled, "seven").otherwise(F.col("vehicle_count").cast("string"))}
     )
-    return _written(rows.repartition("day"), SENSOR, by="day") + "/*"
+    return _written(rows, SENSOR, by="day") + "/*"
 
 
 @keep("xml_reject_file")
