@@ -218,7 +218,11 @@ def _units(active: DataFrame, unit_shingles: int, percent: int) -> DataFrame:
     below = F.transform(to(F.coalesce("down", F.lit(0))), lambda j: key(at - 1, j, at, own))
     return (
         active.join(layout, ["region", "band"], "left")
-        .select("doc_id", "region", F.coalesce(F.concat(inside, above, below), F.array(F.lit(""))).alias("units"))
+        .select(
+            "doc_id",
+            "region",
+            F.when(F.col("parts").isNull(), F.array(F.lit(""))).otherwise(F.concat(inside, above, below)).alias("units"),
+        )
     )
 
 
