@@ -7,7 +7,8 @@ from conftest import TESTDATA
 import __spark_entry__ as entry
 
 FOLDER = TESTDATA / "sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {**entry.batch.QUERIES, **entry.live.QUERIES}
+SQL = entry.sql.ORACLES
 TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -39,5 +40,10 @@ def test_query_equals_sql(spark, duck, name):
     assert comparable(rows, found.columns) == comparable(wanted.fetchall(), list(types))
 
 
+def test_entry_registers_every_query():
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert SQL.items() <= entry.oracle_sql().items()
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() == 12
