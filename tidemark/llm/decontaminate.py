@@ -30,7 +30,8 @@ AUTOMATON_BYTES = 2 << 20
 _FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else 0x20 if b <= 0x2F or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256)
 )
-_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+#: Words in the original text, where A-Z are letters too.
+_WORD = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 _AUTOMATA: dict[str, object] = {}
 
 SCANNED = "doc_id long, text_hash long, n_words long, spans array<struct<start:int,stop:int>>, item_ids array<string>"

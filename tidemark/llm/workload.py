@@ -7,7 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, language_id, packing, substring_dedup
+from tidemark.llm import (
+    decontaminate,
+    html_extraction,
+    jaccard_join,
+    language_id,
+    license_scan,
+    packing,
+    quality_rules,
+    resharding,
+    substring_dedup,
+    url_filters,
+)
+
+#: The rules of op1_url_filter.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +40,27 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    listed = ", ".join(f"('{verdict}', '{rule}')" for verdict, rule in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {listed} AS rules(verdict, rule)")
+    return url_filters.judged(table(spark, folder, "pages"), rules)
+
+
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality_rules.scored(table(spark, folder, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return scored.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & (F.col("quality") >= 0.5)).alias("kept"),
+    )
+
+
 def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.removal_digest(table(spark, folder, "documents"))
 
@@ -44,18 +85,62 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination_digest(found)
 
 
+def op7_resharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = resharding.resharded(table(spark, folder, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scanned(table(spark, folder, "documents"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_url_filter,
+        op2_quality_rules,
         op3_substring_dedup,
         op4_ngram_jaccard,
         op5_language_id,
         op6_decontamination,
+        op7_resharding,
+        op8_license_scan,
         op9_packing,
+        op10_html_extraction,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_url_filter": """
+        WITH urls AS (
+            SELECT page_id, strpos(url, '://') AS spot, url FROM pages
+        ), parts AS (
+            SELECT page_id,
+                CASE WHEN spot > 0 THEN translate(regexp_extract(substr(url, spot + 3), '^([^/?#]*)', 1),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+                CASE WHEN spot > 0 THEN regexp_extract(substr(url, spot + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+            FROM urls
+        ), rules(verdict, host, path) AS (
+            VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+        ), judged AS (
+            SELECT p.page_id, p.host, p.path, (
+                SELECT max_by(r.verdict || ' ' || r.host || r.path, length(r.host || r.path)) FROM rules r
+                WHERE (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+            ) AS found
+            FROM parts p
+        )
+        SELECT page_id, host, path, CASE WHEN found IS NOT NULL THEN split_part(found, ' ', 2) END AS rule,
+            COALESCE(split_part(found, ' ', 1), 'allow') AS verdict
+        FROM judged
+    """,
+}
