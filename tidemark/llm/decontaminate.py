@@ -18,9 +18,11 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WINDOW = 10
 #: Item text per automaton; its states take about 50 times as much in each Python worker.
@@ -180,23 +182,12 @@ def contamination_digest(found: DataFrame) -> DataFrame:
     )
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for value, spans in zip(batch.column("text"), batch.column("spans").to_pylist(), strict=True):
-            text = value.as_py()
-            for a, b in reversed(offsets_of(text, spans) if spans else []):
-                text = text[:a] + text[b:]
-            texts.append(text)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(texts, pa.string())],
-            names=["doc_id", "text_hash", "text"],
-        )
-
-
-def without_hits(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, the hash of the text before, and the text without its hit passages, for documents that have any."""
-    hits = found.where(F.size("spans") > 0).dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", "spans")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = texts.withColumn("text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "text_hash"])
-    return texts.join(hits, ["doc_id", "text_hash"]).mapInArrow(_without, "doc_id long, text_hash long, text string")
+@F.pandas_udf(T.StringType())
+def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    """Texts without their hit words, cut out by their character offsets; texts without hits stay as they are."""
+    out = []
+    for text, hits in zip(texts, spans, strict=True):
+        for a, b in reversed(offsets_of(text, hits) if hits is not None and len(hits) else []):
+            text = text[:a] + text[b:]
+        out.append(text)
+    return pd.Series(out, dtype=object)

@@ -23,6 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SAMPLE = 3000
 ROUNDS = 4
@@ -173,7 +174,7 @@ def train(
 
 
 def letters(text: str | None) -> list[str]:
-    return _LETTERS.findall((text or "").lower())
+    return _LETTERS.findall(text.lower()) if isinstance(text, str) else []
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,20 +189,20 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _predict(model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def predictor(model: Model):
+    """A column function: text to (lang_pred, score)."""
+
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         number: dict[str, int] = {}
         scores = np.zeros((0, len(model.languages)))
-        for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            languages, values = [], []
+        for texts in series:
+            out: list[tuple[str, float]] = []
             at = 0
-            while at < len(ids):  # groups of texts of about a megabyte, so that new words are scored together
+            while at < len(texts):  # groups of texts of about a megabyte, so that new words are scored together
                 group, held = [], 0
-                while at < len(ids) and (not group or held < 1 << 20):
-                    words = letters(texts[at].as_py())
-                    held += 8 * len(words)
-                    group.append(words)
+                while at < len(texts) and (not group or held < 1 << 20):
+                    group.append(letters(texts.iat[at]))
+                    held += 8 * len(group[-1])
                     at += 1
                 if len(number) > REMEMBERED:
                     number, scores = {}, scores[:0]
@@ -211,24 +212,19 @@ def _predict(model: Model):
                     scores = np.vstack([scores, word_scores(new, model)])
                 for words in group:
                     if not words or not model.languages:
-                        languages.append(UNDETERMINED)
-                        values.append(0.0)
+                        out.append((UNDETERMINED, 0.0))
                         continue
                     total = scores[np.fromiter(map(number.__getitem__, words), np.int64, len(words))].sum(axis=0) + model.prior
                     best = int(total.argmax())
-                    languages.append(model.languages[best])
-                    values.append(float(1 / np.exp(total - total[best]).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_hash"), pa.array(languages, pa.string()), pa.array(values, pa.float64())],
-                names=["doc_id", "text_hash", "lang_pred", "score"],
-            )
-
-    return run
-
-
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, hash of the text, predicted language and its posterior probability, from the text alone."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        _predict(model), "doc_id long, text_hash long, lang_pred string, score double"
-    )
+                    out.append((model.languages[best], float(1 / np.exp(total - total[best]).sum())))
+            yield pd.DataFrame(out, columns=["lang_pred", "score"])
+
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return F.pandas_udf(run, kind)
+
+
+def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score`` (the posterior probability), found from the text alone."""
+    found = docs.withColumn("__language", predictor(model)(F.col(text_col)))
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    return found.select(*kept, F.col("__language.lang_pred"), F.col("__language.score"))

@@ -23,9 +23,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.words import grams, signed, slices, stretches, window_minimum, words_of
 from tidemark.session import settled
@@ -176,23 +178,26 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [_without(words, repeats).decode() if repeats else text for text, words, repeats in _rows(batch)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("text_hash"), pa.array(texts, pa.string())],
-            names=["doc_id", "text_hash", "text"],
-        )
+@F.pandas_udf(T.StringType())
+def cut(texts: pd.Series, marks: pd.Series) -> pd.Series:
+    """Texts without their marked words: the kept words joined by one space. Unmarked texts stay as they are."""
+    return pd.Series(
+        [
+            text if spans is None or not len(spans) else _without((text or "").encode().split(), _merged(spans)).decode()
+            for text, spans in zip(texts, marks, strict=True)
+        ],
+        dtype=object,
+    )
 
 
-def marked(
+def repeat_marks(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     min_words: int = MIN_WORDS,
     anchor_words: int = ANCHOR_WORDS,
 ) -> DataFrame:
-    """doc_id, text_hash, text, and the unmerged ranges of repeated words (null: none) of every row.
+    """doc_id, text_hash (xxhash64 of the text) and the ranges of repeated words, unmerged, of rows that have any.
 
     A word is in a range if a window of ``min_words`` words around it also occurs in a document with a smaller id.
     """
@@ -228,7 +233,7 @@ def marked(
     earliest = windows.groupBy("anchor", "content").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("hi"))
     late = windows.join(earliest.where("leader < hi"), ["anchor", "content"]).where("doc_id > leader")
     place = ["doc_id", "text_hash", "first", "last"]
-    marks = (
+    return (
         met.where("uniform")
         .select(*place)
         .unionByName(ranked.where("doc_id > leader").select(*place))
@@ -236,7 +241,12 @@ def marked(
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct(F.col("first").alias("start"), (F.col("last") + min_words).alias("stop"))).alias("marks"))
     )
-    return keyed.join(marks, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", "text", "marks")
+
+
+def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """doc_id, text_hash, text and marks (null: none) of every row."""
+    marks = repeat_marks(docs, id_col, text_col, **options)
+    return _keyed(docs, id_col, text_col).join(marks, ["doc_id", "text_hash"], "left").select("doc_id", "text_hash", "text", "marks")
 
 
 def repeated_spans(docs: DataFrame, **options) -> DataFrame:
@@ -247,11 +257,3 @@ def repeated_spans(docs: DataFrame, **options) -> DataFrame:
 def removal_digest(docs: DataFrame, **options) -> DataFrame:
     """doc_id, n_words, n_removed and the SHA-256 of the kept words joined by one space."""
     return marked(docs, **options).mapInArrow(_digest, DIGEST)
-
-
-def without_repeats(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, the hash of the text before, and the text without its repeats.
-
-    A text with repeats becomes its kept words joined by one space; other texts stay as they are.
-    """
-    return marked(docs, **options).mapInArrow(_cut, "doc_id long, text_hash long, text string")

@@ -76,7 +76,7 @@ def held_out() -> F.Column:
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language_id.train(docs.where(~held_out()), tokenizer_path("piece_bpe_32k.model"))
-    found = language_id.identify(docs, model)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
