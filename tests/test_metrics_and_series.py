@@ -1,9 +1,11 @@
+import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from tidemark import Aggregation, Filter, QueryConfig, run_metrics, run_query, run_sql
+from tidemark import Aggregation, ConfigError, Filter, QueryConfig, run_metrics, run_query, run_sql
 from tidemark.config import CURRENT_TICK
 from tidemark.functions import values
+from tidemark.functions.formulas import formula_column
 from tidemark.operators import series
 from tidemark.plans.seeds import METRICS, SEEDS
 from tidemark.sources import history
@@ -97,13 +99,13 @@ def test_long_series_is_distinct_and_alias_aware(spark):
         ("road_id", "R1", "speed", "avg")]
 
 
-def test_json_history_round_trip(spark, sensor, tmp_path, monkeypatch):
-    monkeypatch.setattr(history, "OBJECTS_PER_ROW", 3)
+def test_json_history_round_trip(spark, sensor, tmp_path):
     rows = sensor(*((f"R{i}", t, float(i) / 2) for i in range(10) for t in (1, 2)), ('R"q\\', 2, None))
     found = run_query(rows, SEEDS["RD-SPEED-PKT"], "history")
     text = history.json_history(found, "RD-SPEED-PKT", ["road_id", "intersection_id"])
-    assert text.groupBy("ts").count().agg(F.max("count")).first()[0] > 1
-    history.append_history(text, str(tmp_path / "h"))
+    assert text.groupBy("ts").count().agg(F.max("count")).first()[0] == 1
+    for _ in range(2):
+        history.append_history(text, str(tmp_path / "h"), 3)
     back = series.exploded(history.read_history(spark, str(tmp_path / "h")))
     got = back.select("ts", "item.road_id", "item.s_spd", "item.n_spd")
     assert got.count() == found.count() == 21
@@ -112,6 +114,33 @@ def test_json_history_round_trip(spark, sensor, tmp_path, monkeypatch):
     assert series.latest_result(text).select("ts").distinct().collect()[0][0] == 2
 
 
+def test_numbers_keep_their_digits_in_json(spark):
+    rows = spark.sql("SELECT 1 AS ts, 9007199254740993L AS b, CAST(12.50 AS DECIMAL(10,2)) AS d, CAST(100 AS DECIMAL(10,2)) AS w, "
+                     "CAST(700 AS DECIMAL(5,0)) AS z, 2.0D AS f, CAST(NULL AS INT) AS n")
+    text = history.json_history(rows, "Q", []).first()["result"]
+    assert text == '[{"b":9007199254740993,"d":12.5,"w":100,"z":700,"f":2,"n":null}]'
+
+
+def test_typed_results_are_replaced_by_batch(spark, tmp_path):
+    path = str(tmp_path / "r")
+    for batch, ticks in ((0, [1, 2]), (1, [3]), (1, [3, 4])):
+        rows = spark.createDataFrame([(t, "A", float(t)) for t in ticks], "ts long, road_id string, v double")
+        for query in ("Q", "other"):
+            history.append_results(rows, path, query, batch)
+    assert rows_of(history.read_results(spark, path, "Q"), "ts", "v") == [(1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0)]
+    assert rows_of(history.newest_result(spark, path, "Q"), "ts", "road_id") == [(4, "A")]
+
+
+def test_formulas(spark):
+    df = spark.createDataFrame([(6.0, 2.0, 0.0)], "a double, b double, z double")
+    cases = {"a / b": 3.0, "a/z": None, "a / (b - b)": None, "-a + b * 2": -2.0, "(a - b) / b / 2": 1.0, "1.5e1": 15.0, "a / b / z": None}
+    got = df.select(*(formula_column(t, df.columns).alias(f"c{i}") for i, t in enumerate(cases))).first()
+    assert list(got) == list(cases.values())
+    for bad in ("", "a b", "a +", "(a", "a)", "greatest(a, 1)", "q", "a; b", "a ** b"):
+        with pytest.raises(ConfigError):
+            formula_column(bad, df.columns)
+
+
 def test_scalar_helpers(spark):
     df = spark.createDataFrame([("3",), ("x",), (None,), (" 2.5 ",)], "t string")
     assert [r[0] for r in df.select(values.number_or(F.col("t"), -1)).collect()] == [3.0, -1.0, -1.0, 2.5]
@@ -121,6 +150,15 @@ def test_scalar_helpers(spark):
     assert values.storage_field("event_stream", "speed") == "speed"
 
 
+def test_sql_text_leaves_the_views_of_the_session(spark, sensor):
+    spark.range(3).createOrReplaceTempView("sensor_stream")
+    found = run_sql(spark, "SELECT '{CURRENT_TICK} ''x' AS t, count(*) AS n FROM sensor_stream WHERE ts < {CURRENT_TICK}", 2,
+                    {"sensor_stream": sensor(("A", 1, 1.0))})
+    assert tuple(found.first()) == ("2 'x", 1)
+    assert spark.table("sensor_stream").count() == 3
+    spark.catalog.dropTempView("sensor_stream")
+
+
 def test_sql_text_with_a_bound_tick(spark, sensor):
     rows = sensor(("A", 1, 1.0), ("A", 2, 5.0))
     found = run_sql(spark, "SELECT sum(avg_speed) s FROM sensor_stream WHERE ts = {CURRENT_TICK}", 2,

@@ -12,6 +12,9 @@ from pyspark.sql.types import DataType, NumericType, StringType, StructType
 
 from tidemark.config import Filter
 
+# outside the 32-bit range of ticks, on either side
+BEYOND = 1 << 40
+
 _COMPARE = {
     "=": lambda a, b: a == b,
     "!=": lambda a, b: a != b,
@@ -60,7 +63,7 @@ def validity(filters: tuple[Filter, ...], first: Column, last: Column) -> Column
     for f in filters:
         if not f.on_tick:
             continue
-        value = F.col(f.field).try_cast("double")
+        value = number(F.col(f.field))
         low, high = F.floor(value), F.ceil(value)
         narrowed = []
         for lo, hi in ranges:
@@ -81,6 +84,13 @@ def validity(filters: tuple[Filter, ...], first: Column, last: Column) -> Column
     return F.array(*(F.struct(lo.cast("long").alias("lo"), hi.cast("long").alias("hi")) for lo, hi in ranges))
 
 
+def number(field: Column) -> Column:
+    """A field to compare with ticks: no number is null, and values beyond all ticks are cut to just beyond them."""
+    value = field.try_cast("double")
+    inside = F.greatest(F.least(value, F.lit(float(BEYOND))), F.lit(float(-BEYOND)))
+    return F.when(~F.isnan(value), inside)
+
+
 def _later(a: Column, b: Column) -> Column:
     return F.when(a.isNotNull() & b.isNotNull(), F.greatest(a, b))
 

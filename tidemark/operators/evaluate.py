@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import TICK, QueryConfig, WindowSpec
 from tidemark.functions.aggregates import merge_column, parts_of
-from tidemark.functions.predicates import row_condition, validity
+from tidemark.functions.predicates import number, row_condition, validity
 from tidemark.operators.clock import due_up_to, last_ordinal
 from tidemark.operators.intervals import aggregate_over, repeat_over
 from tidemark.operators.positions import positioned
@@ -56,7 +56,7 @@ def per_tick(df: DataFrame, config: QueryConfig) -> DataFrame:
 
 
 def _holds_at_own_tick(f):
-    field = F.col(f.field).try_cast("double")
+    field = number(F.col(f.field))
     return {
         "=": field == F.col(TICK),
         "<": field < F.col(TICK),
@@ -118,22 +118,26 @@ def over_retained(
         ranged = settled(
             ranged.groupBy(*keys, "__lo", "__hi", *held).agg(*(p.of_rows() for p in parts)), "ranged"
         )
-    ends = ranged.where(F.col("__hi") < FOREVER).select(F.col("__hi").alias("point"))
-    starts = ranged.select((F.col("__lo") - 1).alias("point"))
-    upto = settled(due_up_to(starts.unionByName(ends).distinct(), ticks), "upto")
-    ranged = join_on(
-        ranged.withColumn("__before", F.col("__lo") - 1),
-        upto.select(F.col("point").alias("__before"), F.col("upto").alias("__n_before")),
-        ["__before"],
+    # Points outside the due ticks are cut to their ends, so there are no more than ticks between them.
+    edges = ticks.agg(F.min(TICK).alias("first"), F.max(TICK).alias("last")).first()
+    oldest, newest = (edges["first"] or 0) - 1, edges["last"] or 0
+    ranged = ranged.where((F.col("__lo") <= newest) & (F.col("__hi") > oldest)).withColumn(
+        "__before", F.greatest(F.col("__lo") - 1, F.lit(oldest))
     )
+    ends = ranged.where(F.col("__hi") < newest).select(F.col("__hi").alias("point"))
+    starts = ranged.select(F.col("__before").alias("point"))
+    upto = settled(due_up_to(starts.unionByName(ends).distinct(), ticks), "upto")
     ranged = join_on(
-        ranged, upto.select(F.col("point").alias("__hi"), F.col("upto").alias("__n_end")), ["__hi"]
+        ranged, upto.select(F.col("point").alias("__before"), F.col("upto").alias("__n_before")), ["__before"]
     )
+    # Rows that stay to the end need no look-up, and would all meet in one key.
+    to_end = ranged.where(F.col("__hi") >= newest).withColumn("__n_end", n_due)
+    ending = upto.select(F.col("point").alias("__hi"), F.col("upto").alias("__n_end"))
+    ranged = join_on(ranged.where(F.col("__hi") < newest), ending, ["__hi"], "inner").unionByName(to_end)
     ranged = ranged.withColumns(
         {
             "__first": F.col("__n_before") + 1,
-            "__stop": F.coalesce("__n_end", n_due) if not held
-            else F.least(F.coalesce("__n_end", n_due), F.col("__last")),
+            "__stop": F.least(F.col("__n_end"), F.col("__last")) if held else F.col("__n_end"),
         }
     ).where(F.col("__first") <= F.col("__stop"))
 
@@ -144,7 +148,7 @@ def over_retained(
         arrived = ranged.groupBy(*keys, "__first").agg(
             *(merge_column(kind, c).alias(c) for c, kind in merges.items())
         )
-        totals = running(arrived, keys, "__first", merges, next_position="__next", positions=due)
+        totals = running(arrived, keys, "__first", merges, next_position="__next")
         totals = totals.withColumn("__stop", F.coalesce(F.col("__next") - 1, n_due)).drop("__next")
         return repeat_over(totals, "__first", "__stop", ticks)
     # a time window cannot span more due ticks than ticks

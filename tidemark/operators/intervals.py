@@ -10,20 +10,25 @@ from pyspark.sql import functions as F
 
 from tidemark.config import TICK
 from tidemark.functions.aggregates import merge_column
-from tidemark.operators.scan import BLOCK
+
+# ticks that one task opens at a time
+STRETCH = 1 << 12
 
 
 def repeat_over(df: DataFrame, first: str, last: str, ticks: DataFrame) -> DataFrame:
     """One copy of each row per tick whose ordinal lies in ``[first, last]``.
 
-    Long ranges are opened in two steps, so no single array exceeds one block.
+    Ranges are cut into stretches of ``STRETCH`` ticks, which are dealt out to all tasks before they
+    are opened: few changed rows can stand for very many results.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     opened = (
         df.where(F.col(first) <= F.col(last))
-        .withColumn("__from", F.explode(F.sequence(F.col(first), F.col(last), F.lit(BLOCK).cast("long"))))
+        .withColumn("__from", F.explode(F.sequence(F.col(first), F.col(last), F.lit(STRETCH).cast("long"))))
+        .repartition(tasks)
         .withColumn(
             "ord",
-            F.explode(F.sequence("__from", F.least(F.col(last), F.col("__from") + F.lit(BLOCK - 1)))),
+            F.explode(F.sequence("__from", F.least(F.col(last), F.col("__from") + F.lit(STRETCH - 1)))),
         )
         .drop("__from", first, last)
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +14,7 @@ from tidemark.functions.aggregates import (
     row_count,
     stamp_latest,
 )
+from tidemark.functions.formulas import formula_column
 from tidemark.operators.clock import last_ordinal, with_ordinal
 from tidemark.operators.intervals import repeat_over
 from tidemark.operators.scan import running
@@ -86,7 +85,7 @@ def dense_history(tick_parts: DataFrame, config: QueryConfig, ticks: DataFrame)
             .agg(*(merge_column(kind, c).alias(c) for c, kind in merges.items()))
         )
     newest = last_ordinal(ticks)
-    changed = running(rows, keys, "ord", merges, next_position="__next", positions=newest)
+    changed = running(rows, keys, "ord", merges, next_position="__next")
     ranged = changed.withColumns(
         {"__first": F.col("ord"), "__stop": F.coalesce(F.col("__next") - 1, F.lit(newest))}
     ).drop("ord", "__next")
@@ -118,7 +117,7 @@ def finish(
 
 
 def derived(rows: DataFrame, config: QueryConfig, lead: list[str]) -> DataFrame:
-    """Add the derived metrics; a division by a plain name that is zero gives null."""
+    """Add the derived metrics; a division by zero gives null."""
     if not config.derived_metrics:
         return rows
     names = [c for c in rows.columns if c not in lead]
@@ -128,8 +127,7 @@ def derived(rows: DataFrame, config: QueryConfig, lead: list[str]) -> DataFrame:
         *(F.col(c).try_cast("double").alias(c) for c in names),
     )
     metrics = [
-        F.expr(re.sub(r"/\s*([A-Za-z_]\w*)", r"/ nullif(\1, 0)", m.formula)).alias(f"__m_{m.name}")
-        for m in config.derived_metrics
+        formula_column(m.formula, names).alias(f"__m_{m.name}") for m in config.derived_metrics
     ]
     return numbers.select(*lead, "__kept", *metrics).select(
         *lead, "__kept.*", *(F.col(f"__m_{m.name}").alias(m.name) for m in config.derived_metrics)

@@ -7,11 +7,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import TICK, Filter, QueryConfig
+from tidemark.config import TICK, QueryConfig
 from tidemark.functions.aggregates import finished, helper_count, merge_column, parts_of, stamp_latest
 from tidemark.functions.values import dimension_key, display_name, number_or, storage_field
 from tidemark.operators.clock import last_ordinal, numbered, with_ordinal
-from tidemark.operators.evaluate import selected
+from tidemark.operators.evaluate import pinned_rows
 from tidemark.operators.intervals import repeat_over
 from tidemark.operators.scan import running
 from tidemark.session import settled
@@ -38,7 +38,7 @@ def with_storage_fields(config: QueryConfig) -> QueryConfig:
 def metric_parts(df: DataFrame, config: QueryConfig) -> DataFrame:
     """Parts per tick and dimension value: all dimensions and aggregates in one pass."""
     parts = parts_of(config)
-    rows = selected(df, config).where(F.col(TICK).isNotNull())
+    rows = pinned_rows(df, config)
     values = [
         F.struct(F.lit(d).alias("field"), F.col(d).cast("string").alias("field_value"))
         for d in dimensions_of(config)
@@ -66,13 +66,12 @@ def _running(
     config: QueryConfig,
     position: str,
     next_position: str | None = None,
-    positions: int | None = None,
 ) -> DataFrame:
     parts = parts_of(config)
     stamped = stamp_latest(parts, F.col(TICK))
     rows = df.withColumns(stamped) if stamped else df
     merges = {p.name: p.across for p in parts}
-    return running(rows, DIMENSION, position, merges, next_position, positions=positions)
+    return running(rows, DIMENSION, position, merges, next_position)
 
 
 def unpivoted(rows: DataFrame, config: QueryConfig) -> DataFrame:
@@ -104,7 +103,7 @@ def metric_history(
     at_due = settled(with_ordinal(parts, ticks), "parts")
     active = at_due.select(TICK).distinct()
     empty = numbered(ticks.select(TICK).join(active, TICK, "left_anti"))
-    changed = _running(at_due, config, "ord", "__next", positions=last_ordinal(ticks)).drop("ord")
+    changed = _running(at_due, config, "ord", "__next").drop("ord")
     present = changed.drop("__next")
     n_empty = last_ordinal(empty)
     if n_empty == 0:
@@ -148,8 +147,3 @@ def metric_summary(df: DataFrame, config: QueryConfig) -> DataFrame:
         "helper_count",
         "last_updated_tick",
     )
-
-
-def without_tick_filters(config: QueryConfig) -> QueryConfig:
-    kept: tuple[Filter, ...] = tuple(f for f in config.filters if not f.on_tick)
-    return replace(config, filters=kept)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import TICK, QueryConfig, WindowSpec
@@ -12,8 +12,8 @@ from tidemark.operators.landmark import finish
 from tidemark.operators.positions import positioned
 from tidemark.operators.scan import running
 
-# up to this many rows, a top-n in every task is cheaper than looking for the cut-off tick
-TOP_N_ROWS = 10_000
+# the age of rows without a tick: older than any 32-bit tick
+OLDEST = 1 << 40
 
 
 def retained(df: DataFrame, window: WindowSpec, key: str) -> DataFrame:
@@ -25,35 +25,45 @@ def retained(df: DataFrame, window: WindowSpec, key: str) -> DataFrame:
     if window.by_time:
         oldest = df.agg(F.max(TICK) - F.lit(window.size)).scalar()
         return df.where(F.col(TICK) >= oldest)
-    if not window.by_rows:
-        return df
-    if window.size <= TOP_N_ROWS:
-        return df.orderBy(F.col(TICK).desc(), F.col(key).desc()).limit(window.size)
-    return newest_rows(df, window.size, key)
+    return newest_rows(df, window.size, key) if window.by_rows else df
+
+
+def _age(tick) -> Column:
+    return F.coalesce(-tick.cast("long"), F.lit(OLDEST))
+
+
+def _cut(df: DataFrame, size: int):
+    """The age at which the newest ``size`` rows end, the rows of that age, and the rows up to it; None if all stay."""
+    counts = df.groupBy(_age(F.col(TICK)).alias("age")).agg(F.count("*").alias("own"))
+    summed = running(counts.withColumn("n", F.col("own")), [], "age", {"n": "sum"}).where(F.col("n") >= size)
+    return summed.agg(F.min_by(F.struct("age", "own", "n"), "age").alias("cut")).first()["cut"]
 
 
 def newest_rows(df: DataFrame, size: int, key: str) -> DataFrame:
-    """Whole ticks above the cut-off, and the newest rows of the one tick that is split."""
-    counts = df.where(F.col(TICK).isNotNull()).groupBy(TICK).agg(F.count("*").alias("own"))
-    from_newest = counts.select(TICK, "own", F.col("own").alias("n"), (-F.col(TICK).cast("long")).alias("age"))
-    reached = running(from_newest, [], "age", {"n": "sum"}).where(F.col("n") >= size)
-    cut = reached.agg(F.max_by(F.struct(TICK, "own", "n"), TICK).alias("cut")).first()["cut"]
+    """Whole ticks above the cut-off, and the newest rows of the one tick that is split.
+
+    Rows without a tick are the oldest.
+    """
+    cut = _cut(df, size)
     if cut is None:
         return df
-    room = size - (cut["n"] - cut["own"])
-    newer = df.where(F.col(TICK) > cut[TICK])
-    edge = df.where(F.col(TICK) == cut[TICK])
-    if room == cut["own"]:
-        return newer.unionByName(edge)
-    split = positioned(edge, [key], "__pos").where(F.col("__pos") > cut["own"] - room).drop("__pos")
-    return newer.unionByName(split)
+    age = _age(F.col(TICK))
+    older = cut["n"] - size
+    edge = positioned(df.where(age == cut["age"]), [key], "__pos").where(F.col("__pos") > older).drop("__pos")
+    return df.where(age < cut["age"]).unionByName(edge)
 
 
 def evicted(df: DataFrame, window: WindowSpec, key: str) -> DataFrame:
-    """The rows trimming removes: older ticks, or rows whose key is not among the retained ones."""
+    """The rows trimming removes: those before the cut that :func:`retained` keeps from."""
     if window.by_time:
         return df.where(F.col(TICK) < df.agg(F.max(TICK) - F.lit(window.size)).scalar())
-    return df.join(retained(df, window, key).select(key), key, "left_anti")
+    cut = _cut(df, window.size) if window.by_rows else None
+    if cut is None:
+        return df.where(F.lit(False))
+    age = _age(F.col(TICK))
+    older = cut["n"] - window.size
+    edge = positioned(df.where(age == cut["age"]), [key], "__pos").where(F.col("__pos") <= older).drop("__pos")
+    return df.where(age > cut["age"]).unionByName(edge)
 
 
 def aligned(df: DataFrame, config: QueryConfig, window: WindowSpec, key: str | None = None) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.config import CURRENT_TICK, TICK, ConfigError, QueryConfig, WindowSpec
 from tidemark.functions.aggregates import merge_column, parts_of
@@ -57,7 +59,7 @@ def run_query(
     if TICK in config.group_by:
         df = df.withColumn(f"{TICK}_key", F.col(TICK))
         config = replace(config, group_by=tuple(f"{TICK}_key" if k == TICK else k for k in config.group_by))
-    wide = _with_companions(config, companions, df)
+    wide = with_companions(config, companions, df.schema)
     pinned = at_one_tick(wide)
     window = window or WindowSpec()
     trimmed_tick = pinned and window.by_rows
@@ -122,8 +124,9 @@ def run_tick(
     return landmark.finish(parts, plain, latest_as_struct=False, helpers=True)
 
 
-def parts_to_store(df: DataFrame, config: QueryConfig) -> DataFrame:
+def parts_to_store(df: DataFrame, config: QueryConfig, companions: Sequence[QueryConfig] = ()) -> DataFrame:
     """The parts per tick and group from which :func:`history_from_parts` reads every result."""
+    config = with_companions(config, companions, df.schema)
     if at_one_tick(config):
         return per_tick(df, config)
     if not moves_with_tick(config):
@@ -138,29 +141,38 @@ def history_from_parts(
     *,
     window: WindowSpec | None = None,
     merge: bool = True,
+    frequency: int = 1,
+    clock: DataFrame | None = None,
+    skip_tick_zero: bool = False,
+    companions: Sequence[QueryConfig] = (),
 ) -> DataFrame:
-    """The same results from stored per-tick parts, of which several may share a tick and group."""
+    """The same results from stored per-tick parts, of which several may share a tick and group.
+
+    ``clock`` lists all ticks of the stream, and of others that drive the clock; without it the clock
+    is the ticks that have parts.  ``companions`` must be those the parts were stored with.
+    """
+    if mode not in MODES:
+        raise ConfigError(f"mode must be one of {MODES}")
+    wide = with_companions(config, companions)
     window = window or WindowSpec()
-    merged = parts.groupBy(*config.group_by, TICK).agg(
-        *(merge_column(p.within, p.name).alias(p.name) for p in parts_of(config))
+    merged = parts.groupBy(*wide.group_by, TICK).agg(
+        *(merge_column(p.within, p.name).alias(p.name) for p in parts_of(wide))
     )
-    ticks = None
-    if not at_one_tick(config):
-        if window.by_rows:
-            raise ConfigError("a row-count window needs the rows themselves")
-        merged = settled(merged, "parts")
-        ticks = numbered(ticks_of(merged))
-        merged = over_retained(merged, config, window, ticks, None)
+    if window.by_rows:
+        raise ConfigError("a row-count window needs the rows themselves")
+    merged = settled(merged, "parts")
+    ticks = numbered(_due(merged, clock, frequency, skip_tick_zero))
+    if at_one_tick(wide):
+        merged = merged.join(ticks.select(TICK), TICK, "left_semi")
+    else:
+        merged = over_retained(merged, wide, window, ticks, None)
     if not merge:
-        return landmark.finish(merged, config, latest_as_struct=False)
+        return _shaped(merged, wide, config, latest_as_struct=False)
     if mode == "snapshot":
-        return landmark.finish(landmark.snapshot(merged, config), config)
+        return _shaped(landmark.snapshot(merged, wide), wide, config)
     if mode == "changed":
-        return landmark.finish(landmark.sparse_history(merged, config), config)
-    if ticks is None:
-        merged = settled(merged, "parts")
-        ticks = numbered(ticks_of(merged))
-    return landmark.finish(landmark.dense_history(merged, config, ticks), config)
+        return _shaped(landmark.sparse_history(merged, wide), wide, config)
+    return _shaped(landmark.dense_history(settled(merged, "parts"), wide, ticks), wide, config)
 
 
 def run_metrics(
@@ -186,10 +198,25 @@ def run_metrics(
 
 
 def run_sql(spark: SparkSession, text: str, tick: int, views: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Run a query given as SQL text over the streams, with the current tick bound as a value."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text.replace(CURRENT_TICK, ":current_tick"), args={"current_tick": tick})
+    """Run a query given as SQL text over the streams, with the current tick bound as a value.
+
+    Inside quotes the marker becomes the tick's digits.  ``views`` hide the session's own views of
+    the same names only while the text is read.
+    """
+    quoted = r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*"|`[^`]*`)"""
+    pieces = re.split(quoted, text)
+    bound = [p.replace(CURRENT_TICK, str(tick) if i % 2 else ":current_tick") for i, p in enumerate(pieces)]
+    own = {v.name: spark.table(v.name) for v in spark.catalog.listTables() if v.isTemporary and v.name in (views or {})}
+    try:
+        for name, df in (views or {}).items():
+            df.createOrReplaceTempView(name)
+        return spark.sql("".join(bound), args={"current_tick": tick})
+    finally:
+        for name in views or {}:
+            if name in own:
+                own[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 def _due(df: DataFrame, clock: DataFrame | None, frequency: int, skip_tick_zero: bool) -> DataFrame:
@@ -201,10 +228,14 @@ def _one_pass(df: DataFrame, config: QueryConfig) -> DataFrame:
     return pinned_rows(df, config).groupBy(*config.group_by).agg(*(p.of_rows() for p in parts_of(config)))
 
 
-def _with_companions(config: QueryConfig, companions: Sequence[QueryConfig], df: DataFrame) -> QueryConfig:
+def with_companions(
+    config: QueryConfig, companions: Sequence[QueryConfig], schema: StructType | None = None
+) -> QueryConfig:
+    """The config with the aggregates and summary targets of queries over the same groups."""
     aggregations, updates = list(config.aggregations), list(config.summary_updates)
     for other in companions:
-        other.check(df.schema)
+        if schema is not None:
+            other.check(schema)
         if (other.source, other.group_by, other.filters) != (config.source, config.group_by, config.filters):
             raise ConfigError(f"{other.query_id} does not share the groups of {config.query_id}")
         have = {a.name for a in aggregations}

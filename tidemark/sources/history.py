@@ -4,55 +4,87 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, NumericType, StructField, StructType
+from pyspark.sql.types import DecimalType, IntegralType, LongType, NumericType, StructField, StructType
 
 from tidemark.config import TICK
 from tidemark.functions.values import object_list, whole_number_text
 from tidemark.sources.schemas import HISTORY, SUMMARY
 
-# result objects per stored row; a tick with more groups is stored as several rows
-OBJECTS_PER_ROW = 10_000
-
-
-def _member(name: str, numeric: bool) -> Column:
-    if numeric:
-        text = whole_number_text(F.col(name).cast("double"))
-        return F.concat(F.lit(f'"{name}":'), F.coalesce(text, F.lit("null")))
+def _number_text(field: StructField) -> Column:
+    """A number as JSON text: whole numbers without a fraction, integers and decimals from their own digits."""
+    value = F.col(field.name)
+    if isinstance(field.dataType, IntegralType):
+        return value.cast("string")
+    if isinstance(field.dataType, DecimalType):
+        text = value.cast("string")
+        plain = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+        return F.when(text.contains("."), plain).otherwise(text)
+    return whole_number_text(value.cast("double"))
+
+
+def _member(field: StructField) -> Column:
+    if isinstance(field.dataType, NumericType):
+        return F.concat(F.lit(f'"{field.name}":'), F.coalesce(_number_text(field), F.lit("null")))
     # a one-field object without its braces
-    whole = F.to_json(F.struct(F.col(name).cast("string").alias(name)), {"ignoreNullFields": "false"})
+    whole = F.to_json(F.struct(F.col(field.name).cast("string").alias(field.name)), {"ignoreNullFields": "false"})
     return F.substr(whole, F.lit(2), F.length(whole) - 2)
 
 
 def json_history(rows: DataFrame, query_id: str, keys: list[str]) -> DataFrame:
-    """Store-ready history: per tick the result objects as JSON arrays, in key order.
+    """History rows as JSON: per tick one array of the result objects, in key order.
 
-    A tick with very many groups becomes several rows of about ``OBJECTS_PER_ROW`` objects, so
-    no task builds an unbounded text.
+    This is a view for readers of the JSON form; a tick's text holds all its groups.  Results with
+    more groups than fit a text are kept as typed rows (:func:`append_results`).
     """
     fields = [f for f in rows.schema.fields if f.name != TICK]
-    members = [_member(f.name, isinstance(f.dataType, NumericType)) for f in fields]
-    text = F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
+    text = F.concat(F.lit("{"), F.concat_ws(",", *map(_member, fields)), F.lit("}"))
     order = F.array(*(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys)) if keys else F.array(F.lit(""))
-    items = rows.select(TICK, order.alias("k"), text.alias("o"))
-    sizes = items.groupBy(TICK).agg(F.ceil(F.count("*") / F.lit(OBJECTS_PER_ROW)).alias("parts"))
-    placed = items.join(sizes, TICK).withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")))
-    return placed.groupBy(TICK, "part").agg(
-        F.sort_array(F.collect_list(F.struct("k", "o"))).alias("items")
-    ).select(
-        (F.col(TICK).cast("long") * F.lit(1 << 20) + F.col("part")).alias("id"),
-        F.lit(query_id).alias("query_id"),
-        F.col(TICK).cast("long").alias(TICK),
-        F.concat(F.lit("["), F.array_join(F.col("items.o"), ","), F.lit("]")).alias("result"),
+    own = F.pmod(F.xxhash64(F.lit(query_id)), F.lit(1 << 20))
+    return (
+        rows.select(TICK, order.alias("k"), text.alias("o"))
+        .groupBy(TICK)
+        .agg(F.sort_array(F.collect_list(F.struct("k", "o"))).alias("items"))
+        .select(
+            (F.col(TICK).cast("long") * F.lit(1 << 20) + own).alias("id"),
+            F.lit(query_id).alias("query_id"),
+            F.col(TICK).cast("long").alias(TICK),
+            F.concat(F.lit("["), F.array_join(F.col("items.o"), ","), F.lit("]")).alias("result"),
+        )
     )
 
 
-def append_history(history: DataFrame, path: str) -> None:
-    """Append JSON history rows, one folder per query."""
-    history.where(F.length("result") > 2).write.mode("append").partitionBy("query_id").parquet(path)
+def append_history(history: DataFrame, path: str, batch: int = 0) -> None:
+    """Store JSON history rows of one batch, one folder per query and batch; a repeated batch replaces its own."""
+    _replace(history.where(F.length("result") > 2).withColumn("b", F.lit(batch)), path)
+
+
+def _replace(rows: DataFrame, path: str) -> None:
+    """Write rows into folders by ``query_id`` and ``b``, replacing only those."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("query_id", "b").parquet(path)
+
+
+def append_results(rows: DataFrame, path: str, query_id: str, batch: int = 0) -> None:
+    """Store a query's results of one batch as typed rows, and the newest tick of the batch beside them."""
+    named = rows.withColumns({"query_id": F.lit(query_id), "b": F.lit(batch)})
+    _replace(named, f"{path}/rows")
+    newest = named.groupBy("query_id", "b").agg(F.max(TICK).cast("long").alias(TICK))
+    _replace(newest, f"{path}/newest")
+
+
+def read_results(spark: SparkSession, path: str, query_id: str) -> DataFrame:
+    """A query's typed results; filters on columns and ticks reach the files."""
+    folder = f"{path}/rows/query_id={query_id}"
+    return spark.read.parquet(folder).drop("b")
+
+
+def newest_result(spark: SparkSession, path: str, query_id: str) -> DataFrame:
+    """A query's typed results at its newest tick, which the small table beside the rows tells."""
+    newest = spark.read.parquet(f"{path}/newest/query_id={query_id}").agg(F.max(TICK)).first()[0]
+    return read_results(spark, path, query_id).where(F.col(TICK) == newest)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HISTORY).parquet(path)
+    return spark.read.schema(HISTORY).parquet(path).select(*HISTORY.fieldNames())
 
 
 def parsed_history(history: DataFrame) -> DataFrame:

@@ -9,13 +9,12 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import TICK, ConfigError, QueryConfig, WindowSpec
 from tidemark.functions.aggregates import Part, parts_of
 from tidemark.functions.values import dimension_key
-from tidemark.operators.evaluate import pinned_rows
+from tidemark.operators.evaluate import at_one_tick, pinned_rows
 from tidemark.operators.landmark import SAME_AS_SOURCE, finish
 from tidemark.operators.metrics import DIMENSION, unpivoted, dimensions_of, with_storage_fields
 from tidemark.operators.tables import upsert
 from tidemark.sources.history import write_summary
 from tidemark.sources.schemas import SUMMARY_KEY
-from tidemark.streaming.stages import event_time
 
 
 def _over_all_ticks(part: Part):
@@ -32,6 +31,8 @@ def live_snapshot(rows: DataFrame, config: QueryConfig) -> DataFrame:
     stored parts instead.
     """
     config.check(rows.schema)
+    if not at_one_tick(config):
+        raise ConfigError("a query that is not pinned to the current tick reads the stored parts")
     operation = {a.name: a.operation for a in config.aggregations}
     if any((operation[u.source], u.operation) not in SAME_AS_SOURCE for u in config.summary_updates):
         raise ConfigError("a summary update that merges single ticks needs the stored parts")
@@ -42,20 +43,25 @@ def live_snapshot(rows: DataFrame, config: QueryConfig) -> DataFrame:
 
 
 def live_windows(
-    rows: DataFrame, config: QueryConfig, window: WindowSpec, lateness: str = "0 seconds"
+    rows: DataFrame, config: QueryConfig, window: WindowSpec, lateness: str
 ) -> DataFrame:
-    """Event-time windows (tumbling, or sliding with ``slide``) that close once ``lateness`` has passed."""
+    """Event-time windows (tumbling, or sliding with ``slide``) that close once ``lateness`` has passed.
+
+    Rows that come later than that are dropped by the stream's watermark; its progress counts them.
+    """
     if not window.by_time:
         raise ConfigError("event-time windows are measured in seconds")
-    slide = f"{window.slide or window.size} seconds"
-    span = F.window("__et", f"{window.size} seconds", slide)
+    step = window.slide or window.size
+    # Watermarks begin at the epoch: ticks move behind it by whole steps, which keeps the window starts.
+    shift = -(-(1 << 31) // step) * step + step
+    span = F.window("__et", f"{window.size} seconds", f"{step} seconds")
     merged = (
         pinned_rows(rows, config)
-        .withColumn("__et", event_time())
+        .withColumn("__et", F.timestamp_seconds(F.col(TICK).cast("long") + F.lit(shift)))
         .withWatermark("__et", lateness)
         .groupBy(span.alias("__span"), *config.group_by)
         .agg(*(p.of_rows() for p in parts_of(config)))
-        .withColumn(TICK, F.unix_timestamp("__span.start"))
+        .withColumn(TICK, F.unix_timestamp("__span.start") - F.lit(shift))
         .drop("__span")
     )
     return finish(merged, config, latest_as_struct=False).withColumnRenamed(TICK, "window_start")

@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.config import TICK, QueryConfig, WindowSpec
+from tidemark.config import TICK, QueryConfig
 from tidemark.functions.aggregates import merge_column, parts_of
-from tidemark.plans.run import history_from_parts, parts_to_store
+from tidemark.operators.clock import ticks_of
+from tidemark.plans.run import history_from_parts, parts_to_store, with_companions
 from tidemark.sources.schemas import Stream
 from tidemark.sources.xml import arrived_first, split_files, stream_records
 
@@ -26,10 +27,6 @@ from tidemark.sources.xml import arrived_first, split_files, stream_records
 ARRIVAL = "b"
 
 
-def event_time():
-    return F.timestamp_seconds(F.col(TICK))
-
-
 def _after_epoch():
     """The tick as a time later than the epoch, where watermarks start, for any 32-bit tick."""
     return F.timestamp_seconds(F.col(TICK).cast("long") + F.lit((1 << 31) + 1))
@@ -87,8 +84,11 @@ def start_parts(
     checkpoint: str,
     horizon: str | None = None,
     keep_rows: bool = False,
+    companions: dict[str, Sequence[QueryConfig]] | None = None,
 ) -> StreamingQuery:
-    """Stage 2: drop repeated keys, then store each query's per-tick parts per batch.
+    """Stage 2: drop repeated keys, then store each query's per-tick parts and the ticks per batch.
+
+    ``companions`` lists, by query id, the queries whose summary targets a query's derived metrics use.
 
     Without ``horizon`` every key is remembered and the earliest arrival wins.  With one, state is
     bounded: keys are remembered that long in event time, rows older than that are dropped (see
@@ -110,15 +110,20 @@ def start_parts(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for config in configs:
-                parts_to_store(batch, config).write.mode("overwrite").parquet(
+                own = (companions or {}).get(config.query_id, ())
+                parts_to_store(batch, config, own).write.mode("overwrite").parquet(
                     f"{out}/parts/{config.query_id}/b={batch_id}"
                 )
+            ticks_of(batch).write.mode("overwrite").parquet(f"{out}/ticks/b={batch_id}")
             if keep_rows:
                 batch.write.mode("overwrite").parquet(f"{out}/rows/b={batch_id}")
         finally:
             batch.unpersist()
 
-    return _start(unique, store, checkpoint, "append" if horizon else "update")
+    query = _start(unique, store, checkpoint, "append" if horizon else "update")
+    if horizon:
+        spark.streams.addListener(_LateRows(spark, str(query.id), f"{out}/late"))
+    return query
 
 
 def read_clean(spark: SparkSession, stream: Stream, out: str, max_files: int | None = None) -> DataFrame:
@@ -133,34 +138,70 @@ def read_parts(spark: SparkSession, out: str, config: QueryConfig) -> DataFrame:
     return spark.read.parquet(f"{out}/parts/{config.query_id}").drop("b")
 
 
+def read_ticks(spark: SparkSession, *outs: str) -> DataFrame:
+    """The clock of one or more streams: the ticks of all batches, also of those without matching rows."""
+    return ticks_of(*(spark.read.schema(f"{TICK} long").parquet(f"{out}/ticks") for out in outs))
+
+
 def live_history(
     spark: SparkSession,
     out: str,
     config: QueryConfig,
     mode: str = "history",
     *,
-    window: WindowSpec | None = None,
-    merge: bool = True,
+    clock: DataFrame | None = None,
+    **options,
 ) -> DataFrame:
-    """The history so far, from all stored parts."""
-    return history_from_parts(read_parts(spark, out, config), config, mode, window=window, merge=merge)
+    """The history so far, from all stored parts; options as in :func:`history_from_parts`.
+
+    The clock is that of the stream itself unless another one is given.
+    """
+    clock = read_ticks(spark, out) if clock is None else clock
+    return history_from_parts(read_parts(spark, out, config), config, mode, clock=clock, **options)
 
 
-def compact_parts(spark: SparkSession, out: str, config: QueryConfig, target: str) -> None:
-    """Merge the parts of all batches into one table with a row per tick and group."""
+def compact_parts(
+    spark: SparkSession, out: str, config: QueryConfig, target: str, companions: Sequence[QueryConfig] = ()
+) -> None:
+    """Merge the parts and ticks of all batches into one table each, with a row per tick and group."""
+    read_ticks(spark, out).write.mode("overwrite").parquet(f"{target}/ticks/b=0")
     parts = read_parts(spark, out, config)
+    config = with_companions(config, companions)
     parts.groupBy(*config.group_by, TICK).agg(
         *(merge_column(p.within, p.name).alias(p.name) for p in parts_of(config))
     ).write.mode("overwrite").parquet(f"{target}/parts/{config.query_id}/b=0")
 
 
-def dropped_late(query: StreamingQuery) -> int:
-    """How many rows the query dropped for being older than its horizon."""
-    return sum(
-        int(op["numRowsDroppedByWatermark"])
-        for progress in query.recentProgress
-        for op in progress["stateOperators"]
-    )
+class _LateRows(StreamingQueryListener):
+    """Stores, per batch of one query, how many rows were dropped for being older than its horizon."""
+
+    def __init__(self, spark: SparkSession, query_id: str, path: str):
+        self.spark, self.query_id, self.path = spark, query_id, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        if str(progress.id) == self.query_id:
+            late = sum(op.numRowsDroppedByWatermark for op in progress.stateOperators)
+            row = self.spark.range(1).select(F.lit(late).cast("long").alias("late"))
+            row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/b={progress.batchId}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if str(event.id) == self.query_id:
+            self.spark.streams.removeListener(self)
+
+
+def dropped_late(spark: SparkSession, out: str) -> int:
+    """How many rows all batches so far dropped for being older than the horizon, restarts included.
+
+    Counts arrive with the progress of a batch, shortly after the batch itself.
+    """
+    return spark.read.schema("late long").parquet(f"{out}/late").agg(F.sum("late")).first()[0] or 0
 
 
 def _start(rows: DataFrame, store, checkpoint: str, mode: str = "append") -> StreamingQuery:

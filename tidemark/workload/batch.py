@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegerType
 
-from tidemark import Aggregation, Filter, QueryConfig, SummaryUpdate, WindowSpec, run_metrics, run_query, run_sql, run_tick
+from tidemark import Aggregation, DerivedMetric, Filter, QueryConfig, SummaryUpdate, WindowSpec, run_metrics, run_query, run_sql, run_tick
 from tidemark.config import CURRENT_TICK
 from tidemark.functions import values
 from tidemark.operators import clock, landmark, retention, series, tables
@@ -361,6 +361,8 @@ register("retain_sliding_seconds")(_retained(*SENSOR, WindowSpec("Sliding", 5, "
 register("retain_sliding_rows")(_retained(*SENSOR, WindowSpec("Sliding", 137, "packets")))
 register("retain_tumbling_seconds")(_retained(*EVENT, WindowSpec("Tumbling", 24, "seconds")))
 register("retain_tumbling_rows")(_retained(*EVENT, WindowSpec("Tumbling", 10, "events")))
+register("retain_large_rows")(_retained(*SENSOR, WindowSpec("Sliding", 12_000, "packets")))
+register("retain_sliding_events")(_retained(*EVENT, WindowSpec("Sliding", 55, "events")))
 register("retain_landmark")(_retained(*COMMAND, WindowSpec("Landmark")))
 register("retain_unknown_unit")(_retained(*COMMAND, WindowSpec("Sliding", 5, "")))
 
@@ -377,6 +379,46 @@ def _(spark, folder):
     ).select("pkt_id", "ts")
 
 
+def _last_digit():
+    return F.substring("pkt_id", -1, 1).cast("int")
+
+
+@register("retain_null_ticks")
+def _(spark, folder):
+    """Rows without a tick are the oldest."""
+    rows = bindings.sensor_stream(spark, folder)
+    some = rows.withColumn("ts", F.when(_last_digit() % 2 == 0, F.col("ts")))
+    many = rows.count() * 3 // 4
+    return retention.retained(some, WindowSpec("Sliding", many, "packets"), "pkt_id").select("pkt_id", "ts")
+
+
+@register("evicted_by_rows")
+def _(spark, folder):
+    rows = bindings.sensor_stream(spark, folder)
+    return retention.evicted(rows, WindowSpec("Sliding", 137, "packets"), "pkt_id").select("pkt_id", "ts")
+
+
+@register("derived_nested")
+def _(spark, folder):
+    """Divisions by zero, by numbers and by brackets."""
+    metrics = (
+        DerivedMetric("zero", "s_spd / (c_pkt - c_pkt)"),
+        DerivedMetric("by_zero", "s_spd / c_pkt / 0"),
+        DerivedMetric("nested", "-(x_spd - s_spd / c_pkt) * 2 / (x_spd + 1.5)"),
+    )
+    config = _sensor(SPEED_SUM, SPEED_MAX, PACKETS, derived_metrics=metrics)
+    return run_query(bindings.sensor_stream(spark, folder), config)
+
+
+@register("field_lt_tick_large")
+def _(spark, folder):
+    """A field far beyond all ticks, and one that is no number."""
+    far = F.when(_last_digit() % 3 == 0, 1e19).when(_last_digit() % 3 == 1, float("nan")).otherwise(-1e19)
+    rows = bindings.sensor_stream(spark, folder).withColumn("occupancy", far)
+    config = _sensor(PACKETS, filters=(Filter("occupancy", "<", CURRENT_TICK),), by=("road_id",))
+    return run_query(rows, config, "history", merge=False)
+
+
 def _windowed(window: WindowSpec | None, merge: bool, frequency: int = 1):
     config = _sensor(SPEED_SUM, SPEED_MAX, SPEED_MIN, SPEED_AVG, PACKETS, by=("road_id",), filters=())
     return lambda spark, folder: run_query(
@@ -516,7 +558,7 @@ def _invalidated(spark, folder):
     summary = run_metrics(rows, METRICS["SENSOR-METRICS"], "summary").unionByName(
         run_metrics(events, METRICS["EVENT-METRICS"], "summary")
     )
-    changed = rows.limit(1).select(F.lit("IS-SPEED-PKT").alias("query_id"), F.lit("sensor_stream").alias("source"))
+    changed = spark.sql("SELECT 'IS-SPEED-PKT' AS query_id, 'sensor_stream' AS source")
     return tables.invalidated(speed.unionByName(vehicles), summary, changed)
 
 
@@ -627,7 +669,7 @@ def _(spark, folder):
 
 @register("series_available_top")
 def _(spark, folder):
-    return series.available(series.long_rows(_metric_json(spark, folder)), 20)
+    return series.available(series.long_rows(_metric_json(spark, folder)), 200)
 
 
 @register("number_values")

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark import WindowSpec, run_query
-from tidemark.plans.seeds import METRICS, SEEDS
+from tidemark import WindowSpec, run_metrics, run_query
+from tidemark.plans.seeds import COMPANIONS, METRICS, SEEDS
 from tidemark.session import scratch_path
+from tidemark.operators import series
 from tidemark.sources import bindings, history, xml
 from tidemark.sources.schemas import COMMAND, EVENT, SENSOR, Stream
 from tidemark.streaming import live, stages
@@ -95,6 +96,41 @@ def _(spark, folder):
     return stages.live_history(spark, out, SEEDS["RD-EVT-PKT"])
 
 
+def _events_in_files(spark, folder) -> DataFrame:
+    """The events as a stream over several files, taken in two per batch, with every third row in a second file too."""
+    rows = bindings.table(spark, folder, "events")
+    path = scratch_path(spark, "arriving")
+    again = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0)
+    rows.unionByName(again).repartition(6, F.rand(1)).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+
+
+def _live_parts(spark, folder, config, companions=()) -> str:
+    out = scratch_path(spark, "live")
+    rows = bindings.sensor_rows(_events_in_files(spark, folder))
+    others = {config.query_id: companions}
+    stages.start_parts(
+        spark, rows, SENSOR.key, [config], out, f"{out}/checkpoint", companions=others
+    ).awaitTermination()
+    return out
+
+
+@keep("stream_freq5")
+def _(spark, folder):
+    """Several micro-batches with repeated keys, evaluated at every fifth tick."""
+    config = batch._sensor(*batch.BY_ROAD)
+    return stages.live_history(spark, _live_parts(spark, folder, config), config, frequency=5)
+
+
+@keep("stream_rd_occ")
+def _(spark, folder):
+    """A query whose derived metric needs the summary target of a companion."""
+    config = SEEDS["RD-OCC-PKT"]
+    others = [SEEDS[c] for c in COMPANIONS["RD-OCC-PKT"]]
+    out = _live_parts(spark, folder, config, others)
+    return stages.live_history(spark, out, config, "snapshot", companions=others)
+
+
 @keep("stream_parts_history")
 def _(spark, folder):
     """Table rows as a stream, remembered keys bounded by a horizon longer than the data."""
@@ -139,7 +175,7 @@ def _(spark, folder):
         (batch.Aggregation("c_cmd", "count", "*"), batch.Aggregation("x_dur", "max", "duration")),
         ("action",),
     )
-    windows = live.live_windows(rows, config, WindowSpec("Tumbling", 30, "seconds"))
+    windows = live.live_windows(rows, config, WindowSpec("Tumbling", 30, "seconds"), "0 seconds")
     return _last_batch(windows, "complete")
 
 
@@ -161,13 +197,44 @@ def _(spark, folder):
     return history.read_stream_table(spark, path, last_ticks=20, ticks_per_folder=64)
 
 
+def _typed(spark, folder, query_id: str, rows: DataFrame) -> str:
+    """Results stored twice as one batch: the second time replaces the first."""
+    path = scratch_path(spark, "results")
+    for _ in range(2):
+        history.append_results(rows, path, query_id)
+    return path
+
+
+@keep("series_wide_typed")
+def _(spark, folder):
+    rows = run_query(bindings.sensor_stream(spark, folder), SEEDS["RD-SPEED-PKT"], "history")
+    stored = history.read_results(spark, _typed(spark, folder, "RD-SPEED-PKT", rows), "RD-SPEED-PKT")
+    return series.wide_points(stored, "avg_speed", "road_id", "I102_R3", 100)
+
+
+@keep("series_long_typed")
+def _(spark, folder):
+    rows = run_metrics(bindings.sensor_stream(spark, folder), batch.MANY)
+    stored = history.read_results(spark, _typed(spark, folder, "SENSOR-METRICS", rows), "SENSOR-METRICS")
+    return series.long_series(stored, "road_id", "avg_speed", "avg", "I102_R3", 200)
+
+
+@keep("latest_snapshot_typed")
+def _(spark, folder):
+    rows = run_query(bindings.sensor_stream(spark, folder), SEEDS["RD-SPEED-PKT"], "history")
+    newest = history.newest_result(spark, _typed(spark, folder, "RD-SPEED-PKT", rows), "RD-SPEED-PKT")
+    return newest.select("ts", "road_id", F.col("x_spd").cast("double").alias("x_spd"), F.col("c_pkt").cast("long").alias("c_pkt"))
+
+
 @keep("stored_history")
 def _(spark, folder):
     path = scratch_path(spark, "history")
     for query_id in ("RD-VEH-PKT", "IS-VEH-PKT"):
         config = SEEDS[query_id]
         rows = run_query(bindings.sensor_stream(spark, folder), config, "changed")
-        history.append_history(history.json_history(rows, query_id, list(config.group_by)), path)
+        stored = history.json_history(rows, query_id, list(config.group_by))
+        for _ in range(2):  # a repeated batch replaces its own rows
+            history.append_history(stored, path, 7)
     stored = history.read_history(spark, path)
     return history.parsed_history(stored).select(
         "query_id", "ts", F.size("result").cast("long").alias("objects")

@@ -485,7 +485,7 @@ _sql("series_long", SENSOR, *LONG, "c1 AS (SELECT * FROM rows_ WHERE field = 'ro
 _sql("series_available", SENSOR, *LONG, select="SELECT DISTINCT field, field_value, metric, aggregate FROM rows_")
 _sql("series_available_top", SENSOR, *LONG, select="""
 SELECT DISTINCT field, field_value, metric, aggregate FROM rows_
-ORDER BY field, field_value, metric, aggregate LIMIT 20""")
+ORDER BY field, field_value, metric, aggregate LIMIT 200""")
 _sql("number_values", select="""
 SELECT role, sum(coalesce(TRY_CAST(trim(text) AS DOUBLE), 0)) AS as_numbers,
   CAST(sum(turn) AS DOUBLE) AS turns, count(*) AS n FROM conversations GROUP BY role""")
@@ -533,3 +533,27 @@ SELECT {SENSOR_ALL} FROM sensor WHERE ts >= (SELECT max(ts) FROM sensor) - 20"""
 _sql("stored_history", SENSOR, select="""
 SELECT 'RD-VEH-PKT' AS query_id, ts, count(DISTINCT road_id) AS objects FROM sensor GROUP BY ts
 UNION ALL SELECT 'IS-VEH-PKT', ts, count(DISTINCT intersection_id) FROM sensor GROUP BY ts""")
+
+# --- added rows ---------------------------------------------------------------------------------------
+
+for _name, _same in (
+    ("stream_freq5", "hist_freq5"), ("stream_rd_occ", "snap_rd_occ"), ("series_wide_typed", "series_wide"),
+    ("series_long_typed", "series_long"), ("latest_snapshot_typed", "latest_snapshot"),
+):
+    ORACLES[_name] = ORACLES[_same]
+_sql("retain_large_rows", SENSOR, select=f"""
+SELECT {SENSOR_ALL} FROM sensor ORDER BY sensor.ts DESC, pkt_id DESC LIMIT 12000""")
+_sql("retain_sliding_events", EVENT, select="SELECT * FROM event ORDER BY ts DESC, event_id DESC LIMIT 55")
+_sql("retain_null_ticks", SENSOR, """some AS (
+  SELECT pkt_id, CASE WHEN CAST(right(pkt_id, 1) AS INT) % 2 = 0 THEN ts END AS ts FROM sensor)""", select="""
+SELECT pkt_id, ts FROM some ORDER BY ts DESC NULLS LAST, pkt_id DESC LIMIT (SELECT count(*) * 3 // 4 FROM sensor)""")
+_sql("evicted_by_rows", SENSOR, select="""
+SELECT pkt_id, ts FROM (SELECT pkt_id, ts, row_number() OVER (ORDER BY ts DESC, pkt_id DESC) AS n FROM sensor) WHERE n > 137""")
+_sql("derived_nested", SENSOR, select="""
+SELECT road_id, intersection_id, CAST(sum(avg_speed) AS DOUBLE) AS s_spd, CAST(max(avg_speed) AS DOUBLE) AS x_spd,
+  count(*) AS c_pkt, CAST(NULL AS DOUBLE) AS zero, CAST(NULL AS DOUBLE) AS by_zero,
+  -(CAST(max(avg_speed) AS DOUBLE) - CAST(sum(avg_speed) AS DOUBLE) / count(*)) * 2 / (CAST(max(avg_speed) AS DOUBLE) + 1.5) AS nested
+FROM sensor GROUP BY road_id, intersection_id""")
+_sql("field_lt_tick_large", SENSOR, select="""
+SELECT t.ts, s.road_id, count(*) AS c_pkt FROM (SELECT DISTINCT ts FROM sensor) t
+JOIN sensor s ON s.ts <= t.ts AND CAST(right(s.pkt_id, 1) AS INT) % 3 = 2 GROUP BY t.ts, s.road_id""")
