@@ -57,6 +57,12 @@ def test_bad_configs_are_refused(config):
         QueryConfig.from_dict(config).check(SCHEMA)
 
 
+def test_all_faults_are_reported_together():
+    with pytest.raises(ConfigError) as found:
+        QueryConfig.from_dict(raw(group_by="road_id", filter=[5], aggregations=["sum"]))
+    assert all(word in str(found.value) for word in ("group_by", "filters", "aggregations"))
+
+
 def test_wrong_source_is_refused():
     with pytest.raises(ConfigError):
         QueryConfig.from_dict(raw(source="elsewhere")).check(SCHEMA, "sensor_stream")

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows_of
 
 from tidemark import Aggregation, Filter, QueryConfig, SummaryUpdate, WindowSpec, run_query, run_tick
+from tidemark.operators import evaluate
 from tidemark.config import CURRENT_TICK, DerivedMetric
 from tidemark.operators.clock import ticks_of
 from tidemark.operators.landmark import merge_snapshots
@@ -176,9 +177,10 @@ def test_history_equals_a_fold(sensor, seed, frequency):
         assert got[at] == pytest.approx((s, c, a, n, x, v))
 
 
-@pytest.mark.parametrize("unit,size", [("seconds", 3), ("seconds", 50), ("packets", 4), ("events", 25)])
+@pytest.mark.parametrize("unit,size", [("seconds", 3), ("seconds", 50), ("packets", 4), ("events", 25), ("packets", 40)])
 @pytest.mark.parametrize("merge", [False, True])
-def test_retained_windows_equal_brute_force(sensor, unit, size, merge):
+def test_retained_windows_equal_brute_force(sensor, unit, size, merge, monkeypatch):
+    monkeypatch.setattr(evaluate, "PRUNED", 30)
     rng = random.Random(size)
     rows = [(rng.choice("ABC"), rng.randint(0, 60), float(rng.randint(1, 99))) for _ in range(90)]
     query = config(ALL[0], ALL[1], ALL[3], ALL[4], filters=())

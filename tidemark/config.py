@@ -111,29 +111,26 @@ class QueryConfig:
 
     @classmethod
     def from_dict(cls, raw: dict | str, query_id: str | None = None) -> QueryConfig:
-        if isinstance(raw, str):
-            raw = json.loads(raw)
-        if not isinstance(raw, dict):
-            raise ConfigError("a query config must be an object")
-        group_by = raw.get("group_by") or []
-        if not isinstance(group_by, list):
-            raise ConfigError("group_by must be a list")
-        aggregations = raw.get("aggregations")
-        if not isinstance(aggregations, list) or not aggregations:
-            raise ConfigError("aggregations must be a list with at least one item")
-        filters = raw.get("filter") or []
-        filters = filters if isinstance(filters, list) else [filters]
-        dimensions = raw.get("dimension_fields")
+        """A config from its JSON form; all faults of that form are reported together."""
+        faults: list[str] = []
+        values = _read(json.loads(raw) if isinstance(raw, str) else raw, _CONFIG, "query config", faults)
+        stored = _read(values.pop("output_buffer", {}), _BUFFER, "output_buffer", faults)
+        items = {
+            name: tuple(kind(**_read(item, _ITEMS[kind], name, faults)) for item in values.pop(key, []))
+            for key, (name, kind) in _LISTS.items()
+        }
+        if not items["aggregations"]:
+            faults.append("aggregations must be a list with at least one item")
+        if faults:
+            raise ConfigError("; ".join(faults))
+        names = {k: tuple(values[k]) for k in ("group_by", "dimension_fields")}
         return cls(
-            query_id=query_id or raw.get("query_id") or "",
-            source=raw.get("source") or "",
-            group_by=tuple(group_by),
-            filters=tuple(_filter(item) for item in filters),
-            aggregations=tuple(_aggregation(item) for item in aggregations),
-            dimension_fields=tuple(dimensions) if dimensions else None,
-            summary_updates=tuple(SummaryUpdate(**u) for u in raw.get("summary_updates") or []),
-            derived_metrics=tuple(DerivedMetric(**m) for m in raw.get("derived_metrics") or []),
-            store_fields=tuple((raw.get("output_buffer") or {}).get("store_fields") or ()),
+            query_id=query_id or values["query_id"],
+            source=values["source"],
+            **items,
+            group_by=names["group_by"],
+            dimension_fields=names["dimension_fields"] or None,
+            store_fields=tuple(stored.get("store_fields", ())),
         )
 
     def check(self, schema: StructType, source: str | None = None) -> QueryConfig:
@@ -171,33 +168,63 @@ class QueryConfig:
                 raise ConfigError(f"unknown summary operation {update.operation!r}")
             if update.source not in names:
                 raise ConfigError(f"summary source {update.source!r} names no aggregation")
+        for metric in self.derived_metrics:
+            _name(metric.name, "derived metric")
         return self
 
     def with_standard_names(self) -> QueryConfig:
-        """Name every aggregation ``<field>_<operation>``; ``speed`` means ``avg_speed``."""
-        named = []
-        for agg in self.aggregations:
-            field = "avg_speed" if self.source == "sensor_stream" and agg.field == "speed" else agg.field
-            label = "all" if field == "*" else field
-            named.append(replace(agg, field=field, name=f"{label}_{agg.operation}"))
-        return replace(self, aggregations=tuple(named))
-
-
-def _filter(raw: Any) -> Filter:
-    if not isinstance(raw, dict):
-        raise ConfigError("every filter must be an object")
-    return Filter(raw.get("field"), str(raw.get("operator", "=")).strip(), raw.get("value"))
-
-
-def _aggregation(raw: Any) -> Aggregation:
-    if not isinstance(raw, dict):
-        raise ConfigError("every aggregation must be an object")
-    return Aggregation(
-        raw.get("name"),
-        str(raw.get("operation", "")).lower(),
-        raw.get("field") or "*",
-        raw.get("count_field"),
-    )
+        """Aggregations called after what they compute; ``speed`` of the sensor stream is ``avg_speed``."""
+        alias = {"speed": "avg_speed"} if self.source == "sensor_stream" else {}
+        fields = [alias.get(a.field, a.field) for a in self.aggregations]
+        return replace(self, aggregations=tuple(
+            replace(a, field=f, name="_".join([f.replace("*", "all"), a.operation]))
+            for a, f in zip(self.aggregations, fields, strict=True)
+        ))
+
+
+# The fields of the JSON form, their types and defaults.
+_CONFIG = {
+    "query_id": (str, ""), "source": (str, ""), "group_by": (list, []), "filter": (list, []),
+    "aggregations": (list, []), "dimension_fields": (list, []), "summary_updates": (list, []),
+    "derived_metrics": (list, []), "output_buffer": (dict, {}),
+}
+_BUFFER = {"store_fields": (list, [])}
+_ITEMS = {
+    Filter: {"field": (str, None), "operator": (str, "="), "value": (object, None)},
+    Aggregation: {"name": (str, None), "operation": (str, ""), "field": (str, "*"), "count_field": (str, None)},
+    SummaryUpdate: {"target": (str, None), "source": (str, None), "operation": (str, None)},
+    DerivedMetric: {"name": (str, None), "formula": (str, None)},
+}
+# The lists of items, under their JSON names and as config fields.
+_LISTS = {
+    "filter": ("filters", Filter), "aggregations": ("aggregations", Aggregation),
+    "summary_updates": ("summary_updates", SummaryUpdate), "derived_metrics": ("derived_metrics", DerivedMetric),
+}
+# How a value is cleaned after reading.
+_CLEANED = {"operator": str.strip, "operation": str.lower}
+
+
+def _read(raw: Any, fields: dict[str, tuple[type, Any]], label: str, faults: list[str]) -> dict[str, Any]:
+    """The known fields of a JSON object by their table; what is missing, null or empty has its default.
+
+    A lone filter object is a list of one.  Faults are added to ``faults``.
+    """
+    given = raw if isinstance(raw, dict) else {}
+    if given is not raw:
+        faults.append(f"{label}: an object must stand here, not {raw!r}")
+    values = {}
+    for name, (kind, default) in fields.items():
+        value = given.get(name)
+        if kind is not object and value in (None, "", [], {}):
+            value = default
+        if name == "filter" and isinstance(value, dict):
+            value = [value]
+        if not isinstance(value, kind) and value is not default:
+            faults.append(f"{label}: {name} must be a {kind.__name__}, not {value!r}")
+            value = default
+        clean = _CLEANED.get(name)
+        values[name] = clean(value) if clean and value is not None else value
+    return values
 
 
 def _name(value: Any, label: str) -> None:

@@ -11,7 +11,7 @@ a field with the current tick.  Three shapes follow:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import TICK, QueryConfig, WindowSpec
@@ -20,10 +20,12 @@ from tidemark.functions.predicates import number, row_condition, validity
 from tidemark.operators.clock import due_up_to, last_ordinal
 from tidemark.operators.intervals import aggregate_over, repeat_over
 from tidemark.operators.positions import positioned
-from tidemark.operators.scan import join_on, running
+from tidemark.operators.scan import BLOCK, join_on, running
 from tidemark.session import settled
 
 FOREVER = (1 << 62) - 1
+# up to this rank Spark prunes row numbers before the shuffle
+PRUNED = 1000
 
 
 def at_one_tick(config: QueryConfig) -> bool:
@@ -100,7 +102,7 @@ def over_retained(
     if window.by_rows:
         wanted = {*keys, *(p.field for p in parts if p.field != "*"), *(f.field for f in config.filters)}
         rows = rows.where(F.col(TICK).isNotNull()).select(*sorted(wanted | {TICK, key}))
-        rows = selected(_last_due_by_rows(rows, window.size, ticks, due, key), config)
+        rows = selected(_last_due_by_rows(rows, window.size, ticks, key), config)
         held = ["__last"]
     else:
         if window.by_time:
@@ -156,56 +158,39 @@ def over_retained(
     return aggregate_over(ranged, keys, "__first", "__stop", merges, ticks, longest)
 
 
-def _last_due_by_rows(rows: DataFrame, size: int, ticks: DataFrame, due: int, key: str) -> DataFrame:
+def _last_due_by_rows(rows: DataFrame, size: int, ticks: DataFrame, key: str) -> DataFrame:
     """Attach to each row the ordinal (``__last``) of the last due tick whose newest ``size`` rows hold it.
 
-    A due tick evicts all positions up to some threshold.  A row needs the last threshold below its
-    position: the last one of all earlier blocks of positions, or one of the few in its own block.
-    Blocks are so long that rows x thresholds within blocks stay below four per row in total.
+    The row at position p of all rows in tick and key order is among the newest ``size`` at a tick as long
+    as no more than p + size - 1 rows lie at or before that tick.  Up to ``PRUNED`` rows, only the newest
+    ``size`` of every tick can ever be held, and Spark drops the others before its shuffle; larger
+    windows number all rows by a range sort.
     """
-    counts = settled(
-        rows.groupBy(F.col(TICK).cast("long").alias(TICK)).agg(F.count("*").alias("__held")), "counts"
-    )
-    n_rows = counts.agg(F.sum("__held")).first()[0] or 0
-    block = max(1, -(-4 * n_rows // max(due, 1)))
+    tick = F.col(TICK).cast("long")
     marks = (
-        counts.withColumn("ord", F.lit(None).cast("long"))
+        rows.groupBy(tick.alias(TICK)).agg(F.count("*").alias("__held"))
+        .withColumn("ord", F.lit(None).cast("long"))
         .unionByName(ticks.select(TICK, F.lit(None).cast("long").alias("__held"), "ord"))
         .groupBy(TICK)
         .agg(F.sum("__held").alias("__held"), F.max("ord").alias("ord"))
     )
-    thresholds = settled(
-        running(marks, [], TICK, {"__held": "sum"})
-        .where(F.col("ord").isNotNull())
-        .select(
-            F.greatest(F.coalesce("__held", F.lit(0)) - F.lit(size), F.lit(0)).alias("__at"), "ord"
-        )
-        .groupBy("__at")
-        .agg(F.max("ord").alias("ord")),
-        "thresholds",
-    )
-    own = F.floor(F.col("__at") / F.lit(block))
-    inside = thresholds.groupBy(own.alias("__span")).agg(
-        F.sort_array(F.collect_list(F.struct("__at", "ord"))).alias("__inside")
-    )
-    earlier = (
-        rows.sparkSession.range(n_rows // block + 1)
-        .select(F.col("id").alias("__span"), F.lit(None).cast("long").alias("__earlier"))
-        .unionByName(thresholds.select((own + 1).alias("__span"), F.col("ord").alias("__earlier")))
-        .groupBy("__span")
-        .agg(F.max("__earlier").alias("__earlier"))
-    )
-    blocks = settled(
-        running(earlier, [], "__span", {"__earlier": "max"}).join(inside, "__span", "left"), "blocks"
-    )
-    placed = positioned(rows, [TICK, key], "__pos")
-    passed = F.filter("__inside", lambda t: t["__at"] < F.col("__pos"))
-    return (
-        placed.withColumn("__span", F.floor((F.col("__pos") - 1) / F.lit(block)))
-        .join(blocks, "__span")
-        .withColumn(
-            "__last",
-            F.coalesce(F.try_element_at(passed, F.lit(-1))["ord"], F.col("__earlier"), F.lit(0).cast("long")),
-        )
-        .drop("__span", "__inside", "__earlier", "__pos")
+    held = settled(running(marks, [], TICK, {"__held": "sum"}), "held")
+    n_rows = held.agg(F.max("__held")).first()[0] or 0
+    if size <= PRUNED:
+        newest = Window.partitionBy(TICK).orderBy(F.col(key).desc())
+        kept = rows.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= size)
+        placed = join_on(kept, held.select(TICK, "__held"), [TICK], "inner").withColumn(
+            "__reach", F.col("__held") - F.col("__rank") + F.lit(size)
+        ).drop("__held", "__rank")
+    else:
+        placed = positioned(rows, [TICK, key], "__pos").withColumn(
+            "__reach", F.col("__pos") + F.lit(size - 1)
+        ).drop("__pos")
+    placed = settled(placed, "placed")
+    wanted = placed.select("__reach").distinct().withColumn("ord", F.lit(None).cast("long"))
+    steps = held.where(F.col("ord").isNotNull()).select(F.coalesce("__held", F.lit(0)).alias("__reach"), "ord")
+    reached = wanted.unionByName(steps).groupBy("__reach").agg(F.max("ord").alias("__last"))
+    last = running(reached, [], "__reach", {"__last": "max"}, block=max(BLOCK, n_rows >> 16))
+    return join_on(placed, last, ["__reach"], "inner").drop("__reach").withColumn(
+        "__last", F.coalesce("__last", F.lit(0).cast("long"))
     )

@@ -271,7 +271,7 @@ _sql("merge_snapshots", SENSOR, PARTS, "cut AS (SELECT floor(max(ts) / 2) AS hal
   arg_max(x, ts) AS v FROM sides GROUP BY road_id, intersection_id, newer)""", select="""
 SELECT road_id, intersection_id, CAST(sum(s) AS DOUBLE) AS s_spd, CAST(max(x) AS DOUBLE) AS x_spd,
   CAST(min(n) AS DOUBLE) AS n_spd, CAST(sum(c) AS BIGINT) AS c_pkt,
-  true AS mean_agrees,
+  round(CAST(sum(s) AS DOUBLE) / CAST(sum(c) AS BIGINT), 6) AS a_spd,
   CAST(arg_max(v, newer) AS DOUBLE) AS v_spd,
   max(CASE WHEN newer THEN 'second half' END) AS note
 FROM halves GROUP BY road_id, intersection_id""")
@@ -544,9 +544,9 @@ for _name, _same in (
 _sql("retain_large_rows", SENSOR, select=f"""
 SELECT {SENSOR_ALL} FROM sensor ORDER BY sensor.ts DESC, pkt_id DESC LIMIT 12000""")
 _sql("retain_sliding_events", EVENT, select="SELECT * FROM event ORDER BY ts DESC, event_id DESC LIMIT 55")
-_sql("retain_null_ticks", SENSOR, """some AS (
+_sql("retain_null_ticks", SENSOR, """partly AS (
   SELECT pkt_id, CASE WHEN CAST(right(pkt_id, 1) AS INT) % 2 = 0 THEN ts END AS ts FROM sensor)""", select="""
-SELECT pkt_id, ts FROM some ORDER BY ts DESC NULLS LAST, pkt_id DESC LIMIT (SELECT count(*) * 3 // 4 FROM sensor)""")
+SELECT pkt_id, ts FROM partly ORDER BY ts DESC NULLS LAST, pkt_id DESC LIMIT (SELECT count(*) * 3 // 4 FROM sensor)""")
 _sql("evicted_by_rows", SENSOR, select="""
 SELECT pkt_id, ts FROM (SELECT pkt_id, ts, row_number() OVER (ORDER BY ts DESC, pkt_id DESC) AS n FROM sensor) WHERE n > 137""")
 _sql("derived_nested", SENSOR, select="""
