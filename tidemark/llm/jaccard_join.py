@@ -246,10 +246,11 @@ def linked(
         .agg(F.min("doc_id").alias("leader"), F.first("bands").alias("bands"))
     )
     nodes = settled(nodes, "nodes")
+    # Both sides of the two large joins grow with the corpus: a sort-merge join at every size, whose skewed parts can be split.
     keys = nodes.select(F.col("leader").alias("doc_id"), F.explode("bands").alias("key"))
     heads = keys.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("key", "lo")
     # Ids that stand on several different texts are one node, and need no region of their own.
-    regions = components(keys.join(heads, "key").where("doc_id > lo").select(F.col("doc_id").alias("a"), F.col("lo").alias("b")))
+    regions = components(keys.join(heads.hint("merge"), "key").where("doc_id > lo").select(F.col("doc_id").alias("a"), F.col("lo").alias("b")))
     heads_too = regions.select("node", "component").unionByName(
         regions.select(F.col("component").alias("node"), "component").distinct()
     )
@@ -258,7 +259,7 @@ def linked(
     )
     sized = active.groupBy("doc_id", "region").agg(F.max("n").alias("n"))
     units = settled(_units(settled(sized, "active"), unit_shingles, percent), "units")
-    hashes = texts.join(units, "doc_id").select("doc_id", "text", "region", "units").mapInArrow(
+    hashes = texts.join(units.hint("merge"), "doc_id").select("doc_id", "text", "region", "units").mapInArrow(
         _payload(shingle_words, fold), "doc_id long, region long, units array<string>, hashes binary"
     )
     found = (
