@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -320,6 +321,12 @@ def _(spark, folder):
     return run_metrics(bindings.sensor_stream(spark, folder), MANY)
 
 
+@register("metrics_default_dimensions")
+def _(spark, folder):
+    """A config that names no dimensions has those of its stream."""
+    return run_metrics(bindings.sensor_stream(spark, folder), replace(MANY, dimension_fields=None))
+
+
 @register("metrics_long_events")
 def _(spark, folder):
     return run_metrics(bindings.event_stream(spark, folder), METRICS["EVENT-METRICS"])
@@ -661,6 +668,32 @@ def _(spark, folder):
     return series.long_series(rows, "road_id", "avg_speed", "avg", "I102_R3", 200)
 
 
+@register("series_old_shape")
+def _(spark, folder):
+    """Results stored before fields were named: the dimension is a column of its own."""
+    config = _sensor(Aggregation("value", "avg", "avg_speed"), by=("road_id",))
+    rows = run_query(bindings.sensor_stream(spark, folder), config, "changed").withColumns(
+        {"metric_field": F.lit("avg_speed"), "aggregate": F.lit("avg")}
+    )
+    stored = history.json_history(rows, "OLD", ["road_id"])
+    return series.long_series(series.long_rows(stored), "road_id", "speed", "avg", "I102_R3", 200)
+
+
+@register("object_lists")
+def _(spark, folder):
+    """A lone object, no JSON, and a list with elements that are no objects."""
+    props = F.col("props")
+    count = lambda text: F.size(values.object_list(text)).cast("long")
+    mixed = F.concat(F.lit("["), props, F.lit(', 7, "x", null, '), props, F.lit("]"))
+    return bindings.table(spark, folder, "events").select(
+        "event_id",
+        count(props).alias("lone"),
+        count(F.concat(F.lit("x"), props)).alias("garbage"),
+        count(mixed).alias("listed"),
+        values.object_list(mixed)[1]["k"].cast("long").alias("k"),
+    )
+
+
 @register("series_available")
 def _(spark, folder):
     return series.available(series.long_rows(_metric_json(spark, folder)))

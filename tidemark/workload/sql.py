@@ -557,3 +557,11 @@ FROM sensor GROUP BY road_id, intersection_id""")
 _sql("field_lt_tick_large", SENSOR, select="""
 SELECT t.ts, s.road_id, count(*) AS c_pkt FROM (SELECT DISTINCT ts FROM sensor) t
 JOIN sensor s ON s.ts <= t.ts AND CAST(right(s.pkt_id, 1) AS INT) % 3 = 2 GROUP BY t.ts, s.road_id""")
+ORACLES["metrics_default_dimensions"] = ORACLES["metrics_long_changed"]
+_sql("series_old_shape", SENSOR, """p AS (
+  SELECT ts, sum(avg_speed) AS s, count(avg_speed) AS c FROM sensor WHERE road_id = 'I102_R3' GROUP BY ts)""", """c1 AS (
+  SELECT ts, CAST(sum(s) OVER w AS DOUBLE) / CAST(sum(c) OVER w AS BIGINT) AS value FROM p WINDOW w AS (ORDER BY ts))""",
+     select="SELECT ts, value FROM c1 WHERE ts >= (SELECT max(ts) FROM c1) - 200")
+_sql("object_lists", select="""
+SELECT event_id, CAST(1 AS BIGINT) AS lone, CAST(0 AS BIGINT) AS garbage, CAST(2 AS BIGINT) AS listed,
+  CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
