@@ -163,6 +163,8 @@ def test_summary_versions_follow_the_stream(spark, sensor, tmp_path):
     live.start_summary(spark, rows, config, path, str(tmp_path / "c")).awaitTermination()
     want = run_metrics(frames[0].unionByName(frames[1]), config, "summary")
     assert rows_of(history.read_summary(spark, path), *want.columns) == rows_of(want, *want.columns)
+    history.compact_summary(spark, path, f"{path}-compact")
+    assert rows_of(history.read_summary(spark, f"{path}-compact"), *want.columns) == rows_of(want, *want.columns)
 
 
 @pytest.mark.parametrize("window", [WindowSpec(), WindowSpec("Sliding", 3, "seconds")])

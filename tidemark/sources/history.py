@@ -8,7 +8,7 @@ from pyspark.sql.types import DecimalType, IntegralType, LongType, NumericType,
 
 from tidemark.config import TICK
 from tidemark.functions.values import object_list, whole_number_text
-from tidemark.sources.schemas import HISTORY, SUMMARY
+from tidemark.sources.schemas import HISTORY, SUMMARY, SUMMARY_KEY
 
 def _number_text(field: StructField) -> Column:
     """A number as JSON text: whole numbers without a fraction, integers and decimals from their own digits."""
@@ -92,15 +92,22 @@ def parsed_history(history: DataFrame) -> DataFrame:
     return history.select("id", "query_id", TICK, object_list(F.col("result")).alias("result")).orderBy(TICK, "id")
 
 
-def write_summary(summary: DataFrame, path: str, version: int) -> None:
-    """Write a summary snapshot as its own version; a retry replaces the same version."""
-    summary.write.mode("overwrite").parquet(f"{path}/v={version}")
+def write_summary(changed: DataFrame, path: str, version: int) -> None:
+    """Write the summary rows that a batch changed as their own version; a retry replaces the same version."""
+    changed.write.mode("overwrite").parquet(f"{path}/v={version}")
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete summary snapshot."""
+    """The newest row of every summary key over all versions; at the same tick the later version wins."""
     versions = spark.read.schema(StructType([*SUMMARY.fields, StructField("v", LongType())])).parquet(path)
-    return versions.where(F.col("v") == versions.agg(F.max("v")).scalar()).drop("v")
+    kept = [c for c in SUMMARY.fieldNames() if c not in SUMMARY_KEY]
+    newest = F.max_by(F.struct(*kept), F.struct("last_updated_tick", "v")).alias("__row")
+    return versions.groupBy(*SUMMARY_KEY).agg(newest).select(*SUMMARY_KEY, "__row.*").select(*SUMMARY.fieldNames())
+
+
+def compact_summary(spark: SparkSession, path: str, target: str) -> None:
+    """Write all versions as one, in a new folder to go on from; to be run when versions have become many."""
+    write_summary(read_summary(spark, path), target, 0)
 
 
 def write_stream_table(df: DataFrame, path: str, ticks_per_folder: int = 1024) -> None:

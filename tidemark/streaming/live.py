@@ -12,9 +12,7 @@ from tidemark.functions.values import dimension_key
 from tidemark.operators.evaluate import at_one_tick, pinned_rows
 from tidemark.operators.landmark import SAME_AS_SOURCE, finish
 from tidemark.operators.metrics import DIMENSION, unpivoted, dimensions_of, with_storage_fields
-from tidemark.operators.tables import upsert
 from tidemark.sources.history import write_summary
-from tidemark.sources.schemas import SUMMARY_KEY
 
 
 def _over_all_ticks(part: Part):
@@ -95,12 +93,9 @@ def live_metrics(rows: DataFrame, config: QueryConfig) -> DataFrame:
 def start_summary(
     spark: SparkSession, rows: DataFrame, config: QueryConfig, path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Keep the summary table of a stream: every batch writes the next complete version."""
+    """Keep the summary table of a stream: every batch writes the rows it changed."""
 
     def store(changed: DataFrame, batch_id: int) -> None:
-        if batch_id > 0:
-            old = spark.read.parquet(f"{path}/v={batch_id - 1}")
-            changed = upsert(old, changed, SUMMARY_KEY, "last_updated_tick")
         write_summary(changed, path, batch_id)
 
     return (
