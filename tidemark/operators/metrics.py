@@ -96,7 +96,20 @@ def metric_history(
 
     ``all_due`` says that every tick of ``df`` is in ``due`` and no other is.
     """
-    parts = metric_parts(df, config)
+    return history_of_parts(metric_parts(df, config), config, due, all_due)
+
+
+def merged_metric_parts(parts: DataFrame, config: QueryConfig) -> DataFrame:
+    """Stored :func:`metric_parts` of several batches as one row per tick and dimension value."""
+    return parts.groupBy(*DIMENSION, TICK).agg(
+        *(merge_column(p.within, p.name).alias(p.name) for p in parts_of(config))
+    )
+
+
+def history_of_parts(
+    parts: DataFrame, config: QueryConfig, due: DataFrame, all_due: bool = False
+) -> DataFrame:
+    """:func:`metric_history` from parts with a row per tick and dimension value."""
     if all_due:
         return unpivoted(_running(parts, config, TICK), config).drop("helper_count")
     ticks = numbered(due)

@@ -23,7 +23,14 @@ from tidemark.operators.evaluate import (
     pinned_rows,
     selected,
 )
-from tidemark.operators.metrics import metric_history, metric_summary, with_storage_fields
+from tidemark.operators.metrics import (
+    history_of_parts,
+    merged_metric_parts,
+    metric_history,
+    metric_parts,
+    metric_summary,
+    with_storage_fields,
+)
 from tidemark.operators.retention import retained
 from tidemark.session import settled
 
@@ -197,6 +204,25 @@ def run_metrics(
     return metric_history(df, config, due, all_due=every_tick)
 
 
+def metrics_to_store(df: DataFrame, config: QueryConfig) -> DataFrame:
+    """The parts from which :func:`metrics_from_parts` reads the long metrics."""
+    return metric_parts(df, with_storage_fields(config).check(df.schema))
+
+
+def metrics_from_parts(
+    parts: DataFrame,
+    config: QueryConfig,
+    clock: DataFrame,
+    *,
+    frequency: int = 1,
+    skip_tick_zero: bool = False,
+) -> DataFrame:
+    """The history of the long metrics from stored parts; ``clock`` lists all ticks of the stream or streams."""
+    config = with_storage_fields(config)
+    merged = settled(merged_metric_parts(parts, config), "parts")
+    return history_of_parts(merged, config, due_ticks(ticks_of(clock), frequency, skip_tick_zero))
+
+
 def run_sql(spark: SparkSession, text: str, tick: int, views: dict[str, DataFrame] | None = None) -> DataFrame:
     """Run a query given as SQL text over the streams, with the current tick bound as a value.
 

@@ -19,7 +19,13 @@ from pyspark.sql.types import LongType, StructField, StructType
 from tidemark.config import TICK, QueryConfig
 from tidemark.functions.aggregates import merge_column, parts_of
 from tidemark.operators.clock import ticks_of
-from tidemark.plans.run import history_from_parts, parts_to_store, with_companions
+from tidemark.plans.run import (
+    history_from_parts,
+    metrics_from_parts,
+    metrics_to_store,
+    parts_to_store,
+    with_companions,
+)
 from tidemark.sources.schemas import Stream
 from tidemark.sources.xml import arrived_first, split_files, stream_records
 
@@ -85,10 +91,11 @@ def start_parts(
     horizon: str | None = None,
     keep_rows: bool = False,
     companions: dict[str, Sequence[QueryConfig]] | None = None,
+    metrics: Sequence[QueryConfig] = (),
 ) -> StreamingQuery:
     """Stage 2: drop repeated keys, then store each query's per-tick parts and the ticks per batch.
 
-    ``companions`` lists, by query id, the queries whose summary targets a query's derived metrics use.
+    ``metrics`` are configs whose long metrics are stored too.  ``companions`` lists, by query id, the queries whose summary targets a query's derived metrics use.
 
     Without ``horizon`` every key is remembered and the earliest arrival wins.  With one, state is
     bounded: keys are remembered that long in event time, rows older than that are dropped (see
@@ -114,6 +121,10 @@ def start_parts(
                 parts_to_store(batch, config, own).write.mode("overwrite").parquet(
                     f"{out}/parts/{config.query_id}/b={batch_id}"
                 )
+            for config in metrics:
+                metrics_to_store(batch, config).write.mode("overwrite").parquet(
+                    f"{out}/metrics/{config.query_id}/b={batch_id}"
+                )
             ticks_of(batch).write.mode("overwrite").parquet(f"{out}/ticks/b={batch_id}")
             if keep_rows:
                 batch.write.mode("overwrite").parquet(f"{out}/rows/b={batch_id}")
@@ -160,6 +171,14 @@ def live_history(
     return history_from_parts(read_parts(spark, out, config), config, mode, clock=clock, **options)
 
 
+def live_metric_history(
+    spark: SparkSession, out: str, config: QueryConfig, clock: DataFrame | None = None, **options
+) -> DataFrame:
+    """The long metrics so far, from the stored parts of all batches; options as in :func:`metrics_from_parts`."""
+    parts = spark.read.parquet(f"{out}/metrics/{config.query_id}").drop("b")
+    return metrics_from_parts(parts, config, read_ticks(spark, out) if clock is None else clock, **options)
+
+
 def compact_parts(
     spark: SparkSession, out: str, config: QueryConfig, target: str, companions: Sequence[QueryConfig] = ()
 ) -> None:

@@ -122,6 +122,28 @@ def _(spark, folder):
     return stages.live_history(spark, _live_parts(spark, folder, config), config, frequency=5)
 
 
+@keep("stream_shared_clock")
+def _(spark, folder):
+    """Two live streams drive one clock."""
+    out, other = scratch_path(spark, "live"), scratch_path(spark, "live")
+    config = SEEDS["RD-EVT-PKT"]
+    events = bindings.event_rows(_events_in_files(spark, folder))
+    stages.start_parts(spark, events, EVENT.key, [config], out, f"{out}/checkpoint").awaitTermination()
+    commands = bindings.command_rows(bindings.arriving(spark, folder, "orders"))
+    stages.start_parts(spark, commands, COMMAND.key, [], other, f"{other}/checkpoint").awaitTermination()
+    return stages.live_history(spark, out, config, clock=stages.read_ticks(spark, out, other))
+
+
+@keep("stream_metrics_history")
+def _(spark, folder):
+    """The long metrics of a live stream over several batches with repeated keys."""
+    out = scratch_path(spark, "live")
+    config = METRICS["EVENT-METRICS"]
+    rows = bindings.event_rows(_events_in_files(spark, folder))
+    stages.start_parts(spark, rows, EVENT.key, [], out, f"{out}/checkpoint", metrics=[config]).awaitTermination()
+    return stages.live_metric_history(spark, out, config)
+
+
 @keep("stream_rd_occ")
 def _(spark, folder):
     """A query whose derived metric needs the summary target of a companion."""

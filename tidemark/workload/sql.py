@@ -538,6 +538,7 @@ UNION ALL SELECT 'IS-VEH-PKT', ts, count(DISTINCT intersection_id) FROM sensor G
 
 for _name, _same in (
     ("stream_freq5", "hist_freq5"), ("stream_rd_occ", "snap_rd_occ"), ("series_wide_typed", "series_wide"),
+    ("stream_shared_clock", "hist_shared_clock"), ("stream_metrics_history", "metrics_long_events"),
     ("series_long_typed", "series_long"), ("latest_snapshot_typed", "latest_snapshot"),
 ):
     ORACLES[_name] = ORACLES[_same]
