@@ -31,8 +31,8 @@ from tidemark.session import settled
 
 TOKENS = 4096
 END = 2
-#: Words and pretokens that a worker remembers before it starts over.
-REMEMBERED = 400_000
+#: Words, and parts of words, that a worker remembers before it starts over: about 200 bytes each.
+REMEMBERED, REMEMBERED_PARTS = 500_000, 200_000
 
 TOKENISED = "doc_id long, block int, at long, n long, ids binary"
 PIECES = (
@@ -86,7 +86,7 @@ class Tokens(dict):
     def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
-            if len(self.parts) >= REMEMBERED:
+            if len(self.parts) >= REMEMBERED_PARTS:
                 self.parts.clear()
             letters = "".join(map(self.letters.__getitem__, part.encode()))
             ids = self.parts[part] = self._bytes([t.id for t in self.tokenizer.model.tokenize(letters)])
