@@ -10,16 +10,18 @@ The order of documents is the order in which they were written, which is fixed o
 Only the last sequence is padded. Null texts are empty: they have the end id alone.
 
 Ids are those of the tokenizer for the whole text. Its rules never cross white space, so words between ASCII white
-space are looked up in a table that each worker fills as it goes; words outside Latin letters, or that may hold
+space are looked up in a table that each task fills as it goes; words outside Latin letters, or that may hold
 special tokens, go through the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,8 @@ from tidemark.session import settled
 
 TOKENS = 4096
 END = 2
-#: Words, and parts of words, that a worker remembers before it starts over: about 200 bytes each.
-REMEMBERED, REMEMBERED_PARTS = 500_000, 200_000
+#: Words, and parts of words, that a task remembers before it starts over: about 200 bytes each.
+REMEMBERED, REMEMBERED_PARTS = 500_000, 250_000
 
 TOKENISED = "doc_id long, block int, at long, n long, ids binary"
 PIECES = (
@@ -41,7 +43,6 @@ PIECES = (
 )
 #: Latin letters with their accents, and printable ASCII: lower case and composition act on each by itself.
 _PLAIN = re.compile("[!-~¡-¬®-įı-ſ]+")
-_tables: dict[str, Tokens] = {}
 
 
 def _byte_letters() -> dict[int, str]:
@@ -51,30 +52,36 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class Tokens(dict):
-    """Ids of words, as 16- or 32-bit little-endian bytes, made when first asked for."""
+@cache
+def _rules(path: str):
+    """The tokenizer of a file, and the pattern of its parts of words if its other rules are the known ones."""
+    import regex
+    from tokenizers import Tokenizer
 
-    def __init__(self, path: str):
-        import json
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    names = [n.get("type") for n in (rules.get("normalizer") or {}).get("normalizers") or []]
+    known = names == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
+    return Tokenizer.from_file(path), regex.compile(steps[0]["pattern"]["Regex"]) if known else None
 
-        import regex
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+class Tokens(dict):
+    """Ids of words, as 16- or 32-bit little-endian bytes, made when first asked for.
+
+    Words are taken apart here only for the rules that are known; with any other file they go through the
+    tokenizer whole.
+    """
+
+    def __init__(self, path: str):
+        self.tokenizer, self.split = _rules(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        with open(path, encoding="utf-8") as file:
-            rules = json.load(file)
-        steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or []
-        names = [n.get("type") for n in (rules.get("normalizer") or {}).get("normalizers") or []]
-        # Words are taken apart here only for the rules that are known; any other file goes through the tokenizer whole.
-        self.known = names == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in steps] == ["Split", "ByteLevel"]
-        self.split = regex.compile(steps[0]["pattern"]["Regex"]) if self.known else None
         self.letters = _byte_letters()
         self.parts: dict[str, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if self.known and b"<|" not in word and _PLAIN.fullmatch(text):
+        if self.split and b"<|" not in word and _PLAIN.fullmatch(text):
             ids = b"".join(map(self._part, self.split.findall(unicodedata.normalize("NFC", text).lower())))
         else:
             ids = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -99,15 +106,9 @@ class Tokens(dict):
         return b"".join(map(self.__getitem__, (text or "").encode().split()))
 
 
-def _tokens(path: str) -> Tokens:
-    if path not in _tables:
-        _tables[path] = Tokens(path)
-    return _tables[path]
-
-
 def _tokenised(path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, block, at = _tokens(path), TaskContext.get().partitionId(), 0
+        table, block, at = Tokens(path), TaskContext.get().partitionId(), 0
         last = np.array([end], dtype=table.kind).tobytes()
         names = ["doc_id", "block", "at", "n", "ids"]
         for batch in batches:
