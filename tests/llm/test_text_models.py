@@ -83,6 +83,18 @@ def test_language_of_hard_rows(spark, hard, nothing):
     assert {r["lang_pred"] for r in language_id.identify(hard, empty).collect()} == {"und"}
 
 
+def test_copies_do_not_thin_the_training_sample(spark):
+    few = [(f"{word} number{'abcdefghij'[i]} {word}", lang) for lang, word in (("x", "alpha"), ("y", "omega")) for i in range(10)]
+    docs = spark.createDataFrame(few * 500, "text string, lang string")
+    path = workload.tokenizer_path("piece_bpe_32k.model")
+    model = language_id.train(docs, path, sample=20)
+    assert model.languages == ["x", "y"]
+    once = language_id.train(spark.createDataFrame(few, "text string, lang string"), path, sample=20)
+    assert np.allclose(model.log_p, once.log_p)
+    found = language_id.identify(docs.select("text").distinct(), model).collect()
+    assert {(r["text"], r["lang_pred"]) for r in found} == set(few)
+
+
 def test_forward_pass_sums_all_segmentations():
     pieces = [b" ", b"a", b"b", b" a", b"ab", b"ba", b"aba"]
     hashes = {language_id._hash(p): p for p in pieces}

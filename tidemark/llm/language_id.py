@@ -5,9 +5,9 @@ segmentations into pieces together, which a forward pass adds up; a text has tha
 lower case) one after another. The language with the largest posterior wins (of equals the first by name).
 
 Training runs expectation-maximisation on the word counts of each language: a forward and a backward pass give the
-expected use of every piece. It sees about ``SAMPLE`` different labelled texts (all, if there are no more): those whose
-hash lies in as small a part of all hashes. That bound and the vocabulary bound what the driver holds. Scoring covers whole texts, and words already scored
-are remembered by the worker.
+expected use of every piece. It sees about ``SAMPLE`` different labelled texts (all, if there are no more; copies count
+once): those whose hash lies in as small a part of all hashes. That bound and the vocabulary bound what the driver holds.
+Scoring covers whole texts, and words already scored are remembered by the worker.
 
 Null texts and texts without a letter are ``und`` with score 0.
 """
@@ -165,8 +165,8 @@ def train(
 ) -> Model:
     """Learn from the text and non-null language of ``docs``; all other columns are ignored."""
     labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
-    # Every task picks its own rows, and copies of a text meet before the shuffle.
-    part = min(1.0, sample / max(1, labelled.count()))
+    # Every task picks its own rows, and copies of a text meet before the shuffle, so copies do not count for the part.
+    part = min(1.0, sample / max(1, labelled.select(F.xxhash64("text"), "lang").distinct().count()))
     chosen = labelled.where(F.xxhash64("text") <= F.lit(min(round((part - 0.5) * 2.0**64), (1 << 63) - 1))).distinct()
     counts = chosen.mapInArrow(_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     table = counts.toPandas()
