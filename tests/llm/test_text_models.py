@@ -166,3 +166,56 @@ def test_alignment_within_the_band():
         score, hits, first, last = license_scan.aligned(template.split(), text.split(), -4, 4)
         assert hits <= len(template.split()) and 0 <= first <= last <= len(text.split())
     assert license_scan.aligned("a b c d".split(), "q a b z c d".split(), -4, 4)[1:] == (4, 1, 6)
+
+
+SHORT = ("MIT-line", "CC-BY-NC-4.0-line", "Apache-2.0-line")
+
+
+def test_every_notice_of_a_row_of_them(spark):
+    rows = [(k, " ".join([license_scan.TEMPLATES[name]] * 1000)) for k, name in enumerate(SHORT)]
+    rows.append((9, " zz ".join(license_scan.TEMPLATES[name] for name in SHORT * 50)))
+    found = license_scan.scanned(spark.createDataFrame(rows, "doc_id long, text string")).where("coverage = 1")
+    got = sorted((r["doc_id"], r["license_id"], r["first_word"], r["last_word"]) for r in found.collect() if r["license_id"] in SHORT)
+    sizes = [len(license_scan.words(license_scan.TEMPLATES[name])) for name in SHORT]
+    wanted = [(k, name, n * i, n * i + n - 1) for k, (name, n) in enumerate(zip(SHORT, sizes, strict=True)) for i in range(1000)]
+    at = 0
+    for name, n in list(zip(SHORT, sizes, strict=True)) * 50:
+        wanted.append((9, name, at, at + n - 1))
+        at += n + 1
+    assert got == sorted(wanted)
+
+
+def plain_alignments(template, text, percent, shift=0):
+    """The best match of all alignments, then those of the words before and after it."""
+    best, before = None, {}
+    for i, word in enumerate(template):
+        row = {}
+        for j, other in enumerate(text):
+            score, hits, start = before.get(j - 1, (0.0, 0, j))
+            cell = (score + (license_scan.MATCH if other == word else license_scan.MISMATCH), hits + (other == word), start)
+            for gap in (before.get(j), row.get(j - 1)):
+                if gap is not None and gap[0] + license_scan.GAP > cell[0]:
+                    cell = (gap[0] + license_scan.GAP, gap[1], gap[2])
+            if cell[0] > 0:
+                row[j] = cell
+                if 100 * cell[1] >= percent * len(template) and (best is None or (-cell[0], -cell[1], i, j) < best[:4]):
+                    best = (-cell[0], -cell[1], i, j, cell[2])
+        before = row
+    if best is None:
+        return []
+    score, hits, _, last, first = best
+    left = plain_alignments(template, text[:first], percent, shift)
+    return [*left, (-score, -hits, shift + first, shift + last + 1), *plain_alignments(template, text[last + 1 :], percent, shift + last + 1)]
+
+
+def test_alignments_of_what_is_left():
+    rng = random.Random(4)
+    many = 0
+    for _ in range(300):
+        template = [rng.choice("abcd") for _ in range(rng.randrange(1, 8))]
+        text = [w for _ in range(rng.randrange(8)) for w in (*(template if rng.random() < 0.7 else ()), *rng.choices("abcd", k=rng.randrange(3)))]
+        wanted = plain_alignments(template, text, 80)
+        found = list(license_scan.alignments(template, text, [(-len(template), len(text))], 80))
+        assert sorted(found, key=lambda f: f[2]) == wanted
+        many += len(wanted) > 3
+    assert many > 50

@@ -4,16 +4,18 @@ Templates and documents are words (letters and digits, A-Z lower-cased). Of ever
 ``GRAM`` words the one with the least hash is a fingerprint, so that a document that shares ``GRAM + WINDOW - 1`` words in a
 row with a template also shares a fingerprint with it. An inverted index from fingerprint to template and position
 travels to the tasks; its size is checked, and more templates than ``INDEX_BYTES`` are scanned in several passes whose
-rows are put together. Hits of a template on neighbouring diagonals are one candidate, which is aligned with the template
-within a band around them. An alignment that covers at least ``percent`` of the template's words is a match; of
-overlapping matches of one template the best stays.
+rows are put together. The text is aligned with a template within a band around the diagonals of its hits. An alignment
+that covers at least ``percent`` of the template's words is a match; of overlapping matches of one template the best
+stays, and the words before and after it are aligned anew until nothing else matches.
 
 Null texts, and templates that are null or without words, match nothing. Repeated rows give repeated matches.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from functools import reduce
 
@@ -117,6 +119,71 @@ def aligned(template: list[str], text: list[str], low: int, high: int) -> tuple[
     return best
 
 
+def alignments(
+    template: list[str], text: list[str], bands: list[tuple[int, int]], percent: int
+) -> Iterator[tuple[float, int, int, int]]:
+    """Matches that do not overlap, the best first, each as by ``aligned``: of all, then of the words that are left.
+
+    ``bands`` are ascending and disjoint ranges of text position - template position. Scores are kept by their last word:
+    those of words before a match stay as they are, and behind it only those that reach into it are computed again.
+    """
+    n = len(template)
+    tops = [high for _, high in bands]
+    reach: dict[int, int] = {}  # last word: the least first word of its alignments
+    valid: dict[int, tuple] = {}  # last word: its best match
+    queue: list[tuple] = []
+    taken: list[int] = []  # first words of the matches
+
+    def sweep(begin: int, end: int, again: bool) -> None:
+        before: dict[int, tuple[float, int, int]] = {}
+        j = begin
+        k = bisect_right(tops, j - n)
+        while k < len(bands):
+            j = max(j, bands[k][0])
+            if j >= end or (again and reach.get(j, j) >= begin):
+                return
+            row: dict[int, tuple[float, int, int]] = {}
+            top = None
+            active = k
+            while active < len(bands) and bands[active][0] <= j:
+                active += 1
+            for low, high in reversed(bands[k:active]):
+                for i in range(max(0, j - high), min(n, j - low + 1)):
+                    score, hits, start = before.get(i - 1, (0.0, 0, j))
+                    same = text[j] == template[i]
+                    cell = (score + (MATCH if same else MISMATCH), hits + same, start)
+                    for other in (row.get(i - 1), before.get(i)):
+                        if other is not None and other[0] + GAP > cell[0]:
+                            cell = (other[0] + GAP, other[1], other[2])
+                    if cell[0] > 0:
+                        row[i] = cell
+                        if 100 * cell[1] >= percent * n and (top is None or cell[:2] > (-top[0], -top[1])):
+                            top = (-cell[0], -cell[1], i, j, cell[2])
+            reach[j] = min((c[2] for c in row.values()), default=j)
+            valid.pop(j, None)
+            if top:
+                valid[j] = top
+                heapq.heappush(queue, top)
+            before = row
+            j += 1
+            while k < len(bands) and tops[k] <= j - n:
+                k += 1
+
+    sweep(0, len(text), False)
+    while queue:
+        found = heapq.heappop(queue)
+        if valid.get(found[3]) != found:
+            continue
+        score, hits, _, last, first = found
+        yield -score, -hits, first, last + 1
+        for j in range(first, last + 1):
+            valid.pop(j, None)
+        at = bisect_left(taken, first)
+        end = taken[at] if at < len(taken) else len(text)
+        insort(taken, first)
+        sweep(last + 1, end, True)
+
+
 def _index(templates: list[tuple[str, str]]) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[tuple[str, list[str]]]]:
     """Sorted fingerprints, for each the templates and word positions that have it, and the templates as words."""
     listed, places = [], {}
@@ -139,25 +206,14 @@ def _matches(text: str, hits: list[tuple[int, int]], templates: list, percent: i
     own = words(text)
     for number in sorted({t for t, _ in hits}):
         name, template = templates[number]
-        diagonals = sorted({d for t, d in hits if t == number})
-        ranges: list[list[int]] = []
-        for d in diagonals:
-            if ranges and d - ranges[-1][1] <= BAND:
-                ranges[-1][1] = d
+        bands: list[tuple[int, int]] = []
+        for d in sorted({d for t, d in hits if t == number}):
+            if bands and d - BAND <= bands[-1][1] + 1:
+                bands[-1] = (bands[-1][0], d + BAND)
             else:
-                ranges.append([d, d])
-        found = []
-        for low, high in ranges:
-            begin = max(0, low - BAND)
-            part = own[begin : high + len(template) + BAND]
-            score, matched, first, last = aligned(template, part, low - BAND - begin, high + BAND - begin)
-            if 100 * matched >= percent * len(template):
-                found.append((-score, begin + first, begin + last, matched))
-        kept: list[tuple[int, int]] = []
-        for _, first, last, matched in sorted(found):
-            if all(last <= a or b <= first for a, b in kept):
-                kept.append((first, last))
-                yield name, matched / len(template), matched, len(template), first, last - 1, at[first][0], at[last - 1][1]
+                bands.append((d - BAND, d + BAND))
+        for _, matched, first, last in alignments(template, own, bands, percent):
+            yield name, matched / len(template), matched, len(template), first, last - 1, at[first][0], at[last - 1][1]
 
 
 def _scan(templates: list[tuple[str, str]], percent: int):
