@@ -288,3 +288,30 @@ def test_stages_take_hard_and_empty_tables(spark, hard, nothing):
             assert name == "pack" or docs.columns == start.columns
     ids = [r["doc_id"] for r in substring_dedup.removal_digest(hard).collect()]
     assert len(ids) == len(HARD)
+
+
+BODY = "<p>One long sentence that stands in the page for all to read, here and now.</p><p>And another one that follows it.</p>"
+SHOWN = "One long sentence that stands in the page for all to read, here and now.\n\nAnd another one that follows it."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>x</title><body>{BODY}</body></html>",
+        f"<html><head><meta charset=utf-8><title>x</title><style>p {{}}</style>{BODY}</html>",
+        f"<head><title>x</title><template><div>hidden</div></template><noscript><p>hidden</p></noscript><main>{BODY}</main>",
+        f"<html><head><title>x<body>{BODY}<svg><title>icon</title></svg></body></html>",
+        *[f"<body><div><{tag}>hidden {BODY}</div></body>" for tag in "select button object canvas noscript template iframe svg video textarea".split()],
+        f"<body><div><noscript>hidden {BODY}<noscript><p>hidden</p></noscript></div></body>",
+        f"<body><select><option>hidden<option>hidden <button>hidden {BODY}<button>hidden</button></body>",
+        *[f"<body>{BODY}<{tag}><div>hidden</div><p>hidden</p></{tag}></body>" for tag in "button object canvas noscript template".split()],
+        f"<body>{BODY}<template><button>hidden<div>hidden</div></template></body>",
+    ],
+)
+def test_missing_end_tags_silence_nothing_else(page):
+    assert html_extraction.main_text(page) == SHOWN
+
+
+def test_text_ends_a_head():
+    text = "Text that stands in no element of its own, but is long enough to be read."
+    assert [b.text for b in html_extraction.blocks(f"<html><head><title>x</title>\n{text}<div></div></html>")] == [text]

@@ -7,8 +7,9 @@ DOM tree. The maximum flow gives the cheapest labelling: a short paragraph in an
 chatty advert between them does not.
 
 Blocks are what lies between block-level tags; ``<br>`` and other inline tags do not end a block (``<br>`` is white
-space). Unclosed tags are closed by their parent or by the next tag that cannot stand inside them. Text of head, script,
-style and the like is never a block. Character references are decoded; white space becomes one space; blocks are joined
+space). Unclosed tags are closed by their parent or by the next tag that cannot stand inside them; a head also by text, and
+other elements without shown text, if their own end tag is missing, by the next block-level tag. Text of head, script, style
+and the like is never a block. Character references are decoded; white space becomes one space; blocks are joined
 by an empty line. A null or empty page has the empty text. Each page is worked on by itself, so nothing is shuffled.
 """
 
@@ -32,6 +33,11 @@ _WORD = re.compile(r"[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style head title noscript template iframe object svg math textarea select button canvas audio video".split())
 RAW = frozenset("script style title textarea noscript iframe".split())
+#: Code without end tag goes on to the end of the page. Of the others these lack theirs if they start again before it.
+CODE = frozenset(["script", "style"])
+SINGLE = frozenset(["title", "noscript", "iframe"])
+#: What can stand in a head.
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript template noframes".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var img br wbr input".split()
@@ -52,6 +58,8 @@ CLOSES = {
     "option": frozenset(["option"]),
 }
 CONTAINERS = frozenset("body article section aside nav header footer main form div table ul ol dl td th blockquote figure".split())
+#: Tags that end an element without shown text whose own end tag is missing.
+BLOCKS = (frozenset(CLOSES) | CONTAINERS) - {"option"}
 
 # The classifier: weights of what stands above a block, and of the block itself.
 GOOD_TAGS = {"article": 3.0, "main": 2.0}
@@ -99,7 +107,15 @@ def _own_score(tag: str, attributes: str, above: _Element) -> float:
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page, in page order."""
+    out, unclosed = _parsed(page, frozenset())
+    return _parsed(page, unclosed)[0] if unclosed else out
+
+
+def _parsed(page: str, unclosed: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
+    """The blocks, where the elements of the numbers ``unclosed`` end at block-level tags, and the silent elements without end tag."""
     out: list[Block] = []
+    without: set[int] = set()
+    endless: set[str] = set()  # tags that do not end any more
     stack = [_Element("", 0, 0.0, False)]
     pieces: list[str] = []
     links = silent = numbered = linked = 0
@@ -115,17 +131,22 @@ def blocks(page: str) -> list[Block]:
         pieces.clear()
         linked = 0
 
-    def pop(count: int) -> None:
+    def pop(count: int, named: bool = False) -> None:
+        """End elements; ``named``: the last of them by its own tag."""
         nonlocal links, silent
-        for _ in range(count):
-            tag = stack.pop().tag
+        for left in range(count, 0, -1):
+            tag, number = stack.pop()[:2]
             links -= tag == "a"
             silent -= tag in SILENT
+            if tag in SILENT and tag != "head" and not (named and left == 1):
+                without.add(number)
 
     at, end = 0, len(page)
     while at < end:
         found = _TAG.search(page, at)
         text = page[at : found.start() if found else end]
+        if silent and stack[-1].tag == "head" and text.strip():
+            pop(1)
         if text and not silent:
             pieces.append(text)
             if links:
@@ -143,8 +164,22 @@ def blocks(page: str) -> list[Block]:
         if closing:
             depth = next((i for i, e in enumerate(reversed(stack[1:]), 1) if e.tag == tag), 0)
             if depth and (tag not in INLINE or all(e.tag in INLINE for e in stack[-depth:])):
-                pop(depth)
+                pop(depth, True)
             continue
+        if silent and tag not in HEAD:
+            for depth, element in enumerate(reversed(stack[1:]), 1):
+                if element.tag == "head":
+                    pop(depth)
+                if element.tag in SILENT and element.number not in unclosed:
+                    break
+        if silent and unclosed and tag in BLOCKS:
+            count = 0
+            for depth, element in enumerate(reversed(stack[1:]), 1):
+                if element.tag in SILENT:
+                    if element.number not in unclosed:
+                        break
+                    count = depth
+            pop(count)
         ends = CLOSES.get(tag)
         if ends:
             for depth, element in enumerate(reversed(stack[1:]), 1):
@@ -161,10 +196,16 @@ def blocks(page: str) -> list[Block]:
         links += tag == "a"
         silent += tag in SILENT
         if tag in RAW:
-            closed = re.compile(rf"</{tag}\b", re.I).search(page, at)
-            at = closed.start() if closed else end
+            closed = None if tag in endless else re.compile(rf"<({'/?' if tag in SINGLE else '/'}){tag}\b", re.I).search(page, at)
+            if closed is None:
+                endless.add(tag)
+            if closed and closed[1]:
+                at = closed.start()
+            elif tag in CODE:
+                at = end
     flush()
-    return out
+    pop(len(stack) - 1)
+    return out, frozenset(without)
 
 
 def content_score(block: Block) -> float:
