@@ -95,6 +95,22 @@ def test_copies_do_not_thin_the_training_sample(spark):
     assert {(r["text"], r["lang_pred"]) for r in found} == set(few)
 
 
+def test_words_of_unseen_letters_do_not_underflow():
+    keys = np.array(sorted({language_id._hash(bytes([b])) for b in range(256)} | {language_id._hash(b"ab")}), dtype=np.uint64)
+    counts = pd.DataFrame([("x", "abab", 10**7), ("y", "cdcd", 10**7), ("z", "ab", 10**7), ("z", "ᚠᚢᚦᚨᚱᚲ" * 4, 1)], columns=["lang", "word", "n"])
+    model = language_id.fit(counts, keys)
+    place = {int(k): i for i, k in enumerate(keys)}
+    rune = "ᚠᚢᚦᚨᚱᚲ" * 9
+    single = sum(model.log_p[place[language_id._hash(bytes([b]))]] for b in (" " + rune).encode())
+    assert np.allclose(language_id.word_scores([rune], model), [single])  # has no longer piece
+    seen = model.log_p[place[language_id._hash("ᚠ".encode()[:1])], model.languages.index("z")]
+    assert seen > model.log_p[place[language_id._hash(b"\xff")], model.languages.index("z")] + 1  # learned from a long word
+    two = language_id.Model(model.keys, model.log_p[:, :2], model.prior[:2], model.languages[:2])
+    texts = pd.Series([f"{rune} {word * 3}" for word in ("abab ", "cdcd ")])
+    found = next(language_id.predictor(two).func(iter([texts])))
+    assert list(found["lang_pred"]) == ["x", "y"] and found["score"].between(0, 1).all()
+
+
 def test_forward_pass_sums_all_segmentations():
     pieces = [b" ", b"a", b"b", b" a", b"ab", b"ba", b"aba"]
     hashes = {language_id._hash(p): p for p in pieces}

@@ -32,6 +32,8 @@ SMOOTHING = 0.02
 #: Longest piece that is used, and longest stretch of a word that is scored in one go, in bytes; longer words
 #: are scored stretch by stretch.
 PIECE_BYTES, STRETCH = 16, 48
+#: Probabilities below this are scaled, so that no stretch underflows.
+TINY = 1e-100
 REMEMBERED = 300_000
 UNDETERMINED = "und"
 
@@ -100,17 +102,34 @@ def _lattice(parts: list[bytes], keys: np.ndarray) -> tuple[np.ndarray, dict]:
     return lengths, edges
 
 
-def _forward(lengths: np.ndarray, edges: dict, p: np.ndarray) -> np.ndarray:
-    """alpha[part, position, language]: the probability of all segmentations up to a position."""
+def _lift(values: np.ndarray, level: np.ndarray, at: int, places: slice) -> bool:
+    """Scale the places of the parts whose value at a position is near to nothing; ``level`` holds the logarithms of the scales."""
+    small = (values[:, at] > 0) & (values[:, at] < TINY)
+    rows = np.flatnonzero(small.any(axis=1))
+    if len(rows):
+        scale = np.where(small[rows], values[rows, at], 1)[:, None]
+        values[rows, places] /= scale
+        level[rows, places] += np.log(scale)
+    return len(rows) > 0
+
+
+def _forward(lengths: np.ndarray, edges: dict, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+    """alpha[part, position, language], the probability of all segmentations up to a position, level, and if any was lifted.
+
+    The probability is alpha times the exponential of level.
+    """
     wide = int(lengths.max())
     alpha = np.zeros((len(lengths), wide + 1, p.shape[1]))
+    level = np.zeros(alpha.shape)
     alpha[:, 0] = 1
+    lifted = False
     for start in range(wide):
+        lifted |= _lift(alpha, level, start, slice(start, None))
         for length in range(1, PIECE_BYTES + 1):
             if (start, length) in edges:
                 rows, piece = edges[start, length]
                 alpha[rows, start + length] += alpha[rows, start] * p[piece]
-    return alpha
+    return alpha, level, lifted
 
 
 def word_scores(words: list[str], model: Model) -> np.ndarray:
@@ -123,8 +142,9 @@ def word_scores(words: list[str], model: Model) -> np.ndarray:
     for at in range(0, len(parts), 20_000):
         some = parts[at : at + 20_000]
         lengths, edges = _lattice(some, model.keys)
-        alpha = _forward(lengths, edges, p)
-        np.add.at(out, owner[at : at + 20_000], np.log(alpha[np.arange(len(some)), lengths]))
+        alpha, level, _ = _forward(lengths, edges, p)
+        ends = np.arange(len(some)), lengths
+        np.add.at(out, owner[at : at + 20_000], np.log(alpha[ends]) + level[ends])
     return out
 
 
@@ -141,15 +161,24 @@ def fit(counts: pd.DataFrame, keys: np.ndarray, rounds: int = ROUNDS, smoothing:
         for at in range(0, len(parts), 20_000):
             some, share = parts[at : at + 20_000], weight[owner[at : at + 20_000]]
             lengths, edges = _lattice(some, keys)
-            alpha = _forward(lengths, edges, p)
-            beta = np.zeros_like(alpha)
+            alpha, level, lifted = _forward(lengths, edges, p)
+            beta, below = np.zeros(alpha.shape), np.zeros(alpha.shape)
             beta[np.arange(len(some)), lengths] = 1
-            for start, length in sorted(edges, reverse=True):
-                rows, piece = edges[start, length]
-                beta[rows, start] += beta[rows, start + length] * p[piece]
+            for start in range(int(lengths.max()) - 1, -1, -1):
+                for length in range(PIECE_BYTES, 0, -1):
+                    if (start, length) in edges:
+                        rows, piece = edges[start, length]
+                        beta[rows, start] += beta[rows, start + length] * p[piece]
+                lifted |= _lift(beta, below, start, slice(0, start + PIECE_BYTES + 1))
             total = np.maximum(beta[:, 0], 1e-300)
             for (start, length), (rows, piece) in edges.items():
-                np.add.at(used, piece, share[rows] * alpha[rows, start] * p[piece] * beta[rows, start + length] / total[rows])
+                before, behind = alpha[rows, start], beta[rows, start + length]
+                if lifted:
+                    with np.errstate(divide="ignore"):
+                        part = np.log(before) + level[rows, start] + np.log(behind) + below[rows, start + length]
+                    np.add.at(used, piece, share[rows] * np.exp(part + np.log(p[piece]) - np.log(total[rows]) - below[rows, 0]))
+                else:
+                    np.add.at(used, piece, share[rows] * before * p[piece] * behind / total[rows])
         p = used / used.sum(axis=0)
     prior = np.log(np.full(len(languages), 1 / max(1, len(languages))))
     return Model(keys, np.log(p), prior, languages)
