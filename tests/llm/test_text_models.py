@@ -95,6 +95,25 @@ def test_copies_do_not_thin_the_training_sample(spark):
     assert {(r["text"], r["lang_pred"]) for r in found} == set(few)
 
 
+def test_rare_languages_are_learned(spark):
+    names = ["".join(chr(97 + i // 26**k % 26) for k in range(4)) for i in range(9000)]
+    docs = spark.createDataFrame(
+        [(f"alpha {n} beta", "x") for n in names] + [(f"omega {n} sigma", "y") for n in names[:2]] + [("delta", "z")], "text string, lang string"
+    )
+    model = language_id.train(docs, workload.tokenizer_path("piece_bpe_32k.model"), sample=300)
+    assert model.languages == ["x", "y", "z"]
+    found = language_id.identify(spark.createDataFrame([("omega sigma",), ("alpha beta",), ("delta",)], "text string"), model).collect()
+    assert [r["lang_pred"] for r in found] == ["y", "x", "z"]
+
+
+def test_sample_is_shared_out():
+    assert language_id.shared_out([5000, 1000, 200], 3000) == 1800
+    assert language_id.shared_out([9000] * 4, 3000) == 750
+    assert language_id.shared_out([10, 20], 3000) == 20
+    assert language_id.shared_out([900] * 1000, 3000) == language_id.LEAST
+    assert language_id.shared_out([], 3000) == 0
+
+
 def test_words_of_unseen_letters_do_not_underflow():
     keys = np.array(sorted({language_id._hash(bytes([b])) for b in range(256)} | {language_id._hash(b"ab")}), dtype=np.uint64)
     counts = pd.DataFrame([("x", "abab", 10**7), ("y", "cdcd", 10**7), ("z", "ab", 10**7), ("z", "ᚠᚢᚦᚨᚱᚲ" * 4, 1)], columns=["lang", "word", "n"])

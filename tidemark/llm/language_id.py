@@ -6,8 +6,10 @@ lower case) one after another. The language with the largest posterior wins (of
 
 Training runs expectation-maximisation on the word counts of each language: a forward and a backward pass give the
 expected use of every piece. It sees about ``SAMPLE`` different labelled texts (all, if there are no more; copies count
-once): those whose hash lies in as small a part of all hashes. That bound and the vocabulary bound what the driver holds.
-Scoring covers whole texts, and words already scored are remembered by the worker.
+once). Every language has the same part of them, or all its texts if they are fewer: those whose hash lies in as small a
+part of all hashes. However many languages there are, a part is at least ``LEAST`` texts. These bounds, the number of
+languages and the vocabulary bound what the driver holds. Scoring covers whole texts, and words already scored are
+remembered by the worker.
 
 Null texts and texts without a letter are ``und`` with score 0.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE = 3000
+SAMPLE, LEAST = 3000, 100
 ROUNDS = 4
 #: Added to the expected use of each piece, so that no piece is impossible.
 SMOOTHING = 0.02
@@ -184,6 +186,17 @@ def fit(counts: pd.DataFrame, keys: np.ndarray, rounds: int = ROUNDS, smoothing:
     return Model(keys, np.log(p), prior, languages)
 
 
+def shared_out(sizes: list[int], total: int) -> int:
+    """The most that each may take so that all take ``total`` together, but at least ``LEAST``."""
+    left = total
+    for k, size in enumerate(sorted(sizes)):
+        each = left // (len(sizes) - k)
+        if size > each:
+            return max(LEAST, each)
+        left -= size
+    return max(sizes, default=0)
+
+
 def train(
     docs: DataFrame,
     vocabulary_path: str,
@@ -194,9 +207,13 @@ def train(
 ) -> Model:
     """Learn from the text and non-null language of ``docs``; all other columns are ignored."""
     labelled = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
-    # Every task picks its own rows, and copies of a text meet before the shuffle, so copies do not count for the part.
-    part = min(1.0, sample / max(1, labelled.select(F.xxhash64("text"), "lang").distinct().count()))
-    chosen = labelled.where(F.xxhash64("text") <= F.lit(min(round((part - 0.5) * 2.0**64), (1 << 63) - 1))).distinct()
+    hashed = F.xxhash64("text")
+    sizes = labelled.select(hashed, "lang").distinct().groupBy("lang").count().collect()
+    most = shared_out([r["count"] for r in sizes], sample)
+    limits = [(r["lang"], min(round((min(1.0, most / r["count"]) - 0.5) * 2.0**64), (1 << 63) - 1)) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(limits, "lang string, least long")
+    # Every task picks its own rows, and copies of a text meet before the shuffle; they do not count for the part.
+    chosen = labelled.join(F.broadcast(limits), "lang").where(hashed <= F.col("least")).select("text", "lang").distinct()
     counts = chosen.mapInArrow(_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     table = counts.toPandas()
     if table.empty:
