@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    byte_bpe,
     decontaminate,
     html_extraction,
     jaccard_join,
     language_id,
     license_scan,
+    merkle,
     packing,
     quality_rules,
     resharding,
     substring_dedup,
     url_filters,
+    whitening,
 )
 
 #: The rules of op1_url_filter.
@@ -104,6 +107,19 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extraction.extracted(table(spark, folder, "pages"))
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audited(table(spark, folder, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(byte_bpe.encoded(table(spark, folder, "documents").select("doc_id", "text"), ranks), ranks)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -117,6 +133,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_packing,
         op10_html_extraction,
+        op11_embedding_whitening,
+        op12_merkle_manifest,
+        op13_byte_bpe,
     )
 }
 ORACLES: dict[str, str] = {
@@ -143,4 +162,68 @@ ORACLES: dict[str, str] = {
             COALESCE(split_part(found, ' ', 1), 'allow') AS verdict
         FROM judged
     """,
+    "op12_merkle_manifest": """
+        WITH RECURSIVE fields AS (
+            SELECT row_number() OVER () AS id, doc_id, lang, text,
+                COALESCE(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || COALESCE(strlen(source) || ':' || source, '-')
+                    || COALESCE(strlen(lang) || ':' || lang, '-') || COALESCE(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+                list_reduce(
+                    list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                    lambda crc, byte: list_reduce(
+                        list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                        lambda x, z: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END) + z
+                    )
+                ) AS crc
+            FROM documents
+        ), hashed AS (
+            SELECT id, doc_id, lang, sha256(head || COALESCE(strlen(text) || ':' || text, '-')) AS leaf,
+                CASE WHEN xor(crc, 4294967295) % 3 = 0
+                    THEN sha256(head || COALESCE(strlen(lowered) || ':' || lowered, '-')) END AS altered
+            FROM fields
+        ), leaves AS (
+            SELECT *, COALESCE('=' || lang, '-') AS tree,
+                row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank
+            FROM hashed
+        ), nodes(tree, level, spot, digest, n) AS (
+            SELECT tree, 0, rank, leaf, count(*) OVER (PARTITION BY tree) FROM leaves
+            UNION ALL
+            SELECT tree, level + 1, spot // 8, sha256(string_agg(digest, '' ORDER BY spot)), (n + 7) // 8
+            FROM nodes WHERE n > 1 GROUP BY tree, level, spot // 8, n
+        ), subroots AS (
+            SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS rank, count(*) OVER () AS n FROM nodes WHERE n = 1
+        ), top(level, spot, digest, n) AS (
+            SELECT 0, rank, digest, n FROM subroots
+            UNION ALL
+            SELECT level + 1, spot // 8, sha256(string_agg(digest, '' ORDER BY spot)), (n + 7) // 8
+            FROM top WHERE n > 1 GROUP BY level, spot // 8, n
+        ), steps AS (
+            SELECT l.id, 0 AS part, a.level, COALESCE(string_agg(s.digest, '' ORDER BY s.spot) FILTER (s.spot < a.spot), '') AS before,
+                COALESCE(string_agg(s.digest, '' ORDER BY s.spot) FILTER (s.spot > a.spot), '') AS after
+            FROM leaves l JOIN nodes a ON a.tree = l.tree AND a.n > 1 AND a.spot = l.rank // (8 ** a.level)::BIGINT
+            JOIN nodes s ON s.tree = a.tree AND s.level = a.level AND s.spot // 8 = a.spot // 8
+            GROUP BY l.id, a.level
+            UNION ALL
+            SELECT l.id, 1, a.level, COALESCE(string_agg(s.digest, '' ORDER BY s.spot) FILTER (s.spot < a.spot), ''),
+                COALESCE(string_agg(s.digest, '' ORDER BY s.spot) FILTER (s.spot > a.spot), '')
+            FROM leaves l JOIN subroots r ON r.tree = l.tree
+            JOIN top a ON a.n > 1 AND a.spot = r.rank // (8 ** a.level)::BIGINT
+            JOIN top s ON s.level = a.level AND s.spot // 8 = a.spot // 8
+            GROUP BY l.id, a.level
+        ), paths AS (
+            SELECT id, list({'before': before, 'after': after} ORDER BY part, level) AS path,
+                string_agg(before || after, '' ORDER BY part, level) AS joined
+            FROM steps GROUP BY id
+        ), folded(id, done, digest) AS (
+            SELECT id, 0, COALESCE(altered, leaf) FROM leaves
+            UNION ALL
+            SELECT f.id, f.done + 1, sha256(p.path[f.done + 1].before || f.digest || p.path[f.done + 1].after)
+            FROM folded f JOIN paths p USING (id) WHERE f.done < len(p.path)
+        )
+        SELECT l.doc_id, l.leaf, r.digest AS subroot, t.digest AS root, sha256(COALESCE(p.joined, '')) AS proof_sha256,
+            f.digest AS folded_root, f.digest = t.digest AS verified
+        FROM leaves l JOIN subroots r USING (tree) LEFT JOIN paths p USING (id)
+        JOIN folded f ON f.id = l.id AND f.done = COALESCE(len(p.path), 0)
+        CROSS JOIN (SELECT digest FROM top WHERE n = 1) t
+    """,
 }
