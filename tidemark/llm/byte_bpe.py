@@ -29,6 +29,8 @@ from tidemark.llm.words import slices
 
 #: Bytes of a block, code points of a stretch, bytes of a word that is remembered, and remembered words per process.
 BLOCK, STRETCH, SHORT, REMEMBERED = 1 << 20, 512, 48, 1 << 18
+#: Words that merge side by side, and what is no rank.
+TOGETHER, NEVER = 1 << 13, 1 << 40
 
 #: Classes of code points ...
 LETTER, NUMBER, OTHER, SPACE, WHITE, QUOTE = range(6)
@@ -193,8 +195,10 @@ class Vocabulary:
         self.size = np.zeros(max(self.tokens, default=0) + 1, np.int64)
         for rank, token in self.tokens.items():
             self.size[rank] = len(token)
+        self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         self.remembered: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.pair_keys, self.pair_ids = self._pairs()
 
     @classmethod
     def of(cls, path: str, ranges: list[tuple[int, int, int]]) -> Vocabulary:
@@ -202,36 +206,79 @@ class Vocabulary:
             cls.known[path] = cls(path, ranges)
         return cls.known[path]
 
-    def ids(self, word: bytes) -> bytes:
-        """The ids of a word, as little-endian 32-bit numbers."""
-        if len(word) > SHORT:
-            return np.array(self._merged_long(word), "<u4").tobytes()
-        found = self.older.get(word) or np.array(self._merged(word), "<u4").tobytes()
-        if len(self.remembered) >= REMEMBERED:  # words in use come back from the older half
-            self.older = dict(self.remembered)
-            self.remembered.clear()
-        self.remembered[word] = found
+    def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every pair of tokens that is a token, as sorted keys, and that token's id."""
+        found = {}
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    found[left << 32 | right] = rank
+        keys = np.array(sorted(found), np.int64)
+        return np.append(keys, np.iinfo(np.int64).max), np.array([*(found[k] for k in keys.tolist()), NEVER], np.int64)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ids of pairs of ids, ``NEVER`` where they make no token or one of them is padding."""
+        keys = left << 32 | right
+        at = np.searchsorted(self.pair_keys, keys)
+        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_ids[at], NEVER)
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each of several different words, as little-endian 32-bit numbers."""
+        known, older = self.remembered, self.older
+        found, new = [known.get(word) for word in words], []
+        for i, word in enumerate(words):
+            if found[i] is None:
+                ids = older.get(word)
+                if ids is None and word in self.ranks:
+                    ids = self.ranks[word].to_bytes(4, "little")
+                elif ids is None and len(word) > SHORT:
+                    ids = np.array(self._merged_long(word), "<u4").tobytes()
+                if ids is None:
+                    new.append(i)
+                else:
+                    found[i] = ids
+                    if len(word) <= SHORT:
+                        known[word] = ids
+        new.sort(key=lambda i: len(words[i]))
+        for at in range(0, len(new), TOGETHER):
+            part = new[at : at + TOGETHER]
+            for i, ids in zip(part, self._merged([words[i] for i in part]), strict=True):
+                found[i] = known[words[i]] = ids
+        if len(known) > REMEMBERED:  # words in use come back from the older half
+            self.older, self.remembered = known, {}
         return found
 
-    def _merged(self, word: bytes) -> list[int]:
-        """Neighbours merge in the order of rank, then of place."""
-        ranks, none = self.ranks, len(self.size)
-        if word in ranks:
-            return [ranks[word]]
-        parts = [word[i : i + 1] for i in range(len(word))]
-        pairs = [ranks.get(word[i : i + 2], none) for i in range(len(word) - 1)]
-        while pairs and (least := min(pairs)) < none:
-            i = pairs.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
-            if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
-        return [ranks[part] for part in parts]
+    def _merged(self, words: list[bytes]) -> list[bytes]:
+        """Many words at once: in each round every word merges its pair of lowest rank, the leftmost of equal ones."""
+        size = np.array([len(word) for word in words])
+        width = int(size.max())
+        inside = np.arange(width) < size[:, None]
+        parts = np.full(inside.shape, -1, np.int64)
+        parts[inside] = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        done, rows, columns = parts.copy(), np.arange(len(words)), np.arange(width)
+        pairs = np.full(parts.shape, NEVER)  # what a part makes with the next one
+        pairs[:, :-1] = self._joined(parts[:, :-1], parts[:, 1:])
+        while len(rows):
+            at = pairs.argmin(axis=1)
+            least = np.take_along_axis(pairs, at[:, None], axis=1)[:, 0]
+            merges = least < NEVER
+            done[rows[~merges]] = parts[~merges]
+            rows, at, least = rows[merges], at[merges], least[merges]
+            each, moved = np.arange(len(rows)), np.minimum(columns + (columns > at[:, None]), width - 1)
+            parts = np.take_along_axis(parts[merges], moved, axis=1)
+            pairs = np.take_along_axis(pairs[merges], moved, axis=1)
+            parts[:, -1], pairs[:, -1] = -1, NEVER
+            parts[each, at] = least
+            pairs[each, at] = self._joined(least, parts[each, np.minimum(at + 1, width - 1)])
+            left = np.flatnonzero(at)
+            pairs[left, at[left] - 1] = self._joined(parts[left, at[left] - 1], least[left])
+        kept = done >= 0
+        packed, ends = done[kept].astype("<u4").tobytes(), (4 * np.cumsum(kept.sum(axis=1))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def _merged_long(self, word: bytes) -> list[int]:
-        """The same by a heap, which keeps long words from taking squared time."""
+        """One word by a heap, which keeps long words from taking squared time."""
         ranks = self.ranks
         n = len(word)
         stop, before = list(range(1, n + 1)), list(range(-1, n))
@@ -260,11 +307,15 @@ class Vocabulary:
 
     def encoded(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all rows, the byte within its row that each begins at, and the first id of each row."""
-        starts = word_starts(data, offsets, self.table)
-        stops, whole = np.r_[starts, len(data)][1:].tolist(), data.tobytes()
-        known, ids = self.remembered, self.ids
-        words = (whole[a:b] for a, b in zip(starts.tolist(), stops, strict=True))
-        found = np.frombuffer(b"".join([known.get(w) or ids(w) for w in words]), "<u4")
+        cuts = np.r_[word_starts(data, offsets, self.table), len(data)].astype(np.int64)
+        buffers = [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]
+        words = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, buffers).dictionary_encode()
+        once = self.ids(words.dictionary.to_pylist())
+        size, at = np.array([len(ids) // 4 for ids in once], np.int64), words.indices.to_numpy()
+        first = (np.cumsum(size) - size)[at]
+        size = size[at]
+        first -= np.cumsum(size) - size
+        found = np.frombuffer(b"".join(once), "<u4")[np.repeat(first, size) + np.arange(size.sum())]
         ends = np.cumsum(self.size[found])
         place = ends - self.size[found]
         bounds = np.searchsorted(place, offsets)
