@@ -156,12 +156,17 @@ def _steps(nodes: DataFrame, level: int, runs: DataFrame) -> DataFrame:
     return nodes.join(run, same & inside).select(*kept, F.concat(step, "above").alias("path"))
 
 
-def _paths(leaves: DataFrame, runs: list[DataFrame], ends: DataFrame) -> DataFrame:
-    """Adds ``path`` to leaves (with lo and hi); ``ends`` gives the path of the last node of each tree."""
+def _no_path() -> Column:
+    return F.array().cast("array<struct<before:string,after:string>>")
+
+
+def _paths(leaves: DataFrame, runs: list[DataFrame], ends: DataFrame | None) -> DataFrame:
+    """Adds ``path`` to leaves (with lo and hi); ``ends`` gives the path of each tree's last node (None: empty)."""
     levels, above = [leaves, *runs], None
     for level in range(len(levels) - 1, -1, -1):
         nodes = levels[level]
-        single = nodes.where(_alone(level)).join(ends, "tree").select(*nodes.columns, "path")
+        single = nodes.where(_alone(level))
+        single = single.select("*", _no_path().alias("path")) if ends is None else single.join(ends, "tree").select(*nodes.columns, "path")
         below = nodes.where(~_alone(level))
         above = single if above is None else single.unionByName(_steps(below, level, above))
     return above
@@ -169,10 +174,8 @@ def _paths(leaves: DataFrame, runs: list[DataFrame], ends: DataFrame) -> DataFra
 
 def proofs(made: Manifest) -> DataFrame:
     """The leaves with ``subroot`` and ``path``: from the leaf to the root, the digests before and after it in each run."""
-    nothing = F.array().cast("array<struct<before:string,after:string>>")
-    whole = made.subroots.select(F.lit(TOP).alias("tree"), nothing.alias("path")).limit(1)
     spans = [F.col("rank").alias("lo"), F.col("rank").alias("hi")]
-    roots = _paths(made.subroots.select("*", *spans), made.top, whole)
+    roots = _paths(made.subroots.select("*", *spans), made.top, None)
     ends = settled(roots.select(F.col("member").alias("tree"), F.col("leaf").alias("subroot"), "path"), "paths")
     found = _paths(made.leaves.select("*", *spans), made.runs, ends.select("tree", "path"))
     return found.join(ends.select("tree", "subroot"), "tree").drop("lo", "hi")
