@@ -56,6 +56,26 @@ def test_window_queries_join_on_equality_only(spark, window):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_a_long_time_window_needs_one_shuffle_by_group_and_block(spark):
+    config = QueryConfig("Q", "s", (Aggregation("m", "max", "avg_speed"),), ("road_id",))
+    rows = bindings.sensor_stream(spark, FOLDER)
+    plan = final_plan(run_query(rows, config, "history", window=WindowSpec("Sliding", 10_000, "seconds"), merge=False))
+    assert "__piece" not in plan
+    assert len(re.findall(r"Exchange hashpartitioning\(road_id#\d+, block#\d+L?, \d+\)", plan)) == 1
+
+
+@pytest.mark.parametrize("mode", ["dense", "window"])
+def test_opened_rows_are_not_shuffled(spark, mode):
+    rows = bindings.sensor_stream(spark, FOLDER)
+    if mode == "dense":
+        plan = final_plan(run_query(rows, SEEDS["RD-SPEED-PKT"], "history"))
+    else:
+        config = QueryConfig("Q", "s", (Aggregation("m", "max", "avg_speed"),), ("road_id",))
+        plan = final_plan(run_query(rows, config, "history", window=WindowSpec("Sliding", 5, "seconds"), merge=False))
+    opened = plan.index("Generate explode(slice(")
+    assert "Exchange" not in plan[:opened]
+
+
 def test_filters_reach_the_files(spark, tmp_path):
     bindings.sensor_stream(spark, FOLDER).write.parquet(str(tmp_path / "s"))
     stored = spark.read.parquet(str(tmp_path / "s"))

@@ -6,8 +6,8 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from tidemark.operators import clock
-from tidemark.operators.intervals import aggregate_over, repeat_over
+from tidemark.operators import clock, intervals
+from tidemark.operators.intervals import aggregate_over, repeat_over, sliding_over
 from tidemark.operators.positions import positioned
 from tidemark.operators.scan import running
 
@@ -46,6 +46,55 @@ def test_due_ticks_when_dense(spark):
     assert found.where(F.col("ts") % 3 != 0).count() == 0
 
 
+@pytest.mark.parametrize("frequency", [3, 65_536, 100_000, 1_000_000])
+def test_due_ticks_far_apart(spark, frequency):
+    rng = random.Random(frequency)
+    ticks = set(rng.sample(range(20_000_000), 9_000)) | set(range(5_000_000, 5_000_400)) | {-70_000, -3, 2**31}
+    found = clock.due_ticks(frame(spark, ticks), frequency).orderBy("ts").collect()
+    assert [r[0] for r in found] == greedy(ticks, frequency)
+
+
+def test_due_ticks_of_nothing(spark):
+    assert clock.due_ticks(frame(spark, []), 3).collect() == []
+    assert [r[0] for r in clock.due_ticks(frame(spark, [0]), 3, skip_tick_zero=True).collect()] == []
+
+
+def test_next_due_tick(spark):
+    ticks = clock.numbered(frame(spark, [5, 70_000, 9, 200_000]))
+    points = spark.createDataFrame([(4,), (5,), (10,), (70_001,), (300_000,)], "point long")
+    found = {r["point"]: (r["ord"], r["ord_at"]) for r in clock.next_due(points, ticks).collect()}
+    assert [found[p] for p in (4, 5, 10, 70_001, 300_000)] == [(1, 5), (1, 5), (3, 70_000), (4, 200_000), (None, None)]
+
+
+@pytest.mark.parametrize(("width", "block"), [(1, 1 << 16), (6, 1 << 16), (40, 1 << 16), (500, 1 << 16), (40, 4)])
+def test_sliding_windows_equal_brute_force(spark, monkeypatch, width, block):
+    """Rows at random positions, due ticks at every third or so; a small block stands for a very long window."""
+    monkeypatch.setattr(intervals, "BLOCK", block)
+    rng = random.Random(width)
+    due = sorted(rng.sample(range(-20, 400), 130))
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(-30, 390), i) for i in range(120)]
+    ordinal = {t: i + 1 for i, t in enumerate(due)}
+
+    def later(x):
+        found = [t for t in due if t >= x]
+        return (ordinal[found[0]], found[0]) if found else (None, None)
+
+    placed = [(k, p, *later(p), *later(p + width), v, v, v) for k, p, v in rows]
+    placed = [r for r in placed if r[2] is not None and (r[4] is None or r[2] < r[4])]
+    kinds = "k string, __at long, __in long, __in_at long, __out long, __out_at long, s long, lo long, hi long"
+    ticks = spark.createDataFrame([(o, t) for t, o in ordinal.items()], "ord long, ts long")
+    merges = {"s": "sum", "lo": "min", "hi": "max"}
+    got = sliding_over(spark.createDataFrame(placed, kinds), ["k"], merges, width, ticks, len(due)).collect()
+    want = {}
+    for t in due:
+        for k, p, v in rows:
+            if p <= t < p + width:
+                s, lo, hi = want.get((t, k), (0, v, v))
+                want[t, k] = (s + v, min(lo, v), max(hi, v))
+    assert len(got) == len(want)
+    assert {(r["ts"], r["k"]): (r["s"], r["lo"], r["hi"]) for r in got} == want
+
+
 def test_numbers_and_counts(spark):
     ticks = clock.numbered(frame(spark, [5, 70_000, 9, 200_000]))
     assert rows_of(ticks, "ts", "ord") == [(200_000, 4), (5, 1), (70_000, 3), (9, 2)]

@@ -6,7 +6,8 @@ a field with the current tick.  Three shapes follow:
 
 * exactly one tick (``ts = {CURRENT_TICK}``): a plain grouping by tick;
 * open-ended (everything is kept): a running aggregate;
-* a bounded range (the last ticks or rows): :func:`aggregate_over`.
+* the last ticks or the last rows: :func:`sliding_over`;
+* any other range, which a comparison of the tick with another field gives: :func:`aggregate_over`.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from tidemark.config import TICK, QueryConfig, WindowSpec
 from tidemark.functions.aggregates import merge_column, parts_of
 from tidemark.functions.predicates import number, row_condition, validity
-from tidemark.operators.clock import due_up_to, last_ordinal
-from tidemark.operators.intervals import aggregate_over, repeat_over
+from tidemark.operators.clock import due_up_to, last_ordinal, next_due
+from tidemark.operators.intervals import aggregate_over, repeat_over, sliding_over
 from tidemark.operators.positions import positioned
 from tidemark.operators.scan import BLOCK, join_on, running
 from tidemark.session import settled
@@ -93,6 +94,10 @@ def over_retained(
     parts = parts_of(config)
     keys = list(config.group_by)
     merges = {p.name: p.within for p in parts}
+    if window.by_rows and not any(f.on_tick for f in config.filters):
+        return _over_newest_rows(rows, config, window.size, ticks, key)
+    if window.by_time and moves_with_tick(config):
+        return _over_newest_ticks(rows, config, window.size, ticks)
     due = last_ordinal(ticks)
     n_due = F.lit(due).cast("long")
     merged_rows = all(p.name in rows.columns for p in parts)
@@ -158,6 +163,95 @@ def over_retained(
     return aggregate_over(ranged, keys, "__first", "__stop", merges, ticks, longest)
 
 
+def visible_after(config: QueryConfig, size: int) -> tuple[int, int]:
+    """How many ticks after its own a row is visible, first and last, where filters only compare its tick."""
+    low, high = 0, size
+    for f in config.filters:
+        if f.on_tick and f.operator in ("<", "!=", "<>"):
+            low = max(low, 1)
+        elif f.on_tick and f.operator in ("=", ">="):
+            high = min(high, 0)
+        elif f.on_tick and f.operator == ">":
+            high = min(high, -1)
+    return low, high
+
+
+def _over_newest_ticks(rows: DataFrame, config: QueryConfig, size: int, ticks: DataFrame) -> DataFrame:
+    """Parts per due tick and group over the last ticks; every row is visible equally long."""
+    keys, merges = list(config.group_by), {p.name: p.within for p in parts_of(config)}
+    if not all(c in rows.columns for c in merges):
+        rows = settled(parts_by_own_tick(rows, config), "parts")
+    low, high = visible_after(config, size)
+    edges = ticks.agg(F.min(TICK).alias("first"), F.max(TICK).alias("last"), F.max("ord").alias("n")).first()
+    oldest, newest = edges["first"] or 0, edges["last"] or 0
+    width = high - low + 1
+    at = F.col(TICK).cast("long") + low
+    placed = rows.select(*keys, *merges, at.alias("__at"), (at + width).alias("__end"))
+    placed = placed.where((F.col("__end") > oldest) & (F.col("__at") <= newest) & F.lit(width > 0))
+    placed = placed.withColumn("__from", F.greatest("__at", F.lit(oldest)))
+    points = placed.select(F.col("__from").alias("point")).unionByName(
+        placed.where(F.col("__end") <= newest).select(F.col("__end").alias("point"))
+    )
+    found = settled(next_due(points.distinct(), ticks), "next")
+    entering = found.select(F.col("point").alias("__from"), F.col("ord").alias("__in"), F.col("ord_at").alias("__in_at"))
+    leaving = found.select(F.col("point").alias("__end"), F.col("ord").alias("__out"), F.col("ord_at").alias("__out_at"))
+    placed = placed.join(entering, "__from").join(leaving, "__end", "left").drop("__from", "__end")
+    placed = placed.where(F.col("__out").isNull() | (F.col("__in") < F.col("__out")))
+    return sliding_over(placed, keys, merges, max(width, 1), ticks, edges["n"] or 0)
+
+
+def _over_newest_rows(rows: DataFrame, config: QueryConfig, size: int, ticks: DataFrame, key: str) -> DataFrame:
+    """Parts per due tick and group over the newest ``size`` rows.
+
+    Rows are numbered in tick and key order; a due tick's point is the number of rows up to it, and its window
+    is the last ``size`` numbers.  A row's number is the count up to its tick less its rank from the tick's end.
+    Up to ``PRUNED`` rows, Spark drops all but the newest ``size`` of every tick before its shuffle; larger
+    windows number all rows by a range sort.
+    """
+    parts = parts_of(config)
+    keys, merges = list(config.group_by), {p.name: p.within for p in parts}
+    wanted = {*keys, *(p.field for p in parts if p.field != "*"), *(f.field for f in config.filters)}
+    rows = rows.where(F.col(TICK).isNotNull()).select(*sorted(wanted | {TICK, key}))
+    held = _rows_up_to(rows, ticks)
+    counted = held.select(F.col(TICK).alias("__tick"), "__held", "__in", "__in_at")
+    same = F.col(TICK).cast("long") == F.col("__tick")
+    if size <= PRUNED:
+        newest = Window.partitionBy(TICK).orderBy(F.col(key).desc())
+        ranked = rows.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= size)
+        placed = ranked.join(counted, same).withColumn("__at", F.col("__held") - F.col("__rank") + 1)
+    else:
+        placed = positioned(rows, [TICK, key], "__at").join(counted, same)
+    # The due tick at which a row has left: the first whose point is ``size`` numbers further on.
+    placed = selected(placed, config).where(F.col("__in").isNotNull())
+    due = held.where(F.col("ord").isNotNull())
+    spread = due.agg(F.max("__held").alias("rows"), F.max("ord").alias("ord")).first()
+    points = due.groupBy((-F.col("__held")).alias("__back")).agg(F.min("ord").alias("__out"))
+    points = points.withColumn("__out_at", -F.col("__back"))
+    queued = placed.withColumn("__back", -(F.col("__at") + size)).unionByName(points, allowMissingColumns=True)
+    block = max(BLOCK, (spread["rows"] or 0) >> 16)
+    left = running(queued, [], "__back", {"__out": "min", "__out_at": "min"}, block=block).where(F.col("__at").isNotNull())
+    left = left.where(F.col("__out").isNull() | (F.col("__in") < F.col("__out")))
+    alike = left.groupBy(*keys, "__in", "__in_at", "__out", "__out_at").agg(
+        F.min("__at").alias("__at"), *(p.of_rows() for p in parts)
+    )
+    return sliding_over(alike, keys, merges, size, ticks, spread["ord"] or 0)
+
+
+def _rows_up_to(rows: DataFrame, ticks: DataFrame) -> DataFrame:
+    """Per tick of rows or clock: the number of rows up to it, its ordinal if due, and the first due tick from it on."""
+    marks = (
+        rows.groupBy(F.col(TICK).cast("long").alias(TICK)).agg(F.count("*").alias("__held"))
+        .withColumn("ord", F.lit(None).cast("long"))
+        .unionByName(ticks.select(TICK, F.lit(0).cast("long").alias("__held"), "ord"))
+        .groupBy(TICK)
+        .agg(F.sum("__held").alias("__held"), F.max("ord").alias("ord"))
+    )
+    counted = running(marks, [], TICK, {"__held": "sum"})
+    due = {"__in": F.col("ord"), "__in_at": F.when(F.col("ord").isNotNull(), F.col("__held"))}
+    found = running(counted.withColumns({"__back": -F.col(TICK), **due}), [], "__back", {c: "min" for c in due})
+    return settled(found.drop("__back"), "held")
+
+
 def _last_due_by_rows(rows: DataFrame, size: int, ticks: DataFrame, key: str) -> DataFrame:
     """Attach to each row the ordinal (``__last``) of the last due tick whose newest ``size`` rows hold it.
 
