@@ -188,6 +188,43 @@ def test_live_windows_over_parts_equal_the_batch(spark, sensor, tmp_path, window
         assert rows_of(live_rows, *want.columns) == rows_of(want, *want.columns)
 
 
+@pytest.mark.parametrize(("size", "operator"), [(3, None), (100, "<"), (2, "=")])
+def test_live_row_windows_equal_the_batch(spark, sensor, tmp_path, size, operator):
+    filters = (Filter("avg_speed", ">", 0), *((Filter("ts", operator, CURRENT_TICK),) if operator else ()))
+    config = QueryConfig(
+        "W", "sensor_stream", (Aggregation("s", "sum", "avg_speed"), Aggregation("x", "max", "avg_speed")),
+        ("road_id",), filters,
+    )
+    window = WindowSpec("Tumbling", size, "events")
+    first = [("AB"[t % 2], t // 3, float(t % 5)) for t in range(14)]
+    late = [("A", 1, 9.0), ("B", 2, 4.0), ("A", 1, 7.0), ("C", 6, 0.0)]
+    rows, frames = arriving(spark, sensor, tmp_path, first, late)
+    named = "concat(pkt_id, road_id, ts, avg_speed) AS pkt_id", "road_id", "avg_speed", "ts"
+    out = str(tmp_path / "out")
+    stages.start_parts(
+        spark, rows.selectExpr(*named), "pkt_id", [config], out, str(tmp_path / "c"), row_windows={"W": window}
+    ).awaitTermination()
+    stages.compact_newest(spark, out, config, window, "pkt_id", f"{out}/compact")
+    whole = frames[0].unionByName(frames[1]).selectExpr(*named)
+    for folder, merge, frequency in ((out, True, 2), (f"{out}/compact", False, 1)):
+        options = {"merge": merge, "frequency": frequency}
+        want = run_query(whole, config, "history", window=window, key="pkt_id", **options)
+        found = stages.live_row_window(spark, folder, config, window, "pkt_id", **options)
+        assert rows_of(found, *want.columns) == rows_of(want, *want.columns)
+
+
+def test_a_tick_keeps_no_more_rows_than_the_window(spark, sensor, tmp_path):
+    config = QueryConfig("W", "sensor_stream", (Aggregation("c", "count", "*"),), ())
+    rows, _ = arriving(spark, sensor, tmp_path, [("A", 1, 1.0)] * 50, [("B", 1, 2.0)] * 60)
+    out, window = str(tmp_path / "out"), WindowSpec("Sliding", 10, "packets")
+    rows = rows.withColumn("pkt_id", F.concat("pkt_id", "road_id"))
+    stages.start_parts(spark, rows, "pkt_id", [config], out, f"{out}/c", row_windows={"W": window}).awaitTermination()
+    assert spark.read.parquet(f"{out}/newest/W").count() == 20
+    assert rows_of(stages.read_counts(spark, out), "ts", "n") == [(1, 110)]
+    stages.compact_newest(spark, out, config, window, "pkt_id", f"{out}/compact")
+    assert spark.read.parquet(f"{out}/compact/newest/W").count() == 10
+
+
 def test_parts_refuse_what_needs_rows(sensor):
     config = QueryConfig("W", "s", (Aggregation("c", "count"),), (), (Filter("vehicle_count", "<", CURRENT_TICK),))
     with pytest.raises(ConfigError):

@@ -105,7 +105,7 @@ def test_json_history_round_trip(spark, sensor, tmp_path):
     text = history.json_history(found, "RD-SPEED-PKT", ["road_id", "intersection_id"])
     assert text.groupBy("ts").count().agg(F.max("count")).first()[0] == 1
     for _ in range(2):
-        history.append_history(text, str(tmp_path / "h"), 3)
+        history.append_history(text, str(tmp_path / "h"), "RD-SPEED-PKT", 3)
     back = series.exploded(history.read_history(spark, str(tmp_path / "h")))
     got = back.select("ts", "item.road_id", "item.s_spd", "item.n_spd")
     assert got.count() == found.count() == 21
@@ -131,6 +131,42 @@ def test_typed_results_are_replaced_by_batch(spark, tmp_path):
     assert rows_of(history.newest_result(spark, path, "Q"), "ts", "road_id") == [(4, "A")]
 
 
+def test_a_repeated_batch_without_rows_removes_its_own(spark, tmp_path):
+    path = str(tmp_path / "r")
+    rows = spark.createDataFrame([(t, "A", float(t)) for t in (1, 2, 5000)], "ts int, road_id string, v double")
+    history.append_results(rows.where("ts < 3"), path, "Q", 0)
+    history.append_results(rows.where("ts > 3"), path, "Q", 1)
+    assert rows_of(history.newest_result(spark, path, "Q"), "ts") == [(5000,)]
+    history.append_results(rows.where("ts > 9999"), path, "Q", 1)
+    assert rows_of(history.read_results(spark, path, "Q"), "ts") == [(1,), (2,)]
+    assert rows_of(history.newest_result(spark, path, "Q"), "ts") == [(2,)]
+    history.append_results(rows.where("ts > 9999"), path, "Q", 0)
+    assert history.read_results(spark, path, "Q").collect() == history.newest_result(spark, path, "Q").collect() == []
+    text = history.json_history(rows, "J", ["road_id"])
+    for kept in (text, text.where("ts < 0")):
+        history.append_history(kept, path + "j", "J", 3)
+    assert history.read_history(spark, path + "j").collect() == []
+
+
+def test_an_attempt_without_a_commit_is_not_read(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "r")
+    rows = spark.createDataFrame([(1, 1.0)], "ts int, v double")
+    history.append_results(rows, path, "Q", 0)
+    rows.withColumn("tick_bucket", F.lit(0)).write.partitionBy("tick_bucket").parquet(f"{path}/rows/query_id=Q/attempt=a-lost")
+    assert history.read_results(spark, path, "Q").count() == 1
+
+
+def test_the_last_ticks_read_only_their_folders(spark, tmp_path):
+    path = str(tmp_path / "r")
+    rows = spark.range(5000).select(F.col("id").alias("ts"), F.lit(1.0).alias("v"))
+    history.append_results(rows, path, "Q", 0)
+    last = history.read_results(spark, path, "Q", 60)
+    assert rows_of(last.agg(F.min("ts"), F.max("ts"), F.count("*")), "min(ts)", "max(ts)", "count(1)") == [(4939, 4999, 61)]
+    assert len({f for f in last.inputFiles() if "tick_bucket=4" in f}) >= 1
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(tick_bucket" in plan and "tick_bucket#" in plan
+
+
 def test_formulas(spark):
     df = spark.createDataFrame([(6.0, 2.0, 0.0)], "a double, b double, z double")
     cases = {"a / b": 3.0, "a/z": None, "a / (b - b)": None, "-a + b * 2": -2.0, "(a - b) / b / 2": 1.0, "1.5e1": 15.0, "a / b / z": None}

@@ -83,19 +83,25 @@ def parts_by_own_tick(df: DataFrame, config: QueryConfig) -> DataFrame:
 
 
 def over_retained(
-    rows: DataFrame, config: QueryConfig, window: WindowSpec, ticks: DataFrame, key: str | None
+    rows: DataFrame,
+    config: QueryConfig,
+    window: WindowSpec,
+    ticks: DataFrame,
+    key: str | None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Parts per due tick and group over the rows retained at that tick.
 
     ``ticks`` are the numbered due ticks.  ``rows`` are stream rows, or for time windows and
     everything-kept may be :func:`parts_by_own_tick`.  ``key`` is the stream's primary key; it
-    orders rows of one tick in a row-count window.
+    orders rows of one tick in a row-count window.  ``counts`` are the stream's rows per tick where
+    ``rows`` are only the newest of every tick (:func:`newest_of_ticks`).
     """
     parts = parts_of(config)
     keys = list(config.group_by)
     merges = {p.name: p.within for p in parts}
     if window.by_rows and not any(f.on_tick for f in config.filters):
-        return _over_newest_rows(rows, config, window.size, ticks, key)
+        return _over_newest_rows(rows, config, window.size, ticks, key, counts)
     if window.by_time and moves_with_tick(config):
         return _over_newest_ticks(rows, config, window.size, ticks)
     due = last_ordinal(ticks)
@@ -107,7 +113,7 @@ def over_retained(
     if window.by_rows:
         wanted = {*keys, *(p.field for p in parts if p.field != "*"), *(f.field for f in config.filters)}
         rows = rows.where(F.col(TICK).isNotNull()).select(*sorted(wanted | {TICK, key}))
-        rows = selected(_last_due_by_rows(rows, window.size, ticks, key), config)
+        rows = selected(_last_due_by_rows(rows, window.size, ticks, key, counts), config)
         held = ["__last"]
     else:
         if window.by_time:
@@ -200,7 +206,29 @@ def _over_newest_ticks(rows: DataFrame, config: QueryConfig, size: int, ticks: D
     return sliding_over(placed, keys, merges, max(width, 1), ticks, edges["n"] or 0)
 
 
-def _over_newest_rows(rows: DataFrame, config: QueryConfig, size: int, ticks: DataFrame, key: str) -> DataFrame:
+def rows_per_tick(rows: DataFrame) -> DataFrame:
+    """The number of rows (``n``) of every tick; adds up over batches."""
+    return rows.where(F.col(TICK).isNotNull()).groupBy(F.col(TICK).cast("long").alias(TICK)).agg(F.count("*").alias("n"))
+
+
+def newest_of_ticks(rows: DataFrame, config: QueryConfig, size: int, key: str) -> DataFrame:
+    """The rows that a window of the newest ``size`` rows may still show, with the columns the query reads.
+
+    Of every tick the newest ``size``; the newest of a union are among the newest of its parts, so batches can be
+    stored one by one.  Windows of more than ``PRUNED`` rows keep all.
+    """
+    parts = parts_of(config)
+    wanted = {*config.group_by, *(p.field for p in parts if p.field != "*"), *(f.field for f in config.filters)}
+    rows = rows.where(F.col(TICK).isNotNull()).select(*sorted(wanted | {TICK, key}))
+    if size > PRUNED:
+        return rows
+    newest = Window.partitionBy(TICK).orderBy(F.col(key).desc())
+    return rows.withColumn("__rank", F.row_number().over(newest)).where(F.col("__rank") <= size).drop("__rank")
+
+
+def _over_newest_rows(
+    rows: DataFrame, config: QueryConfig, size: int, ticks: DataFrame, key: str, counts: DataFrame | None
+) -> DataFrame:
     """Parts per due tick and group over the newest ``size`` rows.
 
     Rows are numbered in tick and key order; a due tick's point is the number of rows up to it, and its window
@@ -212,7 +240,7 @@ def _over_newest_rows(rows: DataFrame, config: QueryConfig, size: int, ticks: Da
     keys, merges = list(config.group_by), {p.name: p.within for p in parts}
     wanted = {*keys, *(p.field for p in parts if p.field != "*"), *(f.field for f in config.filters)}
     rows = rows.where(F.col(TICK).isNotNull()).select(*sorted(wanted | {TICK, key}))
-    held = _rows_up_to(rows, ticks)
+    held = _rows_up_to(rows_per_tick(rows) if counts is None else counts, ticks)
     counted = held.select(F.col(TICK).alias("__tick"), "__held", "__in", "__in_at")
     same = F.col(TICK).cast("long") == F.col("__tick")
     if size <= PRUNED:
@@ -237,11 +265,10 @@ def _over_newest_rows(rows: DataFrame, config: QueryConfig, size: int, ticks: Da
     return sliding_over(alike, keys, merges, size, ticks, spread["ord"] or 0)
 
 
-def _rows_up_to(rows: DataFrame, ticks: DataFrame) -> DataFrame:
+def _rows_up_to(counts: DataFrame, ticks: DataFrame) -> DataFrame:
     """Per tick of rows or clock: the number of rows up to it, its ordinal if due, and the first due tick from it on."""
     marks = (
-        rows.groupBy(F.col(TICK).cast("long").alias(TICK)).agg(F.count("*").alias("__held"))
-        .withColumn("ord", F.lit(None).cast("long"))
+        counts.select(F.col(TICK).cast("long").alias(TICK), F.col("n").alias("__held"), F.lit(None).cast("long").alias("ord"))
         .unionByName(ticks.select(TICK, F.lit(0).cast("long").alias("__held"), "ord"))
         .groupBy(TICK)
         .agg(F.sum("__held").alias("__held"), F.max("ord").alias("ord"))
@@ -252,7 +279,7 @@ def _rows_up_to(rows: DataFrame, ticks: DataFrame) -> DataFrame:
     return settled(found.drop("__back"), "held")
 
 
-def _last_due_by_rows(rows: DataFrame, size: int, ticks: DataFrame, key: str) -> DataFrame:
+def _last_due_by_rows(rows: DataFrame, size: int, ticks: DataFrame, key: str, counts: DataFrame | None) -> DataFrame:
     """Attach to each row the ordinal (``__last``) of the last due tick whose newest ``size`` rows hold it.
 
     The row at position p of all rows in tick and key order is among the newest ``size`` at a tick as long
@@ -261,9 +288,9 @@ def _last_due_by_rows(rows: DataFrame, size: int, ticks: DataFrame, key: str) ->
     windows number all rows by a range sort.
     """
     tick = F.col(TICK).cast("long")
+    counts = rows_per_tick(rows) if counts is None else counts
     marks = (
-        rows.groupBy(tick.alias(TICK)).agg(F.count("*").alias("__held"))
-        .withColumn("ord", F.lit(None).cast("long"))
+        counts.select(F.col(TICK).cast("long").alias(TICK), F.col("n").alias("__held"), F.lit(None).cast("long").alias("ord"))
         .unionByName(ticks.select(TICK, F.lit(None).cast("long").alias("__held"), "ord"))
         .groupBy(TICK)
         .agg(F.sum("__held").alias("__held"), F.max("ord").alias("ord"))

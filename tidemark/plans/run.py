@@ -94,16 +94,24 @@ def run_query(
         ticks = numbered(_due(clocked, clock, frequency, skip_tick_zero))
         parts = over_retained(rows, wide, window, ticks, key)
 
+    if ticks is None and merge and mode == "history":
+        parts = settled(parts, "parts")
+        ticks = numbered(ticks_of(df if wide.has_row_filters else parts))
+        return _shaped(landmark.dense_history(parts, wide, ticks), wide, config)
+    return _result(parts, wide, config, mode, merge, ticks)
+
+
+def _result(
+    parts: DataFrame, wide: QueryConfig, config: QueryConfig, mode: str, merge: bool, ticks: DataFrame | None
+) -> DataFrame:
+    """The results of single ticks, as they are or merged as ``mode`` says."""
     if not merge:
         return _shaped(parts, wide, config, latest_as_struct=False)
     if mode == "snapshot":
         return _shaped(landmark.snapshot(parts, wide), wide, config)
     if mode == "changed":
         return _shaped(landmark.sparse_history(parts, wide), wide, config)
-    parts = settled(parts, "parts")
-    if ticks is None:
-        ticks = numbered(ticks_of(df if wide.has_row_filters else parts))
-    return _shaped(landmark.dense_history(parts, wide, ticks), wide, config)
+    return _shaped(landmark.dense_history(settled(parts, "parts"), wide, ticks), wide, config)
 
 
 def run_tick(
@@ -166,20 +174,43 @@ def history_from_parts(
         *(merge_column(p.within, p.name).alias(p.name) for p in parts_of(wide))
     )
     if window.by_rows:
-        raise ConfigError("a row-count window needs the rows themselves")
+        raise ConfigError("a row-count window is read from its newest rows: history_from_newest")
     merged = settled(merged, "parts")
     ticks = numbered(_due(merged, clock, frequency, skip_tick_zero))
     if at_one_tick(wide):
         merged = merged.join(ticks.select(TICK), TICK, "left_semi")
     else:
         merged = over_retained(merged, wide, window, ticks, None)
-    if not merge:
-        return _shaped(merged, wide, config, latest_as_struct=False)
-    if mode == "snapshot":
-        return _shaped(landmark.snapshot(merged, wide), wide, config)
-    if mode == "changed":
-        return _shaped(landmark.sparse_history(merged, wide), wide, config)
-    return _shaped(landmark.dense_history(settled(merged, "parts"), wide, ticks), wide, config)
+    return _result(merged, wide, config, mode, merge, ticks)
+
+
+def history_from_newest(
+    rows: DataFrame,
+    counts: DataFrame,
+    config: QueryConfig,
+    mode: str = "history",
+    *,
+    window: WindowSpec,
+    key: str,
+    merge: bool = True,
+    frequency: int = 1,
+    clock: DataFrame | None = None,
+    skip_tick_zero: bool = False,
+    companions: Sequence[QueryConfig] = (),
+) -> DataFrame:
+    """The results over a row-count window from the stored newest rows of every tick and the rows per tick.
+
+    ``rows`` and ``counts`` are :func:`newest_of_ticks` and :func:`rows_per_tick` of the batches so far.
+    """
+    if mode not in MODES:
+        raise ConfigError(f"mode must be one of {MODES}")
+    if not window.by_rows:
+        raise ConfigError("only a row-count window is read from the newest rows")
+    wide = with_companions(config, companions)
+    counts = settled(counts.groupBy(TICK).agg(F.sum("n").alias("n")), "counts")
+    ticks = numbered(_due(counts, clock, frequency, skip_tick_zero))
+    parts = over_retained(rows, wide, window, ticks, key, counts)
+    return _result(parts, wide, config, mode, merge, ticks)
 
 
 def run_metrics(

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import time
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegralType, LongType, NumericType, StructField, StructType
+from pyspark.sql.types import DecimalType, IntegralType, LongType, NumericType, StringType, StructField, StructType
 
 from tidemark.config import TICK
 from tidemark.functions.values import object_list, whole_number_text
@@ -53,38 +57,76 @@ def json_history(rows: DataFrame, query_id: str, keys: list[str]) -> DataFrame:
     )
 
 
-def append_history(history: DataFrame, path: str, batch: int = 0) -> None:
-    """Store JSON history rows of one batch, one folder per query and batch; a repeated batch replaces its own."""
-    _replace(history.where(F.length("result") > 2).withColumn("b", F.lit(batch)), path)
+#: Ticks of a folder of stored results.
+TICKS_PER_FOLDER = 1024
+COMMIT = "query_id string, b long, written long, attempt string, first long, last long, columns string"
 
 
-def _replace(rows: DataFrame, path: str) -> None:
-    """Write rows into folders by ``query_id`` and ``b``, replacing only those."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("query_id", "b").parquet(path)
+def append_results(rows: DataFrame, path: str, query_id: str, batch: int = 0) -> None:
+    """Store a query's results of one batch as typed rows; a repeated batch replaces its own, also by no rows.
 
+    Rows go to a folder of their own, by ranges of ticks.  A commit, written last, names the folder and its first
+    and last tick; readers follow the newest commit of every batch, so what an interrupted or replaced attempt left
+    behind is never read.
+    """
+    spark = rows.sparkSession
+    attempt, seen = f"a-{uuid.uuid4().hex}", Observation()
+    bucket = F.floor(F.col(TICK) / F.lit(TICKS_PER_FOLDER)).alias("tick_bucket")
+    ends = [F.min(TICK).cast("long").alias("first"), F.max(TICK).cast("long").alias("last")]
+    rows.select("*", bucket).observe(seen, *ends).write.partitionBy("tick_bucket").parquet(
+        f"{path}/rows/query_id={query_id}/attempt={attempt}"
+    )
+    found = seen.get
+    commit = (query_id, batch, time.time_ns(), attempt, found["first"], found["last"], rows.schema.json())
+    spark.createDataFrame([commit], COMMIT).coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    """The newest commit of every query and batch."""
+    stored = spark.read.schema(COMMIT).parquet(f"{path}/commits")
+    others = [f.name for f in stored.schema if f.name not in ("query_id", "b")]
+    newest = F.max_by(F.struct(*others), "written").alias("commit")
+    return stored.groupBy("query_id", "b").agg(newest).select("query_id", "commit.*")
 
-def append_results(rows: DataFrame, path: str, query_id: str, batch: int = 0) -> None:
-    """Store a query's results of one batch as typed rows, and the newest tick of the batch beside them."""
-    named = rows.withColumns({"query_id": F.lit(query_id), "b": F.lit(batch)})
-    _replace(named, f"{path}/rows")
-    newest = named.groupBy("query_id", "b").agg(F.max(TICK).cast("long").alias(TICK))
-    _replace(newest, f"{path}/newest")
 
+def _committed(spark: SparkSession, path: str, query_id: str, commits: DataFrame) -> DataFrame:
+    columns = StructType.fromJson(json.loads(commits.orderBy(F.desc("written")).first()["columns"]))
+    folders = [StructField("attempt", StringType()), StructField("tick_bucket", LongType())]
+    stored = spark.read.schema(StructType([*columns.fields, *folders])).parquet(f"{path}/rows/query_id={query_id}")
+    return stored.join(commits.select("attempt"), "attempt", "left_semi").drop("attempt")
 
-def read_results(spark: SparkSession, path: str, query_id: str) -> DataFrame:
-    """A query's typed results; filters on columns and ticks reach the files."""
-    folder = f"{path}/rows/query_id={query_id}"
-    return spark.read.parquet(folder).drop("b")
+
+def read_results(spark: SparkSession, path: str, query_id: str, last_ticks: int | None = None) -> DataFrame:
+    """A query's typed results, or those of its last ticks, for which only the folders that hold them are read.
+
+    A batch stored several times counts as its last attempt; a query never stored is an error.
+    """
+    commits = _commits(spark, path).where(F.col("query_id") == query_id)
+    rows = _committed(spark, path, query_id, commits)
+    if last_ticks is not None:
+        newest = commits.agg(F.max("last")).first()[0]
+        oldest = (newest or 0) - last_ticks
+        rows = rows.where((F.col("tick_bucket") >= oldest // TICKS_PER_FOLDER) & (F.col(TICK) >= oldest))
+    return rows.drop("tick_bucket")
 
 
 def newest_result(spark: SparkSession, path: str, query_id: str) -> DataFrame:
-    """A query's typed results at its newest tick, which the small table beside the rows tells."""
-    newest = spark.read.parquet(f"{path}/newest/query_id={query_id}").agg(F.max(TICK)).first()[0]
-    return read_results(spark, path, query_id).where(F.col(TICK) == newest)
+    """A query's typed results at its newest tick, which the commits tell."""
+    return read_results(spark, path, query_id, 0)
+
+
+def append_history(history: DataFrame, path: str, query_id: str, batch: int = 0) -> None:
+    """Store a query's JSON history rows of one batch as :func:`append_results` does; empty results are left out."""
+    append_results(history.where(F.length("result") > 2).drop("query_id"), path, query_id, batch)
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(HISTORY).parquet(path).select(*HISTORY.fieldNames())
+    """The stored JSON history of all queries."""
+    fields = [f for f in HISTORY.fields if f.name != "query_id"]
+    folders = [StructField(c, StringType()) for c in ("query_id", "attempt")]
+    stored = spark.read.schema(StructType([*fields, *folders])).parquet(f"{path}/rows")
+    commits = _commits(spark, path).select("query_id", "attempt")
+    return stored.join(commits, ["query_id", "attempt"], "left_semi").select(*HISTORY.fieldNames())
 
 
 def parsed_history(history: DataFrame) -> DataFrame:
@@ -111,23 +153,28 @@ def compact_summary(spark: SparkSession, path: str, target: str) -> None:
 
 
 def write_stream_table(df: DataFrame, path: str, ticks_per_folder: int = 1024) -> None:
-    """Store stream rows in folders of consecutive ticks, so that tick filters prune files."""
+    """Store stream rows in folders of consecutive ticks, and beside them which ticks were written."""
+    seen = Observation()
     bucket = F.floor(F.col(TICK) / F.lit(ticks_per_folder)).alias("tick_bucket")
-    df.select("*", bucket).write.mode("append").partitionBy("tick_bucket").parquet(path)
+    newest = F.max(TICK).cast("long").alias("last")
+    df.select("*", bucket).observe(seen, newest).write.mode("append").partitionBy("tick_bucket").parquet(f"{path}/rows")
+    zone = df.sparkSession.createDataFrame([(seen.get["last"], df.schema.json())], "last long, columns string")
+    zone.coalesce(1).write.mode("append").parquet(f"{path}/zones")
 
 
 def read_stream_table(
     spark: SparkSession, path: str, last_ticks: int | None = None, ticks_per_folder: int = 1024
 ) -> DataFrame:
-    """A stored stream, or only what a time window of ``last_ticks`` still holds."""
-    rows = spark.read.parquet(path)
-    if last_ticks is None:
-        return rows.drop("tick_bucket")
-    newest = rows.agg(F.max("tick_bucket")).first()[0]
-    if newest is None:
-        return rows.drop("tick_bucket")
-    max_tick = rows.where(F.col("tick_bucket") == newest).agg(F.max(TICK)).first()[0]
-    oldest = max_tick - last_ticks
-    return rows.where(
-        (F.col("tick_bucket") >= oldest // ticks_per_folder) & (F.col(TICK) >= oldest)
-    ).drop("tick_bucket")
+    """A stored stream, or only what a time window of ``last_ticks`` still holds.
+
+    The newest tick and the columns come from the small table beside the rows, so that no file of an old folder
+    is opened.
+    """
+    zones = spark.read.schema("last long, columns string").parquet(f"{path}/zones")
+    known = zones.agg(F.max("last").alias("last"), F.max_by("columns", F.coalesce("last", F.lit(-(1 << 62)))).alias("columns")).first()
+    columns = StructType.fromJson(json.loads(known["columns"]))
+    stored = spark.read.schema(StructType([*columns.fields, StructField("tick_bucket", LongType())])).parquet(f"{path}/rows")
+    if last_ticks is not None and known["last"] is not None:
+        oldest = known["last"] - last_ticks
+        stored = stored.where((F.col("tick_bucket") >= oldest // ticks_per_folder) & (F.col(TICK) >= oldest))
+    return stored.drop("tick_bucket")

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.config import TICK, QueryConfig
+from tidemark.config import TICK, QueryConfig, WindowSpec
 from tidemark.functions.aggregates import merge_column, parts_of
 from tidemark.operators.clock import ticks_of
+from tidemark.operators.evaluate import newest_of_ticks, rows_per_tick
 from tidemark.plans.run import (
+    history_from_newest,
     history_from_parts,
     metrics_from_parts,
     metrics_to_store,
@@ -92,10 +94,13 @@ def start_parts(
     keep_rows: bool = False,
     companions: dict[str, Sequence[QueryConfig]] | None = None,
     metrics: Sequence[QueryConfig] = (),
+    row_windows: dict[str, WindowSpec] | None = None,
 ) -> StreamingQuery:
-    """Stage 2: drop repeated keys, then store each query's per-tick parts and the ticks per batch.
+    """Stage 2: drop repeated keys, then store each query's per-tick parts and the rows per tick of the batch.
 
-    ``metrics`` are configs whose long metrics are stored too.  ``companions`` lists, by query id, the queries whose summary targets a query's derived metrics use.
+    ``metrics`` are configs whose long metrics are stored too.  ``companions`` lists, by query id, the queries whose
+    summary targets a query's derived metrics use.  ``row_windows`` lists, by query id, the row-count window of a
+    query that has one: of that query, the newest rows of every tick are stored in place of parts.
 
     Without ``horizon`` every key is remembered and the earliest arrival wins.  With one, state is
     bounded: keys are remembered that long in event time, rows older than that are dropped (see
@@ -118,6 +123,13 @@ def start_parts(
         try:
             for config in configs:
                 own = (companions or {}).get(config.query_id, ())
+                window = (row_windows or {}).get(config.query_id)
+                if window is not None:
+                    wide = with_companions(config, own, batch.schema)
+                    newest_of_ticks(batch, wide, window.size, key).write.mode("overwrite").parquet(
+                        f"{out}/newest/{config.query_id}/b={batch_id}"
+                    )
+                    continue
                 parts_to_store(batch, config, own).write.mode("overwrite").parquet(
                     f"{out}/parts/{config.query_id}/b={batch_id}"
                 )
@@ -125,7 +137,7 @@ def start_parts(
                 metrics_to_store(batch, config).write.mode("overwrite").parquet(
                     f"{out}/metrics/{config.query_id}/b={batch_id}"
                 )
-            ticks_of(batch).write.mode("overwrite").parquet(f"{out}/ticks/b={batch_id}")
+            rows_per_tick(batch).write.mode("overwrite").parquet(f"{out}/ticks/b={batch_id}")
             if keep_rows:
                 batch.write.mode("overwrite").parquet(f"{out}/rows/b={batch_id}")
         finally:
@@ -154,6 +166,22 @@ def read_ticks(spark: SparkSession, *outs: str) -> DataFrame:
     return ticks_of(*(spark.read.schema(f"{TICK} long").parquet(f"{out}/ticks") for out in outs))
 
 
+def read_counts(spark: SparkSession, out: str) -> DataFrame:
+    """The rows per tick of all batches."""
+    return spark.read.schema(f"{TICK} long, n long").parquet(f"{out}/ticks").groupBy(TICK).agg(F.sum("n").alias("n"))
+
+
+def live_row_window(
+    spark: SparkSession, out: str, config: QueryConfig, window: WindowSpec, key: str, mode: str = "history", **options
+) -> DataFrame:
+    """The history so far over a row-count window; options as in :func:`history_from_newest`.
+
+    The window must be the one its rows were stored with, or a smaller one.
+    """
+    rows = spark.read.parquet(f"{out}/newest/{config.query_id}").drop("b")
+    return history_from_newest(rows, read_counts(spark, out), config, mode, window=window, key=key, **options)
+
+
 def live_history(
     spark: SparkSession,
     out: str,
@@ -179,11 +207,28 @@ def live_metric_history(
     return metrics_from_parts(parts, config, read_ticks(spark, out) if clock is None else clock, **options)
 
 
+def compact_newest(
+    spark: SparkSession,
+    out: str,
+    config: QueryConfig,
+    window: WindowSpec,
+    key: str,
+    target: str,
+    companions: Sequence[QueryConfig] = (),
+) -> None:
+    """Merge the newest rows of all batches: what a tick keeps never exceeds the window."""
+    read_counts(spark, out).write.mode("overwrite").parquet(f"{target}/ticks/b=0")
+    rows = spark.read.parquet(f"{out}/newest/{config.query_id}").drop("b")
+    newest_of_ticks(rows, with_companions(config, companions), window.size, key).write.mode("overwrite").parquet(
+        f"{target}/newest/{config.query_id}/b=0"
+    )
+
+
 def compact_parts(
     spark: SparkSession, out: str, config: QueryConfig, target: str, companions: Sequence[QueryConfig] = ()
 ) -> None:
     """Merge the parts and ticks of all batches into one table each, with a row per tick and group."""
-    read_ticks(spark, out).write.mode("overwrite").parquet(f"{target}/ticks/b=0")
+    read_counts(spark, out).write.mode("overwrite").parquet(f"{target}/ticks/b=0")
     parts = read_parts(spark, out, config)
     config = with_companions(config, companions)
     parts.groupBy(*config.group_by, TICK).agg(

@@ -425,10 +425,12 @@ def _(spark, folder):
     return run_query(rows, config, "history", merge=False)
 
 
+ROAD_WINDOW = _sensor(SPEED_SUM, SPEED_MAX, SPEED_MIN, SPEED_AVG, PACKETS, by=("road_id",), filters=())
+
+
 def _windowed(window: WindowSpec | None, merge: bool, frequency: int = 1):
-    config = _sensor(SPEED_SUM, SPEED_MAX, SPEED_MIN, SPEED_AVG, PACKETS, by=("road_id",), filters=())
     return lambda spark, folder: run_query(
-        bindings.sensor_stream(spark, folder), config, "history",
+        bindings.sensor_stream(spark, folder), ROAD_WINDOW, "history",
         window=window, merge=merge, frequency=frequency, key="pkt_id",
     )
 

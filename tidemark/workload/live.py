@@ -122,6 +122,19 @@ def _(spark, folder):
     return stages.live_history(spark, _live_parts(spark, folder, config), config, frequency=5)
 
 
+@keep("stream_row_window")
+def _(spark, folder):
+    """A window of the newest 50 rows over several micro-batches with repeated keys, read from compacted newest rows."""
+    config, window = batch.ROAD_WINDOW, WindowSpec("Sliding", 50, "packets")
+    out = scratch_path(spark, "live")
+    rows = bindings.sensor_rows(_events_in_files(spark, folder))
+    stages.start_parts(
+        spark, rows, SENSOR.key, [config], out, f"{out}/checkpoint", row_windows={config.query_id: window}
+    ).awaitTermination()
+    stages.compact_newest(spark, out, config, window, SENSOR.key, f"{out}/compact")
+    return stages.live_row_window(spark, f"{out}/compact", config, window, SENSOR.key, merge=False)
+
+
 @keep("stream_shared_clock")
 def _(spark, folder):
     """Two live streams drive one clock."""
@@ -248,6 +261,20 @@ def _(spark, folder):
     return newest.select("ts", "road_id", F.col("x_spd").cast("double").alias("x_spd"), F.col("c_pkt").cast("long").alias("c_pkt"))
 
 
+@keep("stored_history_retry")
+def _(spark, folder):
+    """Two batches, of which the second is stored again, first with other rows and at last without any."""
+    config = SEEDS["RD-VEH-PKT"]
+    rows = run_query(bindings.sensor_stream(spark, folder), config, "changed")
+    path = scratch_path(spark, "results")
+    early = rows.where("ts < 500")
+    history.append_results(early, path, config.query_id, 0)
+    for again in (rows.where("ts >= 500"), rows.where("ts >= 900"), rows.where("ts < 0")):
+        history.append_results(again, path, config.query_id, 1)
+    stored = history.read_results(spark, path, config.query_id, 100)
+    return stored.groupBy("ts").agg(F.count("*").alias("groups")).select(F.col("ts").cast("long").alias("ts"), "groups")
+
+
 @keep("stored_history")
 def _(spark, folder):
     path = scratch_path(spark, "history")
@@ -256,7 +283,7 @@ def _(spark, folder):
         rows = run_query(bindings.sensor_stream(spark, folder), config, "changed")
         stored = history.json_history(rows, query_id, list(config.group_by))
         for _ in range(2):  # a repeated batch replaces its own rows
-            history.append_history(stored, path, 7)
+            history.append_history(stored, path, query_id, 7)
     stored = history.read_history(spark, path)
     return history.parsed_history(stored).select(
         "query_id", "ts", F.size("result").cast("long").alias("objects")

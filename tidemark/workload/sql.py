@@ -366,6 +366,10 @@ ENDS = """ends AS (SELECT ts AS tick, max(pos) AS top FROM ranked GROUP BY ts)""
 _sql("query_sliding_rows", SENSOR, RANKED, ENDS,
      "r AS (SELECT e.tick, k.* FROM ends e JOIN ranked k ON k.pos > e.top - 50 AND k.pos <= e.top)", select=f"""
 SELECT tick AS ts, road_id, {ROAD_SPEED} FROM r GROUP BY tick, road_id""")
+_sql("stored_history_retry", SENSOR, select="""
+SELECT ts, count(DISTINCT road_id) AS groups FROM sensor
+WHERE ts < 500 AND ts >= (SELECT max(ts) FROM sensor WHERE ts < 500) - 100 GROUP BY ts""")
+ORACLES["stream_row_window"] = ORACLES["query_sliding_rows"]
 _sql("query_rows_at_tick", SENSOR, RANKED, ENDS,
      "r AS (SELECT e.tick, k.* FROM ends e JOIN ranked k ON k.pos > e.top - 4 AND k.pos <= e.top AND k.ts = e.tick)",
      select="""
