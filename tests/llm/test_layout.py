@@ -7,6 +7,7 @@ from itertools import product
 import brute
 from cases import FOLDER, HARD, documents, duck, hard, nothing, rows_of, same  # noqa: F401
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -174,7 +175,9 @@ def test_words_have_the_ids_of_the_tokenizer(tokenizer):
     letters = "abcXYZ019 .,!'#<|>é ÉßİıſŒæñ×÷\u00a0\u0301\u1e9eΣς漢😀\x85\x1c\t\n"
     texts = ["", "don't I'LL <|endoftext|> x<|startoftext|>y", "İstanbul ſ ﬁ A\u0301 ΑΣ ", "a\u00a0b\u2028c", *("".join(rng.choices(letters, k=40)) for _ in range(400))]
     for text in texts:
-        assert np.frombuffer(table.of(text), table.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert table.of(pa.array([text]))[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    ids, ends = table.of(pa.array([None, *texts, ""]))
+    assert [i.tolist() for i in np.split(ids, ends)[1:-2]] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_sequences_hold_the_packed_ids(spark, tokenizer):
