@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 import zlib
 from itertools import product
 
@@ -318,3 +319,48 @@ def test_missing_end_tags_silence_nothing_else(page):
 def test_text_ends_a_head():
     text = "Text that stands in no element of its own, but is long enough to be read."
     assert [b.text for b in html_extraction.blocks(f"<html><head><title>x</title>\n{text}<div></div></html>")] == [text]
+
+
+LONG = "Words of a long paragraph that goes on and on for a while, and ends here. " * 4
+
+
+@pytest.mark.parametrize("names", ["content no-sidebar", "has-comments", "legal", "post-text tags"])
+@pytest.mark.parametrize("tag", ["div", "article"])
+def test_names_of_a_wrapper_do_not_cost_the_article(tag, names):
+    page = f"<body><nav><a href=x>Home</a></nav><{tag} class='{names}'>{f'<p>{LONG}</p>' * 3}</{tag}><footer>us</footer></body>"
+    assert html_extraction.main_text(page) == "\n\n".join([LONG.strip()] * 3)
+
+
+def test_names_that_tell_what_text_is_about():
+    page = f'<article><p>{LONG}</p><p class="notice-of-meeting">The meeting is on Monday.</p><p>{LONG}</p></article>'
+    assert "The meeting" in html_extraction.main_text(page)
+
+
+@pytest.mark.parametrize("names", ["comments", "reader-comments", "replies"])
+def test_many_reader_comments_are_no_article(names):
+    page = f"<body><article><p>{LONG}</p></article><div class='{names}'>{f'<p>{LONG}</p>' * 30}</div></body>"
+    assert html_extraction.main_text(page) == LONG.strip()
+
+
+def test_quote_signs_in_values():
+    page = f"<article><p title=5\">{LONG}</p><p data-x=it's>First of them.</p><p title='a > b'>Second of them.</p></article>"
+    assert html_extraction.main_text(page).split("\n\n") == [LONG.strip(), "First of them.", "Second of them."]
+
+
+@pytest.mark.parametrize(
+    "piece", ["<a ", "<div>a", '<p x="', "<b><u>x</i>", "<button>x<i>", "<svg><g>", "<b><hr>", "<p x='>it\" ", "<!", "<p>a<b>"]
+)
+def test_time_grows_with_the_page(piece):
+    """Four times the text may not take ten times as long; a quadratic reader takes sixteen."""
+
+    def seconds(size):
+        page = piece * (size // len(piece))
+        start = time.process_time()
+        html_extraction.main_text(page)
+        return time.process_time() - start
+
+    assert seconds(400_000) < 10 * max(seconds(100_000), 0.05)
+
+
+def test_no_pages(spark):
+    assert html_extraction.extracted(spark.createDataFrame([], "page_id long, url string, html string, text int")).collect() == []

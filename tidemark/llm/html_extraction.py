@@ -10,13 +10,17 @@ Blocks are what lies between block-level tags; ``<br>`` and other inline tags do
 space). Unclosed tags are closed by their parent or by the next tag that cannot stand inside them; a head also by text, and
 other elements without shown text, if their own end tag is missing, by the next block-level tag. Text of head, script, style
 and the like is never a block. Character references are decoded; white space becomes one space; blocks are joined
-by an empty line. A null or empty page has the empty text. Each page is worked on by itself, so nothing is shuffled.
+by an empty line. A null or empty page has the empty text. Each page is worked on by itself, so nothing is shuffled; reading a
+page takes time in proportion to its length. Names such as *sidebar* count against an element unless they tell what it lacks or is
+about (``no-sidebar``), or it is, or holds, an article or main part, or holds most of the page's paragraphs (reader comments never
+pass for that). Repeated rows are extracted one by one, other columns are ignored, and an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import deque
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -25,7 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""", re.S)
+# An attribute's value is quoted only right after its equals sign. A comment or tag without end goes on to the end of the page,
+# so that no character is looked at twice.
+_TAG = re.compile(
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)"""
+    r"""|<(/?)([A-Za-z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))*+)(?:>|\Z)""",
+    re.S,
+)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 
@@ -71,82 +81,148 @@ BAD_WORDS = frozenset(
     "pagination pager toolbar copyright legal disclaimer tags".split()
 )
 GOOD_WORDS = frozenset("article content entry post story main body text".split())
+#: A class or id with one of these words in it tells what an element lacks, holds or is about, not what it is.
+ABOUT = frozenset("no non not has have with without of for".split())
+REPLIES = frozenset("comment comments reply replies disqus".split())
 BAD_WORD, GOOD_WORD, LINKED = -9.0, 0.8, -4.0
+#: An element with this part of the page's text, and this many paragraphs, is no boilerplate for its name alone.
+MOST, PARAGRAPHS = 0.8, 3
 BLOCK_TAGS = {"p": 1.0, "pre": 1.0, "blockquote": 1.0, "h1": 0.8, "h2": 0.8, "h3": 0.8, "li": 0.2}
 #: The strength of an edge between neighbours of one parent, its part for each step apart in the tree, and of a parent's edge.
 TIE, DECAY, SIBLING = 2.5, 0.5, 1.5
 SCALE = 100
+#: Steps in the tree after which an edge has no strength left.
+FAR = 16
 
 
 class Block(NamedTuple):
     text: str
     tag: str
-    path: tuple[int, ...]  # numbers of the elements above, the outermost first
-    score: float
+    holder: int  # number of the nearest element that is not inline
+    element: int  # number of the nearest element
     linked: float
 
 
-class _Element(NamedTuple):
-    tag: str
-    number: int
-    score: float  # of this element and all above
-    good: bool  # an article or main part is above, or it is one
-
-
-def _own_score(tag: str, attributes: str, above: _Element) -> float:
-    score = GOOD_TAGS.get(tag, 0.0)
-    if tag != "header" or not above.good:  # the head of an article holds its headline
-        score += BAD_TAGS.get(tag, 0.0)
-    if attributes:
-        words = {w for found in _NAMES.findall(attributes) for part in found for w in _WORD.findall(part.lower())}
-        if tag not in ("html", "body"):
-            score += BAD_WORD * bool(words & BAD_WORDS)
-        score += GOOD_WORD * bool(words & GOOD_WORDS)
-    return score
+class Tree:
+    """The elements of a page by number, parents before children."""
+
+    def __init__(self) -> None:
+        self.tags = [""]
+        self.up = [-1]  # the element above
+        self.outer = [-1]  # of elements that are not inline: the next such one above
+        self.depth = [0]
+        self.good = [False]  # an article or main part is above, or it is one
+        self.own = [0.0]
+        self.named = [0]  # 1: its names are those of boilerplate, 2: of reader comments
+
+    def add(self, tag: str, attributes: str, above: int, outer: int) -> int:
+        self.tags.append(tag)
+        self.up.append(above)
+        self.outer.append(outer)
+        self.depth.append(self.depth[outer] + 1)
+        self.good.append(self.good[above] or tag in GOOD_TAGS)
+        score, named = GOOD_TAGS.get(tag, 0.0), 0
+        if tag != "header" or not self.good[above]:  # the head of an article holds its headline
+            score += BAD_TAGS.get(tag, 0.0)
+        if attributes:
+            words: set[str] = set()
+            for found in _NAMES.findall(attributes):
+                for name in "".join(found).lower().split():
+                    parts = _WORD.findall(name)
+                    if ABOUT.isdisjoint(parts):
+                        words.update(parts)
+            if tag not in ("html", "body") and tag not in GOOD_TAGS and words & BAD_WORDS:
+                named = 2 if words & REPLIES else 1
+            score += GOOD_WORD * bool(words & GOOD_WORDS)
+        self.own.append(score)
+        self.named.append(named)
+        return len(self.tags) - 1
+
+    def scores(self, found: list[Block]) -> list[float]:
+        """For each element, what it and all above say about a block."""
+        n = len(self.tags)
+        text, paragraphs, holds = [0] * n, [0] * n, [t in GOOD_TAGS for t in self.tags]
+        for block in found:
+            text[block.element] += len(block.text)
+            paragraphs[block.element] += block.tag == "p"
+        for i in range(n - 1, 0, -1):
+            above = self.up[i]
+            text[above] += text[i]
+            paragraphs[above] += paragraphs[i]
+            holds[above] = holds[above] or holds[i]
+        out = [0.0] * n
+        for i in range(1, n):
+            most = self.named[i] == 1 and text[i] >= MOST * text[0] and paragraphs[i] >= PARAGRAPHS
+            bad = self.named[i] and not holds[i] and not most
+            out[i] = out[self.up[i]] + self.own[i] + (BAD_WORD if bad else 0.0)
+        return out
+
+    def distance(self, a: int, b: int) -> int:
+        """Steps between two elements that are not inline, ``FAR`` at most."""
+        steps = 0
+        while a != b and steps < FAR:
+            if self.depth[a] < self.depth[b]:
+                a, b = b, a
+            a = self.outer[a]
+            steps += 1
+        return steps
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page, in page order."""
-    out, unclosed = _parsed(page, frozenset())
-    return _parsed(page, unclosed)[0] if unclosed else out
+    return parsed(page)[0]
 
 
-def _parsed(page: str, unclosed: frozenset[int]) -> tuple[list[Block], frozenset[int]]:
-    """The blocks, where the elements of the numbers ``unclosed`` end at block-level tags, and the silent elements without end tag."""
+def parsed(page: str) -> tuple[list[Block], Tree]:
+    found, tree, unclosed = _parsed(page, frozenset())
+    return _parsed(page, unclosed)[:2] if unclosed else (found, tree)
+
+
+def _parsed(page: str, unclosed: frozenset[int]) -> tuple[list[Block], Tree, frozenset[int]]:
+    """The blocks, where the elements of the numbers ``unclosed`` end at block-level tags, and the silent elements without end tag.
+
+    Open elements are found by tag and kind through their places on the stack, so that no tag walks through it.
+    """
     out: list[Block] = []
+    tree = Tree()
     without: set[int] = set()
     endless: set[str] = set()  # tags that do not end any more
-    stack = [_Element("", 0, 0.0, False)]
+    stack = [0]
+    places: dict[str, list[int]] = {}
+    # Places of elements that are not inline, of containers, of silent elements, and of these the unclosed and the others.
+    outer, containers, silent, soft, hard = [0], [0], [], [], [0]
     pieces: list[str] = []
-    links = silent = numbered = linked = 0
+    links = linked = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            top = stack[-1]
-            holder = next((e.tag for e in reversed(stack) if e.tag not in INLINE), "")
-            path = tuple(e.number for e in stack if e.tag not in INLINE)
-            out.append(Block(text, holder, path, top.score, min(1.0, linked / len(text))))
+            holder = stack[outer[-1]]
+            out.append(Block(text, tree.tags[holder], holder, stack[-1], min(1.0, linked / len(text))))
         pieces.clear()
         linked = 0
 
-    def pop(count: int, named: bool = False) -> None:
-        """End elements; ``named``: the last of them by its own tag."""
-        nonlocal links, silent
-        for left in range(count, 0, -1):
-            tag, number = stack.pop()[:2]
+    def pop(to: int, named: bool = False) -> None:
+        """End the elements from a place on; ``named``: the one there by its own tag."""
+        nonlocal links
+        while len(stack) > to:
+            number, place = stack.pop(), len(stack)
+            tag = tree.tags[number]
+            places[tag].pop()
+            for kind in (outer, containers, silent, soft, hard):
+                if kind and kind[-1] == place:
+                    kind.pop()
             links -= tag == "a"
-            silent -= tag in SILENT
-            if tag in SILENT and tag != "head" and not (named and left == 1):
+            if tag in SILENT and tag != "head" and not (named and place == to):
                 without.add(number)
 
     at, end = 0, len(page)
     while at < end:
         found = _TAG.search(page, at)
         text = page[at : found.start() if found else end]
-        if silent and stack[-1].tag == "head" and text.strip():
-            pop(1)
+        if silent and tree.tags[stack[-1]] == "head" and text.strip():
+            pop(len(stack) - 1)
         if text and not silent:
             pieces.append(text)
             if links:
@@ -157,44 +233,43 @@ def _parsed(page: str, unclosed: frozenset[int]) -> tuple[list[Block], frozenset
         closing, tag, attributes = found[1], (found[2] or "").lower(), found[3]
         if not tag:
             continue
+        if page[at - 1] != ">":
+            break
         if tag not in INLINE:
             flush()
         elif tag == "br":
             pieces.append(" ")
         if closing:
-            depth = next((i for i, e in enumerate(reversed(stack[1:]), 1) if e.tag == tag), 0)
-            if depth and (tag not in INLINE or all(e.tag in INLINE for e in stack[-depth:])):
-                pop(depth, True)
+            place = (places.get(tag) or [0])[-1]
+            if place and (tag not in INLINE or outer[-1] < place):
+                pop(place, True)
             continue
         if silent and tag not in HEAD:
-            for depth, element in enumerate(reversed(stack[1:]), 1):
-                if element.tag == "head":
-                    pop(depth)
-                if element.tag in SILENT and element.number not in unclosed:
-                    break
-        if silent and unclosed and tag in BLOCKS:
-            count = 0
-            for depth, element in enumerate(reversed(stack[1:]), 1):
-                if element.tag in SILENT:
-                    if element.number not in unclosed:
-                        break
-                    count = depth
-            pop(count)
+            if tree.tags[stack[hard[-1]]] == "head":
+                pop(hard[-1])
+        if soft and tag in BLOCKS:
+            first = bisect_right(soft, hard[-1])
+            if first < len(soft):
+                pop(soft[first])
         ends = CLOSES.get(tag)
         if ends:
-            for depth, element in enumerate(reversed(stack[1:]), 1):
-                if element.tag in ends:
-                    pop(depth)
-                    break
-                if element.tag in CONTAINERS:
-                    break
+            place = max((places[t][-1] for t in ends if places.get(t)), default=0)
+            if place and place >= containers[-1]:
+                pop(place)
         if tag in VOID or attributes.endswith("/"):
             continue
-        numbered += 1
-        above = stack[-1]
-        stack.append(_Element(tag, numbered, above.score + _own_score(tag, attributes, above), above.good or tag in GOOD_TAGS))
+        number = tree.add(tag, attributes, stack[-1], stack[outer[-1]])
+        place = len(stack)
+        stack.append(number)
+        places.setdefault(tag, []).append(place)
+        if tag not in INLINE:
+            outer.append(place)
+        if tag in CONTAINERS:
+            containers.append(place)
+        if tag in SILENT:
+            silent.append(place)
+            (soft if number in unclosed else hard).append(place)
         links += tag == "a"
-        silent += tag in SILENT
         if tag in RAW:
             closed = None if tag in endless else re.compile(rf"<({'/?' if tag in SINGLE else '/'}){tag}\b", re.I).search(page, at)
             if closed is None:
@@ -204,25 +279,15 @@ def _parsed(page: str, unclosed: frozenset[int]) -> tuple[list[Block], frozenset
             elif tag in CODE:
                 at = end
     flush()
-    pop(len(stack) - 1)
-    return out, frozenset(without)
+    pop(1)
+    return out, tree, frozenset(without)
 
 
-def content_score(block: Block) -> float:
-    """The classifier's odds for content; its sign is the label of the block alone."""
+def content_score(block: Block, above: float) -> float:
+    """The classifier's odds for content; its sign is the label of the block alone. ``above``: the score of its element."""
     length = min(len(block.text), 400) / 200
     ends = 0.4 if block.text[-1] in ".!?…:;\"'»”" else -0.2
-    return block.score + BLOCK_TAGS.get(block.tag, 0.0) + length + ends + LINKED * block.linked - 1.0
-
-
-def _distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    """Steps between two elements of the tree."""
-    same = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        same += 1
-    return len(a) + len(b) - 2 * same
+    return above + BLOCK_TAGS.get(block.tag, 0.0) + length + ends + LINKED * block.linked - 1.0
 
 
 def minimum_cut(scores: list[float], ties: list[tuple[int, int, float]]) -> list[bool]:
@@ -289,19 +354,20 @@ def minimum_cut(scores: list[float], ties: list[tuple[int, int, float]]) -> list
 
 
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+    found, tree = parsed(page or "")
     if not found:
         return ""
     ties = []
     last: dict[int, int] = {}
     for i, block in enumerate(found):
-        parent = block.path[-2] if len(block.path) > 1 else -1
+        parent = tree.outer[block.holder]
         if i:
-            ties.append((i - 1, i, TIE * DECAY ** max(0, _distance(found[i - 1].path, block.path) - 2)))
+            ties.append((i - 1, i, TIE * DECAY ** max(0, tree.distance(found[i - 1].holder, block.holder) - 2)))
         if parent in last:
             ties.append((last[parent], i, SIBLING))
         last[parent] = i
-    keep = minimum_cut([content_score(b) for b in found], ties)
+    scores = tree.scores(found)
+    keep = minimum_cut([content_score(b, scores[b.element]) for b in found], ties)
     return "\n\n".join(b.text for b, good in zip(found, keep, strict=True) if good)
 
 
