@@ -58,6 +58,51 @@ def test_one_bad_record_rejects_its_file_only(spark, inbox):
     assert refused == {"f2": "invalid record", "f6": "no key", "f7": "invalid record", "f8": "invalid record"}
 
 
+@pytest.fixture
+def copies(tmp_path):
+    box = tmp_path / "copies"
+    good, bad = RECORD.format("p1", "R1", 5, 10.0, 1), RECORD.format("p2", "R1", "x", 10.0, 1)
+    put(box, "a1.xml", good)
+    put(box, "a2.xml", good)
+    put(box, "b1.xml", bad)
+    put(box, "b2.xml", bad)
+    put(box, "c1.xml", good, RECORD.format("p3", "R1", 5, 30.0, 2))
+    put(box, "c2.xml", good, good)
+    put(box, "c3.xml", good)
+    return box
+
+
+def test_files_of_one_content_count_once(spark, copies):
+    assert rows_of(xml.ingest(spark, SENSOR, str(copies)), "pkt_id", "avg_speed") == [("p1", 10.0), ("p3", 30.0)]
+    assert [r["file_path"][-6:] for r in xml.quarantine(spark, SENSOR, str(copies)).collect()] == ["b1.xml"]
+    states = xml.file_states(xml.read_records(spark, SENSOR, str(copies)), SENSOR)
+    assert sorted(r["file_path"][-6:] for r in xml.fresh_files(states).collect()) == ["a1.xml", "b1.xml", "c1.xml", "c2.xml"]
+    none = xml.read_records(spark, SENSOR, str(copies)).limit(0)
+    assert xml.file_states(none, SENSOR).collect() == []
+
+
+@pytest.mark.parametrize("per_trigger", [4, None])
+def test_files_of_one_content_count_once_live(spark, copies, tmp_path, per_trigger):
+    out = str(tmp_path / "out")
+
+    def run():
+        stages.start_cleaning(spark, SENSOR, str(copies), out, f"{out}/c1", per_trigger).awaitTermination()
+
+    run()
+    put(copies, "d1.xml", RECORD.format("p1", "R1", 5, 10.0, 1))
+    put(copies, "d2.xml", RECORD.format("p2", "R1", "x", 10.0, 1))
+    run()
+    taken = spark.read.parquet(f"{out}/payloads")
+    assert sorted(r["file_path"][-6:] for r in taken.collect()) == ["a1.xml", "b1.xml", "c1.xml", "c2.xml"]
+    refused = spark.read.parquet(f"{out}/quarantine")
+    assert [r["file_path"][-6:] for r in refused.collect()] == ["b1.xml"]
+    stages.start_parts(
+        spark, stages.read_clean(spark, SENSOR, out), "pkt_id", [SPEED], out, f"{out}/c2", keep_rows=True
+    ).awaitTermination()
+    assert rows_of(spark.read.parquet(f"{out}/rows"), "pkt_id", "avg_speed") == [("p1", 10.0), ("p3", 30.0)]
+    assert rows_of(stages.read_counts(spark, out), "ts", "n") == [(1, 1), (2, 1)]
+
+
 @pytest.mark.parametrize("per_trigger", [1, None])
 def test_live_history_equals_the_batch_history(spark, inbox, tmp_path, per_trigger):
     out = str(tmp_path / "out")

@@ -71,17 +71,34 @@ def stream_records(
     return _with_file(reader.load(path), stream)
 
 
-def split_files(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) records: one bad record rejects its whole file."""
-    bad = (
-        records.groupBy("file_path")
-        .agg(F.count(FAULT).alias("faults"))
-        .where(F.col("faults") > 0)
-        .select("file_path")
+def file_states(records: DataFrame, stream: Stream) -> DataFrame:
+    """file_path, file_time, number of faults and digest of every file with records.
+
+    The digest is made of the number of records and two sums of their hashes: it follows from the content, adds up in
+    the tasks that read parts of a file, and needs no second reading.  Bad records count with their text.
+    """
+    content = [*stream.schema.fieldNames(), CORRUPT]
+    sums = [F.sum(h.cast("decimal(20,0)")).cast("string") for h in (F.xxhash64(*content), F.xxhash64(F.lit(1), *content))]
+    return records.groupBy("file_path", "file_time").agg(
+        F.count(FAULT).alias("faults"), F.concat_ws(" ", F.count("*").cast("string"), *sums).alias("digest")
     )
-    accepted = records.join(bad, "file_path", "left_anti").drop(CORRUPT, FAULT)
-    rejected = records.join(bad, "file_path", "left_semi")
-    return accepted, rejected
+
+
+def fresh_files(states: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The first file, by time and path, of each content that is not among the digests ``known``."""
+    fresh = first_wins(states, ["digest"], ["file_time", "file_path"])
+    return fresh if known is None else fresh.join(known.select("digest"), "digest", "left_anti")
+
+
+def split_files(records: DataFrame, states: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) records: one bad record rejects its whole file, a file that is not fresh is passed over.
+
+    Files are told apart by joins with the smaller kinds of them, those that are bad or copies.
+    """
+    copies = states.join(fresh, "file_path", "left_anti").select("file_path")
+    bad = fresh.where(F.col("faults") > 0).select("file_path")
+    accepted = records.join(bad.unionByName(copies), "file_path", "left_anti").drop(CORRUPT, FAULT)
+    return accepted, records.join(bad, "file_path", "left_semi")
 
 
 def arrived_first(records: DataFrame, stream: Stream) -> DataFrame:
@@ -90,15 +107,20 @@ def arrived_first(records: DataFrame, stream: Stream) -> DataFrame:
     return first_wins(records, [stream.key], ["file_time", "file_path", *others])
 
 
+def _split(spark: SparkSession, stream: Stream, path: str) -> tuple[DataFrame, DataFrame]:
+    records = settled(read_records(spark, stream, path), "records")
+    states = settled(file_states(records, stream), "files")
+    return split_files(records, states, fresh_files(states))
+
+
 def ingest(spark: SparkSession, stream: Stream, path: str) -> DataFrame:
-    """The stream rows that a folder of record files holds."""
-    accepted, _ = split_files(settled(read_records(spark, stream, path), "records"))
-    return arrived_first(accepted, stream).select(*stream.schema.fieldNames())
+    """The stream rows that a folder of record files holds; of files of one content only the first is taken."""
+    return arrived_first(_split(spark, stream, path)[0], stream).select(*stream.schema.fieldNames())
 
 
 def quarantine(spark: SparkSession, stream: Stream, path: str) -> DataFrame:
-    """The records of rejected files, with the text of the bad ones."""
-    return split_files(settled(read_records(spark, stream, path), "records"))[1]
+    """The records of rejected files, with the text of the bad ones; of files of one content only the first is kept."""
+    return _split(spark, stream, path)[1]
 
 
 def write_records(df: DataFrame, stream: Stream, path: str, by: str | None = None) -> None:

@@ -28,8 +28,9 @@ from tidemark.plans.run import (
     parts_to_store,
     with_companions,
 )
+from tidemark.session import settled
 from tidemark.sources.schemas import Stream
-from tidemark.sources.xml import arrived_first, split_files, stream_records
+from tidemark.sources.xml import arrived_first, file_states, fresh_files, split_files, stream_records
 
 # the folder column of a stage's batches
 ARRIVAL = "b"
@@ -45,13 +46,22 @@ def start_cleaning(
 ) -> StreamingQuery:
     """Stage 1: accepted records to ``out/clean``, rejected files' records to ``out/quarantine``.
 
-    Each batch owns one folder, so a batch that is run again after a failure replaces its output.
+    A file whose content an earlier one had, in this batch or before, is passed over: it adds no row and moves no
+    clock.  ``out/payloads`` remembers a digest per file.  Each batch owns one folder in each of the three, so a batch
+    that is run again after a failure replaces its output, and only batches before it count as earlier.
     """
+    kinds = "file_path string, digest string, b long"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            accepted, rejected = split_files(batch)
+            states = settled(file_states(batch, stream), "files")
+            earlier = None
+            if batch_id:
+                earlier = spark.read.schema(kinds).parquet(f"{out}/payloads").where(F.col("b") < batch_id)
+            fresh = settled(fresh_files(states, earlier), "fresh")
+            fresh.select("file_path", "digest").write.mode("overwrite").parquet(f"{out}/payloads/b={batch_id}")
+            accepted, rejected = split_files(batch, states, fresh)
             rejected.write.mode("overwrite").parquet(f"{out}/quarantine/b={batch_id}")
             arrived_first(accepted, stream).select(*stream.schema.fieldNames()).write.mode(
                 "overwrite"

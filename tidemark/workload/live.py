@@ -52,13 +52,19 @@ def _(spark, folder):
     return xml.ingest(spark, COMMAND, _written(bindings.command_stream(spark, folder), COMMAND))
 
 
-def _daily_files(spark, folder) -> str:
-    """Sensor records, one file per day; every fifth day has records whose count is no number."""
+def _daily_files(spark, folder, times: int = 1) -> str:
+    """Sensor records, one file per day; every fifth day has records whose count is no number.
+
+    All files are written as often as ``times`` says, under other names.
+    """
     day = F.floor(F.col("ts") / 24).cast("int")
     spoiled = (day % 5 == 0) & (F.col("vehicle_count") == 7)
     rows = bindings.sensor_stream(spark, folder).withColumns(
         {"day": day, "vehicle_count": F.when(spoiled, "seven").otherwise(F.col("vehicle_count").cast("string"))}
     )
+    if times > 1:
+        rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(times))))
+        rows = rows.withColumn("day", F.concat_ws("-", "day", "copy"))
     return _written(rows, SENSOR, by="day") + "/*"
 
 
@@ -77,6 +83,19 @@ def _(spark, folder):
     )
 
 
+@keep("xml_same_payload")
+def _(spark, folder):
+    """Every file arrives twice; what is taken and what is refused count once."""
+    files = _daily_files(spark, folder, times=2)
+    rejected = xml.quarantine(spark, SENSOR, files).agg(
+        F.count_distinct("file_path").alias("refused_files"),
+        F.count("*").alias("refused_records"),
+        F.count(xml.FAULT).alias("bad_records"),
+    )
+    taken = xml.ingest(spark, SENSOR, files).agg(F.count("*").alias("taken_records"), F.max("ts").alias("newest_tick"))
+    return taken.select(F.lit(1).alias("one"), "*").join(rejected.select(F.lit(1).alias("one"), "*"), "one").drop("one")
+
+
 @keep("xml_query")
 def _(spark, folder):
     rows = xml.ingest(spark, EVENT, _written(bindings.event_stream(spark, folder), EVENT))

@@ -511,6 +511,11 @@ _sql("xml_quarantine", SENSOR, SPOILED, select="""
 SELECT count(DISTINCT ts // 24) AS files, count(*) AS records,
   count(CASE WHEN vehicle_count = 7 THEN 1 END) AS bad_records
 FROM sensor WHERE ts // 24 IN (SELECT day FROM spoiled)""")
+_sql("xml_same_payload", SENSOR, SPOILED, select="""
+SELECT count(*) FILTER (k = 0) AS taken_records, max(ts) FILTER (k = 0) AS newest_tick,
+  count(DISTINCT ts // 24) FILTER (k = 1) AS refused_files, count(*) FILTER (k = 1) AS refused_records,
+  count(*) FILTER (k = 1 AND vehicle_count = 7) AS bad_records
+FROM (SELECT ts, vehicle_count, CAST(ts // 24 IN (SELECT day FROM spoiled) AS INTEGER) AS k FROM sensor)""")
 _sql("xml_query", EVENT, "ticks AS (SELECT DISTINCT ts FROM event)",
      "p AS (SELECT ts, intersection_id, event_type, count(*) AS c FROM event GROUP BY ALL)",
      """grid AS (SELECT t.ts, f.* EXCLUDE (since) FROM ticks t JOIN
