@@ -83,6 +83,11 @@ def test_language_of_hard_rows(spark, hard, nothing):
     assert {r["lang_pred"] for r in language_id.identify(hard, empty).collect()} == {"und"}
 
 
+def test_numbers_are_no_letters():
+    assert language_id.letters("½ ② ² Ⅷ 12 _") == [] and language_id.letters("½ ² 漢 x") == ["½", "²", "漢", "x"]
+    assert language_id.letters(None) == language_id.letters("") == []
+
+
 def test_copies_do_not_thin_the_training_sample(spark):
     few = [(f"{word} number{'abcdefghij'[i]} {word}", lang) for lang, word in (("x", "alpha"), ("y", "omega")) for i in range(10)]
     docs = spark.createDataFrame(few * 500, "text string, lang string")

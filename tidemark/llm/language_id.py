@@ -222,7 +222,8 @@ def train(
 
 
 def letters(text: str | None) -> list[str]:
-    return _LETTERS.findall(text.lower()) if isinstance(text, str) else []
+    """The words of a text; none, if all they hold are numbers such as fractions and Roman numerals."""
+    return _LETTERS.findall(text.lower()) if isinstance(text, str) and any(map(str.isalpha, text)) else []
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
