@@ -37,6 +37,8 @@ PIECE_BYTES, STRETCH = 16, 48
 #: Probabilities below this are scaled, so that no stretch underflows.
 TINY = 1e-100
 REMEMBERED = 300_000
+#: Stretches that are worked on together; they bound the memory of training and scoring.
+TOGETHER = 2000
 UNDETERMINED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -141,12 +143,12 @@ def word_scores(words: list[str], model: Model) -> np.ndarray:
         return out
     parts, owner = _stretches(words)
     p = np.exp(model.log_p)
-    for at in range(0, len(parts), 20_000):
-        some = parts[at : at + 20_000]
+    for at in range(0, len(parts), TOGETHER):
+        some = parts[at : at + TOGETHER]
         lengths, edges = _lattice(some, model.keys)
         alpha, level, _ = _forward(lengths, edges, p)
         ends = np.arange(len(some)), lengths
-        np.add.at(out, owner[at : at + 20_000], np.log(alpha[ends]) + level[ends])
+        np.add.at(out, owner[at : at + TOGETHER], np.log(alpha[ends]) + level[ends])
     return out
 
 
@@ -160,8 +162,8 @@ def fit(counts: pd.DataFrame, keys: np.ndarray, rounds: int = ROUNDS, smoothing:
     p = np.full((len(keys), len(languages)), 1 / len(keys))
     for _ in range(rounds):
         used = np.full(p.shape, smoothing)
-        for at in range(0, len(parts), 20_000):
-            some, share = parts[at : at + 20_000], weight[owner[at : at + 20_000]]
+        for at in range(0, len(parts), TOGETHER):
+            some, share = parts[at : at + TOGETHER], weight[owner[at : at + TOGETHER]]
             lengths, edges = _lattice(some, keys)
             alpha, level, lifted = _forward(lengths, edges, p)
             beta, below = np.zeros(alpha.shape), np.zeros(alpha.shape)
