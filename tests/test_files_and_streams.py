@@ -13,7 +13,7 @@ from tidemark import Aggregation, ConfigError, Filter, QueryConfig, WindowSpec,
 from tidemark.config import CURRENT_TICK
 from tidemark.plans.seeds import METRICS, SEEDS
 from tidemark.sources import history, xml
-from tidemark.sources.schemas import SENSOR
+from tidemark.sources.schemas import SENSOR, SUMMARY
 from tidemark.streaming import live, stages
 
 RECORD = (
@@ -212,6 +212,38 @@ def test_summary_versions_follow_the_stream(spark, sensor, tmp_path):
     assert rows_of(history.read_summary(spark, f"{path}-compact"), *want.columns) == rows_of(want, *want.columns)
 
 
+def test_many_summary_versions_stay_few_runs(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "RUNS_PER_LEVEL", 3)
+    path, newest = str(tmp_path / "summary"), {}
+
+    def write(version, *changes):
+        rows = [("s", "m", "a", key, value, None, tick) for key, value, tick in changes]
+        history.write_summary(spark.createDataFrame(rows, SUMMARY), path, version)
+
+    def stored():
+        return {r["dimensions"]: (r["value"], r["last_updated_tick"]) for r in history.read_summary(spark, path).collect()}
+
+    for version in range(10):
+        changes = [(f"k{version % 4}", float(version), version), ("hot", float(version), 5), ("old", float(version), -version)]
+        write(version, *changes)
+        newest |= {f"k{version % 4}": (float(version), version), "hot": (float(version), 5), "old": (0.0, 0)}
+        assert stored() == newest
+        # in base 3, the digits of the number of versions
+        n, digits = version + 1, 0
+        while n:
+            n, digits = n // 3, digits + n % 3
+        assert len(history.summary_runs(spark, path)) == digits
+    write(9)  # the newest version again, now without rows
+    assert stored() == newest | {"k1": (5.0, 5), "hot": (8.0, 5)}
+    write(9, ("hot", 1.0, 6))
+    assert stored() == newest | {"k1": (5.0, 5), "hot": (1.0, 6)}
+    write(20)
+    with pytest.raises(ValueError):
+        write(3)
+    with pytest.raises(ValueError):
+        history.read_summary(spark, f"{path}-none")
+
+
 @pytest.mark.parametrize("window", [WindowSpec(), WindowSpec("Sliding", 3, "seconds")])
 @pytest.mark.parametrize("operator", [None, "<"])
 def test_live_windows_over_parts_equal_the_batch(spark, sensor, tmp_path, window, operator):

@@ -6,7 +6,8 @@ import json
 import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType, LongType, NumericType, StringType, StructField, StructType
 
@@ -134,21 +135,92 @@ def parsed_history(history: DataFrame) -> DataFrame:
     return history.select("id", "query_id", TICK, object_list(F.col("result")).alias("result")).orderBy(TICK, "id")
 
 
+#: So many runs of one level of a summary are merged into one of the next level.
+RUNS_PER_LEVEL = 8
+#: Lists of runs that a summary keeps; the oldest makes room for the next one.
+RUN_LISTS = 4
+_LIST = "version long, runs array<struct<folder: string, level: int>>, slot int"
+_RUN = StructType([*SUMMARY.fields, StructField("v", LongType())])
+
+
 def write_summary(changed: DataFrame, path: str, version: int) -> None:
-    """Write the summary rows that a batch changed as their own version; a retry replaces the same version."""
-    changed.write.mode("overwrite").parquet(f"{path}/v={version}")
+    """Write the summary rows that a batch changed as a run of their own, and merge runs that have become many.
+
+    ``RUNS_PER_LEVEL`` runs of one level become one of the next, so a summary of n versions has at most
+    ``RUNS_PER_LEVEL - 1`` runs for each of its log n levels, and a row is written again once per level.  Versions
+    ascend.  The list of runs is written last; the newest version may be written again and then replaces itself, since
+    it goes on from the list of the version before.  Runs that no list names any more are left behind.
+    """
+    spark = changed.sparkSession
+    lists = _run_lists(spark, path)
+    if lists and lists[0]["version"] > version:
+        raise ValueError(f"version {version} comes after version {lists[0]['version']}, which is stored already")
+    before = next((entry["runs"] for entry in lists if entry["version"] < version), [])
+    runs = [(r["folder"], r["level"]) for r in before]
+    runs.append((_write_run(changed.withColumn("v", F.lit(version).cast("long")), path), 0))
+    merged, level = _runs_to_merge([level for _, level in runs])
+    if merged:
+        newest = _newest_rows(_read_runs(spark, path, [folder for folder, _ in runs[-merged:]]))
+        runs[-merged:] = [(_write_run(newest, path), level)]
+    again = [entry["slot"] for entry in lists if entry["version"] == version]
+    free = sorted(set(range(RUN_LISTS)) - {entry["slot"] for entry in lists})
+    slot = (again or free or [lists[-1]["slot"]])[0]
+    entry = spark.createDataFrame([(version, runs, slot)], _LIST).drop("slot")
+    entry.coalesce(1).write.mode("overwrite").parquet(f"{path}/lists/slot={slot}")
+
+
+def _run_lists(spark: SparkSession, path: str) -> list[Row]:
+    """The kept lists of runs, the newest first; none, if the summary was never written."""
+    try:
+        # a list that a writer replaces meanwhile is an old one
+        return spark.read.schema(_LIST).option("ignoreMissingFiles", True).parquet(f"{path}/lists").orderBy(F.desc("version")).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def _runs_to_merge(levels: list[int]) -> tuple[int, int]:
+    """How many of the last runs are due for merging, and the level of the run they become."""
+    merged, level = 0, 0
+    while levels.count(level) + (merged > 0) >= RUNS_PER_LEVEL:
+        merged, level = merged + levels.count(level), level + 1
+    return merged, level
+
+
+def _write_run(rows: DataFrame, path: str) -> str:
+    folder = f"r-{uuid.uuid4().hex}"
+    rows.select(*_RUN.fieldNames()).write.parquet(f"{path}/runs/{folder}")
+    return folder
+
+
+def _read_runs(spark: SparkSession, path: str, folders: list[str]) -> DataFrame:
+    return spark.read.schema(_RUN).parquet(*(f"{path}/runs/{folder}" for folder in folders))
+
+
+def _newest_rows(rows: DataFrame) -> DataFrame:
+    """The newest row of every summary key; at the same tick the later version wins."""
+    kept = [c for c in _RUN.fieldNames() if c not in SUMMARY_KEY]
+    newest = F.max_by(F.struct(*kept), F.struct("last_updated_tick", "v")).alias("__row")
+    return rows.groupBy(*SUMMARY_KEY).agg(newest).select(*SUMMARY_KEY, "__row.*")
+
+
+def summary_runs(spark: SparkSession, path: str) -> list[str]:
+    """The folders that hold a summary now; a summary never written is an error."""
+    lists = _run_lists(spark, path)
+    if not lists:
+        raise ValueError(f"no summary was written to {path}")
+    return [r["folder"] for r in lists[0]["runs"]]
 
 
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """The newest row of every summary key over all versions; at the same tick the later version wins."""
-    versions = spark.read.schema(StructType([*SUMMARY.fields, StructField("v", LongType())])).parquet(path)
-    kept = [c for c in SUMMARY.fieldNames() if c not in SUMMARY_KEY]
-    newest = F.max_by(F.struct(*kept), F.struct("last_updated_tick", "v")).alias("__row")
-    return versions.groupBy(*SUMMARY_KEY).agg(newest).select(*SUMMARY_KEY, "__row.*").select(*SUMMARY.fieldNames())
+    rows = _newest_rows(_read_runs(spark, path, summary_runs(spark, path)))
+    return rows.select(*SUMMARY.fieldNames())
 
 
 def compact_summary(spark: SparkSession, path: str, target: str) -> None:
-    """Write all versions as one, in a new folder to go on from; to be run when versions have become many."""
+    """Write all versions as one, in a new folder to go on from, which then holds nothing that was left behind."""
     write_summary(read_summary(spark, path), target, 0)
 
 

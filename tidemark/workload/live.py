@@ -243,6 +243,19 @@ def _(spark, folder):
     return history.read_summary(spark, f"{out}/summary")
 
 
+@keep("stream_summary_runs")
+def _(spark, folder):
+    """The summary after ten batches, most of which were merged into one run."""
+    out = scratch_path(spark, "live")
+    events = bindings.table(spark, folder, "events")
+    events.repartition(10).write.parquet(f"{out}/inbox")
+    arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/inbox")
+    live.start_summary(
+        spark, bindings.event_rows(arriving), METRICS["EVENT-METRICS"], f"{out}/summary", f"{out}/checkpoint"
+    ).awaitTermination()
+    return history.read_summary(spark, f"{out}/summary")
+
+
 @keep("stored_window")
 def _(spark, folder):
     """The stream stored in folders of ticks; a time window reads only the newest of them."""

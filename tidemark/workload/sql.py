@@ -536,7 +536,7 @@ ORACLES["stream_snapshot"] = ORACLES["snap_is_speed"]
 _sql("stream_windows", COMMAND, select="""
 SELECT CAST(ts // 30 * 30 AS BIGINT) AS window_start, action, count(*) AS c_cmd, max(duration) AS x_dur
 FROM command GROUP BY 1, action""")
-ORACLES["stream_summary"] = ORACLES["invalidate_summary"]
+ORACLES["stream_summary"] = ORACLES["stream_summary_runs"] = ORACLES["invalidate_summary"]
 _sql("stored_window", SENSOR, select=f"""
 SELECT {SENSOR_ALL} FROM sensor WHERE ts >= (SELECT max(ts) FROM sensor) - 20""")
 _sql("stored_history", SENSOR, select="""
