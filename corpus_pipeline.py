@@ -26,22 +26,32 @@ LEAST_SCORE = 0.5
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, behind as many underscores as it takes to differ from the columns of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def _renewed(docs: DataFrame, found: DataFrame, cut, ranges: str) -> DataFrame:
     """``docs`` with texts cut where ``found`` (one row for each id and text) has ranges of words; lengths follow."""
-    keyed = docs.withColumn("__hash", F.xxhash64("text"))
+    own, cuts = _free(docs, "own_hash"), _free(docs, "cuts")
+    keyed = docs.withColumn(own, F.xxhash64("text"))
     found = found.select("doc_id", "text_hash", ranges)
-    same = keyed["doc_id"].eqNullSafe(found["doc_id"]) & (keyed["__hash"] == found["text_hash"])
-    joined = keyed.join(found, same, "left").select(*(keyed[c] for c in docs.columns), found[ranges].alias("__ranges"))
-    cutting = joined.withColumn("text", F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(cut("text", "__ranges")))
-    length = F.when(F.col("__ranges").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
+    same = keyed["doc_id"].eqNullSafe(found["doc_id"]) & (keyed[own] == found["text_hash"])
+    joined = keyed.join(found, same, "left").select(*(keyed[c] for c in docs.columns), found[ranges].alias(cuts))
+    cutting = joined.withColumn("text", F.when(F.col(cuts).isNull(), F.col("text")).otherwise(cut("text", cuts)))
+    length = F.when(F.col(cuts).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long"))
     return cutting.withColumn("n_chars", length).select(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language: those without letters, or without a clear winner, go."""
     model = language_id.train(docs, tokenizer_path("piece_bpe_32k.model"))
-    found = docs.withColumn("__found", language_id.predictor(model)("text"))
-    sure = (F.col("__found.lang_pred") != language_id.UNDETERMINED) & (F.col("__found.score") >= LEAST_SCORE)
+    name = _free(docs, "found_language")
+    found = docs.withColumn(name, language_id.predictor(model)("text"))
+    sure = (F.col(f"{name}.lang_pred") != language_id.UNDETERMINED) & (F.col(f"{name}.score") >= LEAST_SCORE)
     return found.where(sure).select(*docs.columns)
 
 
