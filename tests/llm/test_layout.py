@@ -10,6 +10,7 @@ from cases import FOLDER, HARD, documents, duck, hard, nothing, rows_of, same  #
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import html_extraction, packing, resharding, substring_dedup, url_filters, workload
@@ -257,8 +258,16 @@ def test_cut_is_the_least():
         assert abs(cost(html_extraction.minimum_cut(scores, ties)) - best) < 1e-9
 
 
+#: Names of columns that stages or operators use themselves.
+CLASHING = (
+    "own_hash _own_hash cuts found_language marks spans text_hash lang_pred score component_id n_shingles region units "
+    "hashes n node __hash __found __ranges __language"
+).split()
+
+
 def test_stages_keep_the_columns_and_clean_documents(spark, documents, tokenizer):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    docs = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in CLASHING})
     columns, kept = docs.columns, dict(documents)
     items = spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -266,6 +275,7 @@ def test_stages_keep_the_columns_and_clean_documents(spark, documents, tokenizer
         docs = corpus_pipeline.settled(stage(spark, docs, FOLDER), name)
         after = {r["doc_id"]: r["text"] for r in docs.collect()}
         assert docs.columns == columns and all(len(r["text"]) == r["n_chars"] for r in docs.collect())
+        assert all(r[c] == f"{c}{r['doc_id']}" for r in docs.collect() for c in CLASHING)
         if name == "language":
             wanted = before
         elif name == "near_duplicates":
