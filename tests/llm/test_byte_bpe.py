@@ -116,3 +116,33 @@ def test_words_come_back_from_the_older_half(library, monkeypatch):
     texts = [" ".join(f"word{i % k}" for i in range(30)) for k in (2, 3, 5, 11)] * 3
     check(small, library, texts)
     assert len(small.remembered) <= 3 + 11
+
+
+def test_a_decoder_leaves_no_vocabulary_without_classes(library, monkeypatch):
+    monkeypatch.setattr(byte_bpe.Vocabulary, "known", {})
+    byte_bpe.Vocabulary.of(PATH, [])  # the same worker process decodes first
+    check(byte_bpe.Vocabulary.of(PATH, byte_bpe.class_ranges()), library, ["two words, 12 signs"])
+
+
+def test_merging_looks_up_two_pairs_per_merge(vocabulary, monkeypatch):
+    asked, joined = [], byte_bpe.Vocabulary._joined
+    monkeypatch.setattr(byte_bpe.Vocabulary, "_joined", lambda self, a, b: asked.append(np.size(a)) or joined(self, a, b))
+    words = [b" queasmit", b"abcdefghijklmnop", b"x", "漢字漢字".encode()] * 50
+    ids = vocabulary._merged(words)
+    merges = sum(len(word) - len(found) // 4 for word, found in zip(words, ids, strict=True))
+    assert 0 < sum(asked) <= 2 * merges
+
+
+def test_entry_states_that_a_tail_leaves_open(vocabulary, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "STRETCH", 64)
+    for tail in (1, 2, 64):
+        monkeypatch.setattr(byte_bpe, "TAIL", tail)
+        check(vocabulary, library, ["'s" * 500, "a'll" * 300, " " * 400 + "x", "\n'" * 200, "x'" + "'t" * 333])
+
+
+def test_bytes_of_many_ids(vocabulary, monkeypatch):
+    ids = np.random.default_rng(3).integers(0, len(vocabulary.tokens), 5000)
+    want = b"".join(vocabulary.tokens[i] for i in ids.tolist())
+    for at_once in (7, 1 << 20):
+        monkeypatch.setattr(byte_bpe, "AT_ONCE", at_once)
+        assert vocabulary.decoded(ids) == want and vocabulary.decoded(ids[:0]) == b""

@@ -2,8 +2,8 @@
 
 Texts are cut into words without a regular expression: code points become classes, what the pattern must look ahead for
 is folded into them by shifted arrays, and a small automaton reads the classes.  Its transitions are functions from
-state to state that compose associatively, so all stretches of a block are read at once for every entry state, the
-stretches are chained by a prefix scan, and one more pass marks where words begin.  Words are merged by rank, lowest and
+state to state that compose associatively, so the ends of all stretches of a block are read at once for every entry state;
+where that leaves a state open, whole stretches are read and chained by a prefix scan.  One more pass marks where words begin.  Words are merged by rank, lowest and
 leftmost first; short ones are kept in a table of each worker process.
 
 Memory: a block of text, the vocabulary, a bounded table, and the ids of one slice of rows (a longer text is a slice of
@@ -29,6 +29,8 @@ from tidemark.llm.words import slices
 
 #: Bytes of a block, code points of a stretch, bytes of a word that is remembered, and remembered words per process.
 BLOCK, STRETCH, SHORT, REMEMBERED = 1 << 20, 512, 48, 1 << 18
+#: Code points before a stretch that mostly tell its entry state, and ids that are turned into bytes at once.
+TAIL, AT_ONCE = 8, 1 << 20
 #: Words that merge side by side, and what is no rank.
 TOGETHER, NEVER = 1 << 13, 1 << 40
 
@@ -72,6 +74,9 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 FOLLOWING, BEGINS = _tables()
+#: By the first byte of a code point: its bytes, and the bits that byte adds.
+WIDTH = np.array([1] * 0xC0 + [2] * 0x20 + [3] * 0x10 + [4] * 0x10, np.uint8)
+FIRST_BITS = np.array([b if WIDTH[b] == 1 else b & (0x7F >> int(WIDTH[b])) for b in range(256)], np.int32)
 
 
 def class_ranges() -> list[tuple[int, int, int]]:
@@ -93,13 +98,11 @@ def class_ranges() -> list[tuple[int, int, int]]:
 def _points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code points of UTF-8 bytes, and the byte each begins at."""
     at = np.flatnonzero((data & 0xC0) != 0x80)
-    lead = data[at].astype(np.int32)
-    if len(at) == len(data):
-        return lead, at
-    size = np.diff(np.r_[at, len(data)])
-    point = np.where(size == 1, lead, lead & (0x7F >> size))
+    lead = data[at]
+    point = FIRST_BITS[lead]
+    more, size = np.flatnonzero(lead >= 0xC0), WIDTH[lead]
     for k in (1, 2, 3):
-        more = np.flatnonzero(size > k)
+        more = more[size[more] > k]
         point[more] = (point[more] << 6) | (data[at[more] + k] & 0x3F)
     return point, at
 
@@ -136,11 +139,17 @@ def _scanned(kinds: np.ndarray, state: int) -> tuple[np.ndarray, int]:
     step = FOLLOWING.ravel()
     entry = np.full(rows, state, np.intp)
     if rows > 1:
-        maps = np.tile(np.arange(STATES, dtype=np.uint8), (rows, 1))  # of each stretch: entry state to exit state
-        for column in grid:
-            maps = step[column[:, None] + maps]
+        tail = 0
+        while tail < STRETCH:  # the last code points mostly lead every state to the same one
+            tail = min(4 * tail or TAIL, STRETCH)
+            maps = np.tile(np.arange(STATES, dtype=np.uint8), (rows, 1))  # of each stretch: entry state to exit state
+            for column in grid[-tail:]:
+                maps = step[column[:, None] + maps]
+            certain = (maps[:-1] == maps[:-1, :1]).all()
+            if certain:
+                break
         reach = 1
-        while reach < rows:  # prefix scan: each map after all those before it
+        while reach < rows and not certain:  # prefix scan: each map after all those before it
             joined = maps.copy()
             joined[reach:] = np.take_along_axis(maps[reach:], maps[:-reach].astype(np.intp), axis=1)
             maps, reach = joined, 2 * reach
@@ -182,7 +191,7 @@ def word_starts(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> np.
 class Vocabulary:
     """Ranks of a file in tiktoken's form, and the classes of code points; one per path and worker process."""
 
-    known: dict[str, Vocabulary] = {}
+    known: dict[tuple[str, bool], Vocabulary] = {}
 
     def __init__(self, path: str, ranges: list[tuple[int, int, int]]) -> None:
         with open(path, "rb") as lines:
@@ -195,16 +204,22 @@ class Vocabulary:
         self.size = np.zeros(max(self.tokens, default=0) + 1, np.int64)
         for rank, token in self.tokens.items():
             self.size[rank] = len(token)
+        self.bytes = np.frombuffer(b"".join(self.tokens[rank] for rank in sorted(self.tokens)), np.uint8)
+        self.begin = np.cumsum(self.size) - self.size
         self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         self.remembered: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.pair_keys, self.pair_ids = self._pairs()
+        if ranges:
+            self.pair_keys, self.pair_ids = self._pairs()
+            self.pair_of_bytes = self._joined(*np.broadcast_arrays(self.single[:, None], self.single))
 
     @classmethod
     def of(cls, path: str, ranges: list[tuple[int, int, int]]) -> Vocabulary:
-        if path not in cls.known:
-            cls.known[path] = cls(path, ranges)
-        return cls.known[path]
+        """One with ranges encodes; without any, it only turns ids into bytes."""
+        kind = path, bool(ranges)
+        if kind not in cls.known:
+            cls.known[kind] = cls(path, ranges)
+        return cls.known[kind]
 
     def _pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Every pair of tokens that is a token, as sorted keys, and that token's id."""
@@ -225,22 +240,22 @@ class Vocabulary:
 
     def ids(self, words: list[bytes]) -> list[bytes]:
         """The ids of each of several different words, as little-endian 32-bit numbers."""
-        known, older = self.remembered, self.older
-        found, new = [known.get(word) for word in words], []
-        for i, word in enumerate(words):
-            if found[i] is None:
-                ids = older.get(word)
-                if ids is None and word in self.ranks:
-                    ids = self.ranks[word].to_bytes(4, "little")
-                elif ids is None and len(word) > SHORT:
-                    ids = np.array(self._merged_long(word), "<u4").tobytes()
-                if ids is None:
-                    new.append(i)
-                else:
-                    found[i] = ids
-                    if len(word) <= SHORT:
-                        known[word] = ids
-        new.sort(key=lambda i: len(words[i]))
+        known, older, ranks = self.remembered, self.older, self.ranks
+        found, new = [*map(known.get, words)], []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            word = words[i]
+            ids = older.get(word)
+            if ids is None and word in ranks:
+                ids = ranks[word].to_bytes(4, "little")
+            elif ids is None and len(word) > SHORT:
+                ids = np.array(self._merged_long(word), "<u4").tobytes()
+            if ids is None:
+                new.append(i)
+            else:
+                found[i] = ids
+                if len(word) <= SHORT:
+                    known[word] = ids
+        new.sort(key=[*map(len, words)].__getitem__)
         for at in range(0, len(new), TOGETHER):
             part = new[at : at + TOGETHER]
             for i, ids in zip(part, self._merged([words[i] for i in part]), strict=True):
@@ -254,23 +269,30 @@ class Vocabulary:
         size = np.array([len(word) for word in words])
         width = int(size.max())
         inside = np.arange(width) < size[:, None]
+        single = np.frombuffer(b"".join(words), np.uint8)
         parts = np.full(inside.shape, -1, np.int64)
-        parts[inside] = self.single[np.frombuffer(b"".join(words), np.uint8)]
-        done, rows, columns = parts.copy(), np.arange(len(words)), np.arange(width)
-        pairs = np.full(parts.shape, NEVER)  # what a part makes with the next one
-        pairs[:, :-1] = self._joined(parts[:, :-1], parts[:, 1:])
+        parts[inside] = self.single[single]
+        done, rows = np.full(inside.shape, -1, np.int64), np.arange(len(words))
+        pairs = np.full(inside.shape, NEVER)  # what a part makes with the next one
+        pairs[inside] = self.pair_of_bytes[single, np.append(single[1:], 0)]
+        pairs[rows, size - 1] = NEVER
         while len(rows):
             at = pairs.argmin(axis=1)
-            least = np.take_along_axis(pairs, at[:, None], axis=1)[:, 0]
+            least = pairs[np.arange(len(rows)), at]
             merges = least < NEVER
-            done[rows[~merges]] = parts[~merges]
-            rows, at, least = rows[merges], at[merges], least[merges]
-            each, moved = np.arange(len(rows)), np.minimum(columns + (columns > at[:, None]), width - 1)
-            parts = np.take_along_axis(parts[merges], moved, axis=1)
-            pairs = np.take_along_axis(pairs[merges], moved, axis=1)
-            parts[:, -1], pairs[:, -1] = -1, NEVER
+            if not merges.all():
+                done[rows[~merges], :width] = parts[~merges]
+                rows, at, least, parts, pairs = rows[merges], at[merges], least[merges], parts[merges], pairs[merges]
+            if not len(rows):
+                break
+            # every word that is left loses a part, so that the last column goes
+            each, width = np.arange(len(rows)), width - 1
+            stays = np.ones(parts.shape, bool)
+            stays[each, at + 1] = False
+            parts, pairs = parts[stays].reshape(-1, width), pairs[stays].reshape(-1, width)
             parts[each, at] = least
-            pairs[each, at] = self._joined(least, parts[each, np.minimum(at + 1, width - 1)])
+            after = np.where(at + 1 < width, parts[each, np.minimum(at + 1, width - 1)], -1)
+            pairs[each, at] = self._joined(least, after)
             left = np.flatnonzero(at)
             pairs[left, at[left] - 1] = self._joined(parts[left, at[left] - 1], least[left])
         kept = done >= 0
@@ -310,7 +332,9 @@ class Vocabulary:
         cuts = np.r_[word_starts(data, offsets, self.table), len(data)].astype(np.int64)
         buffers = [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))]
         words = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, buffers).dictionary_encode()
-        once = self.ids(words.dictionary.to_pylist())
+        _, bounds, text = words.dictionary.buffers()
+        bounds, text = np.frombuffer(bounds, np.int64)[: len(words.dictionary) + 1].tolist(), text.to_pybytes() if text else b""
+        once = self.ids([text[a:b] for a, b in zip(bounds, bounds[1:])])
         size, at = np.array([len(ids) // 4 for ids in once], np.int64), words.indices.to_numpy()
         first = (np.cumsum(size) - size)[at]
         size = size[at]
@@ -323,8 +347,13 @@ class Vocabulary:
         return found.astype(np.int32), place - offsets[row], bounds
 
     def decoded(self, ids: np.ndarray) -> bytes:
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in ids.tolist()])
+        found = []
+        for first in range(0, len(ids), AT_ONCE):
+            part = ids[first : first + AT_ONCE]
+            size = self.size[part]
+            ends = np.cumsum(size)
+            found.append(self.bytes[np.repeat(self.begin[part] - ends + size, size) + np.arange(ends[-1])].tobytes())
+        return b"".join(found)
 
 
 def encoded(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
