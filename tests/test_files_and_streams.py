@@ -306,3 +306,16 @@ def test_parts_refuse_what_needs_rows(sensor):
     config = QueryConfig("W", "s", (Aggregation("c", "count"),), (), (Filter("vehicle_count", "<", CURRENT_TICK),))
     with pytest.raises(ConfigError):
         stages.parts_to_store(sensor(("A", 1, 1.0)), config)
+
+
+def test_record_files_are_bounded_unless_a_column_deals_them_out(spark, sensor, tmp_path, monkeypatch):
+    monkeypatch.setattr(xml, "RECORDS_PER_FILE", 10)
+    rows = sensor(*(("A", t % 2, float(t)) for t in range(35))).coalesce(1)
+    for by, sizes in ((None, [5, 10, 10, 10]), ("day", [17, 18])):
+        path = str(tmp_path / f"by-{by}")
+        xml.write_records(rows.withColumn("day", F.col("ts")), SENSOR, path, by)
+        found = path + "/*" if by else path
+        counts = xml.read_records(spark, SENSOR, found).groupBy("file_path").count()
+        assert sorted(r["count"] for r in counts.collect()) == sizes
+        columns = SENSOR.schema.fieldNames()
+        assert rows_of(xml.ingest(spark, SENSOR, found), *columns) == rows_of(rows, *columns)

@@ -16,6 +16,8 @@ from tidemark.sources.schemas import Stream
 CORRUPT = "_corrupt"
 FAULT = "_fault"
 XSD_FOLDER = Path(__file__).parent / "xsd"
+#: Records of a written file.  One task reads a record file from end to end, so files must not grow with the stream.
+RECORDS_PER_FILE = 100_000
 
 
 def _options(spark: SparkSession, stream: Stream) -> dict[str, str]:
@@ -124,9 +126,12 @@ def quarantine(spark: SparkSession, stream: Stream, path: str) -> DataFrame:
 
 
 def write_records(df: DataFrame, stream: Stream, path: str, by: str | None = None) -> None:
-    """Write stream rows as record files; ``by`` names a column that gets one folder per value."""
+    """Write stream rows as record files of bounded size.
+
+    ``by`` names a column that gets one folder per value, and a file per task and value: such a file is refused as a
+    whole, and is never cut.
+    """
     columns = stream.schema.fieldNames() + ([by] if by else [])
     writer = df.select(*columns).write.format("xml").options(rowTag=stream.row_tag, rootTag=stream.root_tag)
-    if by:
-        writer = writer.partitionBy(by)
+    writer = writer.partitionBy(by) if by else writer.option("maxRecordsPerFile", RECORDS_PER_FILE)
     writer.save(path)

@@ -28,7 +28,7 @@ def keep(name: str):
 
 
 def _written(rows: DataFrame, stream: Stream, by: str | None = None) -> str:
-    """Write the rows as record files: one per core, or one per value of ``by``."""
+    """Write the rows as record files: one or more of bounded size per core, or one per value of ``by``."""
     spark = rows.sparkSession
     path = scratch_path(spark, "records")
     rows = rows.repartition(by) if by else rows.repartition(spark.sparkContext.defaultParallelism)
