@@ -15,6 +15,7 @@ from tidemark.plans.seeds import METRICS, SEEDS
 from tidemark.sources import history, xml
 from tidemark.sources.schemas import SENSOR, SUMMARY
 from tidemark.streaming import live, stages
+from tidemark.workload import live as workload
 
 RECORD = (
     "<sensor_event><pkt_id>{}</pkt_id><intersection_id>I101</intersection_id><road_id>{}</road_id>"
@@ -319,3 +320,35 @@ def test_record_files_are_bounded_unless_a_column_deals_them_out(spark, sensor,
         assert sorted(r["count"] for r in counts.collect()) == sizes
         columns = SENSOR.schema.fieldNames()
         assert rows_of(xml.ingest(spark, SENSOR, found), *columns) == rows_of(rows, *columns)
+
+
+def test_a_batch_of_the_event_files_has_a_file_per_core(spark, tmp_path):
+    events = spark.range(500).selectExpr("id AS event_id", "id % 7 AS user_id")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    sizes = []
+
+    def store(batch, batch_id):
+        found = batch.select(F.input_file_name().alias("file"), "event_id").collect()
+        sizes.append((len({r["file"] for r in found}), len(found)))
+
+    rows = workload._events_in_files(spark, str(tmp_path))
+    rows.writeStream.foreachBatch(store).option("checkpointLocation", str(tmp_path / "c")).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    assert [files for files, _ in sizes] == [spark.sparkContext.defaultParallelism] * 3
+    again = events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0).count()
+    assert sum(n for _, n in sizes) == 500 + again
+
+
+def test_the_first_row_of_a_key_is_kept_once(spark):
+    rows = spark.createDataFrame(
+        [(2, "p", "x", 1.0), (1, "p", "z", None), (1, "p", "y", 3.0), (1, "q", None, 4.0), (1, "q", "a", 0.0), (5, None, "n", 1.0)],
+        "b long, k string, name string, v double",
+    )
+    found = stages.first_seen(rows, "k", ["b", "name", "v"])
+    assert found.schema == rows.schema
+    assert rows_of(found, *rows.columns) == sorted([(1, "p", "y", 3.0), (1, "q", None, 4.0), (5, None, "n", 1.0)], key=str)
+    by_name = stages.first_seen(rows, "k", ["name"])
+    assert rows_of(by_name, "k", "name") == sorted([("p", "x"), ("q", None), (None, "n")], key=str)
+    # the state holds one copy of the row, not a row and what orders it
+    assert "min_by" not in found._jdf.queryExecution().optimizedPlan().toString()

@@ -79,17 +79,18 @@ def first_seen(rows: DataFrame, key: str, arrival: Sequence[str]) -> DataFrame:
     ``current_timestamp`` is one value per micro-batch and is kept across retries.  A key all of
     whose rows carry the same value is new in this batch; its first row along ``arrival`` wins.
     """
-    row = F.struct(*rows.columns)
+    # the least row itself is kept, as ordering and row in one
+    rest = [*arrival, *(c for c in rows.columns if c not in (key, *arrival))]
     return (
         rows.withColumn("__seen", F.current_timestamp())
         .groupBy(F.col(key).alias("__key"))
         .agg(
-            F.min_by(row, F.struct(*arrival)).alias("__row"),
+            F.min(F.struct(*rest)).alias("__row"),
             F.min("__seen").alias("__since"),
             F.max("__seen").alias("__now"),
         )
         .where(F.col("__since") == F.col("__now"))
-        .select("__row.*")
+        .select(*(F.col("__key").alias(c) if c == key else F.col("__row")[c].alias(c) for c in rows.columns))
     )
 
 

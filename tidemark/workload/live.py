@@ -116,12 +116,13 @@ def _(spark, folder):
 
 
 def _events_in_files(spark, folder) -> DataFrame:
-    """The events as a stream over several files, taken in two per batch, with every third row in a second file too."""
+    """The events as a stream in three batches of a file per core, with every third row in a second file too."""
     rows = bindings.table(spark, folder, "events")
     path = scratch_path(spark, "arriving")
     again = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0)
-    rows.unionByName(again).repartition(6, F.rand(1)).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    files = max(2, spark.sparkContext.defaultParallelism)
+    rows.unionByName(again).repartition(3 * files, F.rand(1)).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _live_parts(spark, folder, config, companions=()) -> str:
